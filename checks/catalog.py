@@ -187,3 +187,285 @@ def repeated_forecast_bias(star: Star) -> DataFrame:
 @register
 def planning_exceptions(star: Star) -> DataFrame:
     return forecast.planning_exceptions(detail(star), PRIMARY)
+
+
+# --- error review --------------------------------------------------------------------
+
+from orderloom.operators import quality  # noqa: E402
+from orderloom.plans import diagnostics, error_review  # noqa: E402
+
+for _label, _keys in {
+    "product": ["Product_ID"], "region": ["Region_ID"], "month": ["Month"],
+    "series": ["Product_ID", "Region_ID"],
+}.items():
+    register(
+        lambda star, keys=_keys: error_review.summarize_errors(results(star), keys, MODELS),
+        f"errors_by_{_label}",
+    )
+
+
+def reviewed_series(star: Star) -> DataFrame:
+    summary = error_review.summarize_errors(results(star), ["Product_ID", "Region_ID"], MODELS)
+    return error_review.series_errors(summary, PRIMARY)
+
+
+register(reviewed_series, "series_errors")
+register(lambda star: error_review.top_series(reviewed_series(star)), "top_series")
+register(lambda star: error_review.repeated_bias(reviewed_series(star)), "repeated_bias_series")
+register(lambda star: error_review.not_beating(reviewed_series(star)), "not_beating_baselines")
+register(lambda star: error_review.largest_errors(results(star)), "largest_errors")
+
+
+@register
+def overall_summary(star: Star) -> DataFrame:
+    fact = results(star)
+    summary = error_review.summarize_errors(fact, ["Product_ID", "Region_ID"], MODELS)
+    return error_review.overall_summary(error_review.series_errors(summary, PRIMARY), fact)
+
+
+# --- order diagnostics -----------------------------------------------------------------
+
+FOCUS_PRODUCTS, FOCUS_REGION = ["Brand#3", "Brand#4"], 3
+CHANGE_MONTHS = ("2001-06-01", "2001-07-01")
+TEST_START = "2001-03-01"
+
+
+def order_rows(star: Star) -> DataFrame:
+    return diagnostics.focus(star.orders(*diagnostics.ORDER_COLUMNS))
+
+
+@register
+def focus_orders(star: Star) -> DataFrame:
+    return diagnostics.focus(star.orders(*diagnostics.ORDER_COLUMNS), FOCUS_PRODUCTS, FOCUS_REGION)
+
+
+register(lambda star: diagnostics.order_diagnostics(order_rows(star)), "order_diagnostics")
+register(lambda star: diagnostics.customer_concentration(order_rows(star)), "customer_concentration")
+register(lambda star: diagnostics.customer_monthly(order_rows(star)), "customer_monthly")
+register(lambda star: diagnostics.customer_change(order_rows(star), *CHANGE_MONTHS), "customer_change")
+register(lambda star: diagnostics.largest_orders(order_rows(star)), "largest_orders")
+register(lambda star: diagnostics.status_matrix(order_rows(star)), "status_matrix")
+register(lambda star: diagnostics.size_quantiles(order_rows(star), TEST_START), "size_quantiles")
+
+
+@register
+def demand_decomposition(star: Star) -> DataFrame:
+    return diagnostics.demand_decomposition(diagnostics.order_diagnostics(order_rows(star)))
+
+
+@register
+def weighted_price(star: Star) -> DataFrame:
+    return diagnostics.weighted_price(diagnostics.order_diagnostics(order_rows(star)))
+
+
+@register
+def focus_test(star: Star) -> DataFrame:
+    return diagnostics.focus_test(demand_decomposition(star), results(star))
+
+
+@register
+def decomposition_violations(star: Star) -> DataFrame:
+    return diagnostics.change_violations(demand_decomposition(star)).select(
+        "Month", "Product_ID", "Region_ID"
+    )
+
+
+# --- quality gates ---------------------------------------------------------------------
+
+
+@register
+def quality_report(star: Star) -> DataFrame:
+    required = ["Order_ID", "Order_Date", "Product_ID", "Region_ID", "Quantity"]
+    return quality.quality_report(star.orders(*required), required)
+
+
+@register
+def duplicate_line_keys(star: Star) -> DataFrame:
+    return quality.check_key(star.table("lineitem"), "l_orderkey", "l_linenumber")
+
+
+@register
+def duplicate_order_keys(star: Star) -> DataFrame:
+    return quality.check_key(star.table("orders"), "o_orderkey")
+
+
+@register
+def order_rule_violations(star: Star) -> DataFrame:
+    columns = ("Order_Date", "Quantity", "Revenue", "Delivery_Days", "Order_Status")
+    return quality.count_broken_rules(star.orders(*columns), quality.order_rules())
+
+
+@register
+def reference_violations(star: Star) -> DataFrame:
+    buyers, areas = star.customers(), star.regions()
+    return quality.count_violations(
+        {
+            "order products": quality.check_reference(
+                star.orders("Product_ID"), star.products(), "Product_ID"
+            ),
+            "order regions": quality.check_reference(star.orders("Region_ID"), areas, "Region_ID"),
+            "order customers": quality.check_reference(star.orders("Customer_ID"), buyers, "Customer_ID"),
+            "customer regions": quality.check_reference(buyers, areas, "Region_ID"),
+        }
+    )
+
+
+@register
+def customers_without_orders(star: Star) -> DataFrame:
+    return quality.check_reference(star.customers(), star.orders("Customer_ID"), "Customer_ID")
+
+
+register(lambda star: quality.panel_report(materialize(history(star).panel, "panel")), "panel_report")
+
+
+@register
+def split_report(star: Star) -> DataFrame:
+    steps = history(star)
+    return quality.split_report(steps.development, steps.test)
+
+
+@register
+def baseline_mismatches(star: Star) -> DataFrame:
+    fact, orders = results(star), star.orders(*PANEL_COLUMNS)
+    return quality.count_violations(
+        {
+            "forecast actuals": quality.check_actuals(fact, orders),
+            "naive baseline": quality.check_baseline(fact, orders, "Naive_Forecast", 1),
+            "seasonal baseline": quality.check_baseline(fact, orders, "Seasonal_Naive_Forecast", 12),
+        }
+    )
+
+
+register(
+    lambda star: quality.count_broken_rules(results(star), quality.forecast_rules()),
+    "forecast_rule_violations",
+)
+
+
+def accuracy_views(rows: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "annual": forecast.annual_forecast_accuracy(rows),
+        "product": forecast.product_forecast_accuracy(rows),
+        "region": forecast.regional_forecast_accuracy(rows),
+        "series": forecast.product_market_forecast_accuracy(rows),
+        "month": forecast.monthly_forecast_trend(rows),
+    }
+
+
+register(lambda star: quality.grouped_totals(accuracy_views(detail(star))), "grouped_totals")
+
+
+register(lambda star: quality.recomputed_metrics(results(star), MODELS), "recomputed_metrics")
+
+
+@register
+def result_gate(star: Star) -> DataFrame:
+    fact = results(star)
+    rows = forecast_evaluation_detail(fact, star.products(), star.regions(), MODELS)
+    orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS)
+    reconciled = fulfillment.monthly_demand_fulfillment_reconciliation(orders, rows, PRIMARY)
+    benchmark = forecast.model_benchmark(rows)
+    return quality.result_gate(fact, rows, benchmark, accuracy_views(rows), reconciled, MODELS)
+
+
+# --- measures --------------------------------------------------------------------------
+
+from orderloom.plans import datasets, measures  # noqa: E402
+
+# Slicer selections used by the filtered measure queries.
+CHOSEN = {
+    "Region": ["ASIA", "EUROPE"],
+    "Customer_Type": ["BUILDING", "MACHINERY"],
+    "Product_Category": ["Category 1", "Category 2", "Category 3"],
+    "Year": [1999, 2000],
+}
+
+
+def model(star: Star, with_forecast: bool = False) -> measures.SalesModel:
+    fact = results(star) if with_forecast else None
+    return measures.SalesModel(
+        star.orders, star.customers(), star.products(), star.regions(), fact, PRIMARY
+    )
+
+
+ORDER_GROUPS = {
+    "total": [],
+    "region": ["Region"],
+    "month": ["Month Start"],
+    "type_and_line": ["Customer_Type", "Product_Line"],
+    "customer": ["Customer_ID"],
+    "year_and_product": ["Year", "Product_ID"],
+}
+for _label, _keys in ORDER_GROUPS.items():
+    register(
+        lambda star, keys=_keys: measures.evaluate(model(star), list(measures.ORDER_MEASURES), keys),
+        f"order_measures_by_{_label}",
+    )
+for _label, _keys in {"total": [], "type": ["Customer_Type"], "category": ["Product_Category"]}.items():
+    register(
+        lambda star, keys=_keys: measures.evaluate(
+            model(star), list(measures.ORDER_MEASURES), keys, CHOSEN
+        ),
+        f"filtered_order_measures_by_{_label}",
+    )
+
+PLAIN_FORECAST_MEASURES = [n for n in measures.FORECAST_MEASURES if not n.startswith("Benchmark")]
+BENCHMARK_MEASURES = [n for n in measures.FORECAST_MEASURES if n.startswith("Benchmark")]
+for _label, _keys in {
+    "total": [], "region": ["Region"], "category": ["Product_Category"], "month": ["Month Start"],
+    "series": ["Product_ID", "Region_ID"],
+}.items():
+    register(
+        lambda star, keys=_keys: measures.evaluate(model(star, True), PLAIN_FORECAST_MEASURES, keys),
+        f"forecast_measures_by_{_label}",
+    )
+register(
+    lambda star: measures.evaluate(model(star, True), BENCHMARK_MEASURES, ["Model", "Region"]),
+    "benchmark_measures_by_model_and_region",
+)
+register(
+    lambda star: measures.evaluate(
+        model(star, True), ["Total Revenue", "Total Orders", "Total Actual Demand", "WAPE %"], ["Month Start"]
+    ),
+    "cross_fact_measures_by_month",
+)
+register(
+    lambda star: measures.evaluate(
+        model(star, True), ["Total Revenue", "Total Actual Demand", "WAPE %"], ["Customer_Type", "Region"]
+    ),
+    "cross_fact_measures_by_type_and_region",
+)
+register(lambda star: measures.calendar(star.orders("Order_Date")), "calendar")
+
+# --- dashboard datasets ------------------------------------------------------------------
+
+for _dataset in (
+    datasets.dataset_overview_cards, datasets.dataset_revenue_by_region,
+    datasets.dataset_revenue_by_month, datasets.dataset_revenue_by_product_line,
+    datasets.dataset_sales_cards, datasets.dataset_top_customers,
+    datasets.dataset_revenue_by_customer_type, datasets.dataset_month_type_revenue,
+    datasets.dataset_operations_cards, datasets.dataset_on_time_by_region,
+    datasets.dataset_delays_by_category, datasets.dataset_service_by_month,
+    datasets.dataset_order_details,
+):
+    register(lambda star, build=_dataset: build(model(star)), _dataset.__name__)
+for _dataset in (
+    datasets.dataset_forecast_cards, datasets.dataset_actual_vs_forecast,
+    datasets.dataset_bias_by_month, datasets.dataset_model_benchmark,
+):
+    register(lambda star, build=_dataset: build(model(star, True)), _dataset.__name__)
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+AREAS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+register(
+    lambda star: datasets.dataset_region_type_matrix(model(star), SEGMENTS), "dataset_region_type_matrix"
+)
+register(
+    lambda star: datasets.dataset_category_region_wape(model(star, True), AREAS),
+    "dataset_category_region_wape",
+)
+for _label, _column in datasets.SLICERS.items():
+    register(
+        lambda star, c=_column: datasets.slicer_values(model(star, c == "forecast_month"), c),
+        f"slicer_{_label}",
+    )

@@ -483,3 +483,516 @@ SQL["benchmark_results"] = query(
     f"""SELECT model AS Model, {div('sum(aerr)', 'count(*)')} AS MAE,
         sqrt({div('sum(serr)', 'count(*)')}) AS RMSE FROM detail GROUP BY model""",
 )
+
+# --- error review ------------------------------------------------------------------
+
+_SEGMENT_TYPES = (
+    "Model:s,Observations:i,Actual_Total:i,Absolute_Error_Total:d,MAE:d,RMSE:d,WAPE_pct:d,Bias:d,"
+    "Overforecast_Count:i,Underforecast_Count:i"
+)
+_SEGMENT = f"""model AS Model, count(*) AS Observations, sum(dem) AS Actual_Total,
+    sum(aerr) AS Absolute_Error_Total, {div('sum(aerr)', 'count(*)')} AS MAE,
+    sqrt({div('sum(serr)', 'count(*)')}) AS RMSE, {pct('sum(aerr)', 'sum(dem)')} AS WAPE_pct,
+    {div('sum(err)', 'count(*)')} AS Bias, sum(CAST(err > 0 AS INT)) AS Overforecast_Count,
+    sum(CAST(err < 0 AS INT)) AS Underforecast_Count"""
+for _name, _keys, _kinds, _by in (
+    ("errors_by_product", "prod AS Product_ID", "Product_ID:s", "prod"),
+    ("errors_by_region", "reg AS Region_ID", "Region_ID:i", "reg"),
+    ("errors_by_month", "mon AS Month", "Month:t", "mon"),
+    ("errors_by_series", "prod AS Product_ID, reg AS Region_ID", "Product_ID:s,Region_ID:i", "prod, reg"),
+):
+    SQL[_name] = query(
+        "detail", f"{_kinds},{_SEGMENT_TYPES}",
+        f"SELECT {_keys}, {_SEGMENT} FROM detail GROUP BY {_by}, model",
+    )
+
+_REVIEW = f"""prod AS Product_ID, reg AS Region_ID, 'Moving Average 6' AS Model, n AS Observations,
+    a AS Actual_Total, ae AS Absolute_Error_Total, m AS MAE, sqrt({div('se', 'n')}) AS RMSE,
+    {pct('ae', 'a')} AS WAPE_pct, {div('e', 'n')} AS Bias, o AS Overforecast_Count,
+    u AS Underforecast_Count, nv AS "Naive Forecast", sn AS "Seasonal Naive",
+    {pct('ae', '(SELECT sum(ae) FROM series)')} AS Absolute_Error_Share_pct,
+    m < nv AND m < sn AS Beats_Both_Baselines"""
+_REVIEW_TYPES = (
+    f"Product_ID:s,Region_ID:i,{_SEGMENT_TYPES},Naive Forecast:d,Seasonal Naive:d,"
+    "Absolute_Error_Share_pct:d,Beats_Both_Baselines:b"
+)
+SQL["series_errors"] = query("series", _REVIEW_TYPES, f"SELECT {_REVIEW} FROM series")
+SQL["top_series"] = query(
+    "series", _REVIEW_TYPES,
+    f"SELECT {_REVIEW} FROM series ORDER BY MAE DESC, Product_ID, Region_ID LIMIT 10",
+)
+SQL["repeated_bias_series"] = query(
+    "series", _REVIEW_TYPES, f"SELECT {_REVIEW} FROM series WHERE o >= 5 OR u >= 5"
+)
+SQL["not_beating_baselines"] = query(
+    "series", _REVIEW_TYPES, f"SELECT {_REVIEW} FROM series WHERE m >= nv OR m >= sn"
+)
+SQL["largest_errors"] = query(
+    "wide", "Month:t,Product_ID:s,Region_ID:i,Actual_Demand:i,Forecast_Demand:d,Forecast_Error:d",
+    """SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, dem AS Actual_Demand,
+              fc AS Forecast_Demand, fc - dem AS Forecast_Error
+       FROM wide ORDER BY abs(fc - dem) DESC, mon, prod, reg LIMIT 5""",
+)
+SQL["overall_summary"] = query(
+    "series",
+    "Series:i,Beats_Naive:i,Beats_Seasonal_Naive:i,Beats_Both:i,Overall_WAPE_pct:d,Overall_Mean_Bias:d",
+    f"""SELECT count(*) AS Series, sum(CAST(m < nv AS INT)) AS Beats_Naive,
+               sum(CAST(m < sn AS INT)) AS Beats_Seasonal_Naive,
+               sum(CAST(m < least(nv, sn) AS INT)) AS Beats_Both,
+               {pct('sum(ae)', 'sum(a)')} AS Overall_WAPE_pct, {div('sum(e)', 'sum(n)')} AS Overall_Mean_Bias
+        FROM series""",
+)
+
+# --- order diagnostics -------------------------------------------------------------
+
+CTES["diag"] = f"""
+    SELECT g.*, {div('d', 'n')} sz, q.top
+    FROM (SELECT mon, prod, reg, sum(qty) d, count(*) n, max(qty) mx, count(DISTINCT cust) c, sum(rev) r
+          FROM line GROUP BY mon, prod, reg) g
+    JOIN (SELECT mon, prod, reg, max(t) top FROM
+            (SELECT mon, prod, reg, cust, sum(qty) t FROM line GROUP BY mon, prod, reg, cust)
+          GROUP BY mon, prod, reg) q USING (mon, prod, reg)"""
+_USES["diag"] = ["line"]
+_DIAG = f"""mon AS Month, prod AS Product_ID, reg AS Region_ID, d AS Actual_Demand, n AS Order_Count,
+    sz AS Average_Order_Quantity, mx AS Largest_Order, c AS Active_Customers, r AS Revenue,
+    {div('r', 'd')} AS Weighted_Unit_Price, {pct('mx', 'd')} AS Largest_Order_Share_pct,
+    top AS Largest_Customer_Quantity, {pct('top', 'd')} AS Largest_Customer_Share_pct"""
+_DIAG_TYPES = (
+    "Month:t,Product_ID:s,Region_ID:i,Actual_Demand:i,Order_Count:i,Average_Order_Quantity:d,"
+    "Largest_Order:i,Active_Customers:i,Revenue:d,Weighted_Unit_Price:d,Largest_Order_Share_pct:d,"
+    "Largest_Customer_Quantity:i,Largest_Customer_Share_pct:d"
+)
+SQL["order_diagnostics"] = query("diag", _DIAG_TYPES, f"SELECT {_DIAG} FROM diag")
+SQL["customer_concentration"] = query(
+    "diag",
+    "Month:t,Product_ID:s,Region_ID:i,Actual_Demand:i,Largest_Customer_Quantity:i,Largest_Customer_Share_pct:d",
+    f"""SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, d AS Actual_Demand,
+        top AS Largest_Customer_Quantity, {pct('top', 'd')} AS Largest_Customer_Share_pct FROM diag""",
+)
+CTES["change"] = """
+    SELECT *, lag(d) OVER w d0, lag(n) OVER w n0, lag(sz) OVER w sz0 FROM diag
+    WINDOW w AS (PARTITION BY prod, reg ORDER BY mon)"""
+_USES["change"] = ["diag"]
+_CHANGE = """, d - d0 AS Demand_Change, (n - n0) * (sz + sz0) / 2 AS Order_Count_Contribution,
+    (sz - sz0) * (n + n0) / 2 AS Order_Size_Contribution"""
+_CHANGE_TYPES = ",Demand_Change:i,Order_Count_Contribution:d,Order_Size_Contribution:d"
+SQL["demand_decomposition"] = query(
+    "change", _DIAG_TYPES + _CHANGE_TYPES, f"SELECT {_DIAG}{_CHANGE} FROM change"
+)
+# The focus of the drill-down: two products in one region.
+_FOCUS = "prod IN ('Brand#3', 'Brand#4') AND reg = 3"
+SQL["focus_orders"] = query(
+    "line",
+    "Order_ID:i,Order_Date:t,Customer_ID:i,Product_ID:s,Region_ID:i,Quantity:i,Unit_Price:d,Revenue:d,"
+    "Order_Status:s,Month:t",
+    f"""SELECT oid AS Order_ID, odate AS Order_Date, cust AS Customer_ID, prod AS Product_ID,
+        reg AS Region_ID, qty AS Quantity, price AS Unit_Price, rev AS Revenue, status AS Order_Status,
+        mon AS Month FROM line WHERE {_FOCUS}""",
+)
+SQL["focus_test"] = query(
+    "change wide",
+    _DIAG_TYPES + _CHANGE_TYPES + ",Naive_Forecast:d,Seasonal_Naive_Forecast:d,Forecast_Demand:d,"
+    "Forecast_Error:d,Absolute_Error:d,Squared_Error:d",
+    f"""SELECT {_DIAG.replace('mon AS', 'x.mon AS').replace('prod AS', 'x.prod AS').replace('reg AS', 'x.reg AS')}
+        {_CHANGE}, naive AS Naive_Forecast, seasonal AS Seasonal_Naive_Forecast, fc AS Forecast_Demand,
+        fc - dem AS Forecast_Error, abs(fc - dem) AS Absolute_Error,
+        (fc - dem) * (fc - dem) AS Squared_Error
+        FROM change x JOIN wide w ON w.mon = x.mon AND w.prod = x.prod AND w.reg = x.reg AND w.dem = x.d""",
+)
+SQL["customer_monthly"] = query(
+    "line", "Month:t,Product_ID:s,Region_ID:i,Customer_ID:i,Customer_Quantity:i",
+    """SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, cust AS Customer_ID,
+       sum(qty) AS Customer_Quantity FROM line GROUP BY mon, prod, reg, cust""",
+)
+SQL["customer_change"] = query(
+    "line", "Customer_ID:i,First_Quantity:i,Second_Quantity:i,Quantity_Change:i",
+    """SELECT cust AS Customer_ID, coalesce(sum(qty) FILTER (mon = DATE '2001-06-01'), 0) AS First_Quantity,
+       coalesce(sum(qty) FILTER (mon = DATE '2001-07-01'), 0) AS Second_Quantity,
+       sum(CASE WHEN mon = DATE '2001-07-01' THEN qty ELSE -qty END) AS Quantity_Change
+       FROM line WHERE mon IN (DATE '2001-06-01', DATE '2001-07-01') GROUP BY cust""",
+)
+SQL["largest_orders"] = query(
+    "line", "Order_ID:i,Order_Date:t,Customer_ID:i,Quantity:i,Unit_Price:d,Order_Status:s",
+    """SELECT oid AS Order_ID, odate AS Order_Date, cust AS Customer_ID, qty AS Quantity,
+       price AS Unit_Price, status AS Order_Status FROM line
+       ORDER BY qty DESC, oid, cust, odate, price, status LIMIT 5""",
+)
+SQL["status_matrix"] = query(
+    "line", "Product_ID:s,Month:t,Completed:i,Delayed:i",
+    """SELECT prod AS Product_ID, mon AS Month, sum(if(status = 'Completed', qty, 0)) AS Completed,
+       sum(if(status = 'Delayed', qty, 0)) AS Delayed FROM line GROUP BY prod, mon""",
+)
+SQL["size_quantiles"] = query(
+    "line", "Product_ID:s,Median_Quantity:d,P95_Quantity:d,Max_Quantity:d",
+    """SELECT prod AS Product_ID, quantile_cont(qty, 0.5) AS Median_Quantity,
+       quantile_cont(qty, 0.95) AS P95_Quantity, max(qty) AS Max_Quantity
+       FROM line WHERE mon < DATE '2001-03-01' GROUP BY prod""",
+)
+SQL["weighted_price"] = query(
+    "diag", "Product_ID:s,Region_ID:i,Month:t,Weighted_Unit_Price:d",
+    f"""SELECT prod AS Product_ID, reg AS Region_ID, mon AS Month,
+        {div('r', 'd')} AS Weighted_Unit_Price FROM diag""",
+)
+
+# --- quality gates -----------------------------------------------------------------
+
+SQL["quality_report"] = query(
+    "line",
+    "duplicate_order_ids:i,missing_required_values:i,invalid_dates:i,non_positive_quantity:i",
+    """SELECT count(*) - count(DISTINCT oid) AS duplicate_order_ids,
+       count(*) FILTER (oid IS NULL OR odate IS NULL OR prod IS NULL OR reg IS NULL OR qty IS NULL)
+           AS missing_required_values,
+       count(*) FILTER (odate IS NULL) AS invalid_dates,
+       count(*) FILTER (qty <= 0) AS non_positive_quantity FROM line""",
+)
+SQL["duplicate_line_keys"] = query(
+    "area", "l_orderkey:i,l_linenumber:i,rows:i",
+    """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
+       GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+)
+SQL["duplicate_order_keys"] = query(
+    "area", "o_orderkey:i,rows:i",
+    "SELECT o_orderkey, count(*) AS rows FROM orders GROUP BY o_orderkey HAVING count(*) > 1",
+)
+_GATES = """
+    SELECT 'order date' AS "check", count(*) FILTER (odate IS NULL) AS violations FROM line
+    UNION ALL SELECT 'order numbers', count(*) FILTER (qty IS NULL OR rev IS NULL OR days IS NULL) FROM line
+    UNION ALL SELECT 'order quantity', count(*) FILTER (qty <= 0) FROM line
+    UNION ALL SELECT 'order status', count(*) FILTER (status NOT IN ('Completed', 'Delayed')) FROM line
+    UNION ALL SELECT 'delivery rule', count(*) FILTER ((status = 'Completed') <> (days <= 26)) FROM line"""
+SQL["order_rule_violations"] = query("line", "check:s,violations:i", _GATES)
+SQL["reference_violations"] = query(
+    "line item area buyer", "check:s,violations:i",
+    """SELECT 'order products' AS "check",
+              count(DISTINCT prod) FILTER (prod NOT IN (SELECT prod FROM item)) AS violations FROM line
+       UNION ALL SELECT 'order regions', count(DISTINCT reg) FILTER (reg NOT IN (SELECT reg FROM area)) FROM line
+       UNION ALL SELECT 'order customers',
+              count(DISTINCT cust) FILTER (cust NOT IN (SELECT cust FROM buyer)) FROM line
+       UNION ALL SELECT 'customer regions',
+              count(DISTINCT creg) FILTER (creg NOT IN (SELECT reg FROM area)) FROM buyer""",
+)
+# Customers that never ordered: the same anti-join seen from the dimension.
+SQL["customers_without_orders"] = query(
+    "line buyer", "Customer_ID:i,rows:i",
+    "SELECT cust AS Customer_ID, 1 AS rows FROM buyer WHERE cust NOT IN (SELECT cust FROM line)",
+)
+SQL["panel_report"] = query(
+    "panel", "panel_rows:i,products:i,regions:i,repeated_cells:i,months:i,spine_months:i",
+    """SELECT count(*) AS panel_rows, count(DISTINCT prod) AS products, count(DISTINCT reg) AS regions,
+       count(*) - count(DISTINCT (mon, prod, reg)) AS repeated_cells, count(DISTINCT mon) AS months,
+       date_diff('month', min(mon), max(mon)) + 1 AS spine_months FROM panel""",
+)
+SQL["split_report"] = query(
+    "usable test", "side:s,rows:i,first_month:t,last_month:t,months:i,incomplete_rows:i",
+    """SELECT if(mon >= (SELECT min(mon) FROM test), 'test', 'development') AS side, count(*) AS rows,
+       min(mon) AS first_month, max(mon) AS last_month, count(DISTINCT mon) AS months,
+       count(*) FILTER (lag12 IS NULL) AS incomplete_rows FROM usable GROUP BY 1""",
+)
+SQL["baseline_mismatches"] = query(
+    "wide panel", "check:s,violations:i",
+    """SELECT v.k AS "check", count(*) FILTER (coalesce(p.dem, 0) <> v.val) AS violations
+       FROM (SELECT w.*, unnest([
+                {'k': 'forecast actuals', 'back': 0, 'val': CAST(dem AS DECIMAL(18,2))},
+                {'k': 'naive baseline', 'back': 1, 'val': naive},
+                {'k': 'seasonal baseline', 'back': 12, 'val': seasonal}]) AS v FROM wide w) x
+       LEFT JOIN panel p ON p.mon = x.mon - to_months(v.back) AND p.prod = x.prod AND p.reg = x.reg
+       GROUP BY v.k""",
+)
+SQL["forecast_rule_violations"] = query(
+    "wide", "check:s,violations:i",
+    """SELECT 'forecast month' AS "check", count(*) FILTER (day(mon) <> 1) AS violations FROM wide
+       UNION ALL SELECT 'forecast numbers',
+           count(*) FILTER (dem IS NULL OR naive IS NULL OR seasonal IS NULL OR fc IS NULL) FROM wide
+       UNION ALL SELECT 'forecast demand', count(*) FILTER (dem < 0) FROM wide
+       UNION ALL SELECT 'stored errors', count(*) FILTER (fc - dem IS NULL) FROM wide""",
+)
+SQL["recomputed_metrics"] = query(
+    "detail", "Model:s,mae:d,rmse:d,wape_pct:d,mean_bias:d",
+    f"""SELECT model AS Model, {div('sum(aerr)', 'count(*)')} AS mae,
+        sqrt({div('sum(serr)', 'count(*)')}) AS rmse, {pct('sum(aerr)', 'sum(dem)')} AS wape_pct,
+        {div('sum(err)', 'count(*)')} AS mean_bias FROM detail GROUP BY model""",
+)
+SQL["grouped_totals"] = query(
+    "detail", "view:s,Model:s,observations:i,absolute_error:d,squared_error:d",
+    """SELECT v AS view, model AS Model, count(*) AS observations, sum(aerr) AS absolute_error,
+       sum(serr) AS squared_error
+       FROM detail CROSS JOIN (SELECT unnest(['annual', 'product', 'region', 'series', 'month']) AS v)
+       GROUP BY v, model""",
+)
+SQL["result_gate"] = query(
+    "detail wide cell", "check:s,violations:i",
+    """SELECT 'detail rows' AS "check",
+              CAST((SELECT count(*) FROM detail) <> 3 * (SELECT count(*) FROM wide) AS INT) AS violations
+       UNION ALL SELECT 'model metrics', CAST((SELECT sum(aerr) FROM detail)
+              <> (SELECT sum(abs(fc - dem) + abs(naive - dem) + abs(seasonal - dem)) FROM wide) AS INT)
+       UNION ALL SELECT 'grouped totals', CAST((SELECT sum(a) FROM
+              (SELECT sum(aerr) a FROM detail GROUP BY prod, reg)) <> (SELECT sum(aerr) FROM detail) AS INT)
+       UNION ALL SELECT 'order reconciliation', count(DISTINCT w.mon) FROM wide w
+              LEFT JOIN cell c ON c.mon = w.mon AND c.prod = w.prod AND c.reg = w.reg
+              WHERE coalesce(c.dem, 0) <> w.dem""",
+)
+SQL["decomposition_violations"] = query(
+    "change", "Month:t,Product_ID:s,Region_ID:i",
+    """SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID FROM change
+       WHERE abs((d - d0) - (n - n0) * (sz + sz0) / 2 - (sz - sz0) * (n + n0) / 2) > 0.001""",
+)
+
+# --- measures ----------------------------------------------------------------------
+
+# Order lines with the customer's (not the order's) region.
+CTES["sale"] = """
+    SELECT l.oid, l.odate, l.cust, l.prod, l.qty, l.rev, l.days, l.status, b.cname, b.ctype,
+           a.rname, i.cat, i.pline
+    FROM line l JOIN buyer b ON b.cust = l.cust JOIN area a ON a.reg = b.creg
+    JOIN item i ON i.prod = l.prod"""
+_USES["sale"] = ["line", "buyer", "area", "item"]
+
+# Grouping columns: SQL expression over `sale`, result type, whether it describes customers.
+_GROUPS = {
+    "Region": ("rname", "s", True),
+    "Customer_Type": ("ctype", "s", True),
+    "Customer_ID": ("cust", "i", True),
+    "Customer_Name": ("cname", "s", True),
+    "Product_ID": ("prod", "s", False),
+    "Product_Line": ("pline", "s", False),
+    "Product_Category": ("cat", "s", False),
+    "Month Start": ("CAST(date_trunc('month', odate) AS DATE)", "t", False),
+    "Year": ("year(odate)", "i", False),
+}
+_CUSTOMER_FILTER = "rname IN ('ASIA', 'EUROPE') AND ctype IN ('BUILDING', 'MACHINERY')"
+_OTHER_FILTER = "cat IN ('Category 1', 'Category 2', 'Category 3') AND year(odate) IN (1999, 2000)"
+
+
+def _display(amount: str) -> str:
+    def scaled(unit: int, suffix: str) -> str:
+        h = f"((CAST({amount} * 100 AS BIGINT) + {unit // 2}) // {unit})"
+        return f"(({h} // 100) || '.' || lpad(CAST({h} % 100 AS VARCHAR), 2, '0') || '{suffix}')"
+
+    return f"""CASE WHEN {amount} >= 1000000000 THEN {scaled(1000000000, 'B')}
+        WHEN {amount} >= 1000000 THEN {scaled(1000000, 'M')}
+        WHEN {amount} >= 1000 THEN {scaled(1000, 'K')}
+        ELSE CAST(CAST(round({amount}, 0) AS BIGINT) AS VARCHAR) END"""
+
+
+_ORDER_MEASURES = {
+    "Total Revenue": ("b.r", "d"), "Total Units Sold": ("b.u", "i"), "Ordered Units": ("b.u", "i"),
+    "Total Orders": ("b.n", "i"), "Active Customers": ("b.c", "i"),
+    "Average Delivery Days": (div("b.dd", "b.dc"), "d"), "Average Order Value": (div("b.r", "b.n"), "d"),
+    "Revenue per Customer": (div("b.r", "b.c"), "d"), "Delayed Orders": ("b.nd", "i"),
+    "Delayed Revenue": ("b.rd", "d"), "On-Time Orders": ("b.nc", "i"), "On-Time Units": ("b.uc", "i"),
+    "Delayed Order Rate %": (div("b.nd", "b.n"), "d"), "On-Time Order Rate %": (div("b.nc", "b.n"), "d"),
+    "On-Time Unit Rate %": (div("b.uc", "b.u"), "d"),
+    "Revenue Contribution %": (div("b.r", "a.r"), "d"), "Revenue Previous Year": ("p.r", "d"),
+    "Revenue YoY Growth %": (div("(CAST(b.r AS DOUBLE) - CAST(p.r AS DOUBLE))", "p.r"), "d"),
+    "Top 10 Customer Revenue": ("t.r", "d"), "Top 10 Customer Revenue %": (div("t.r", "b.r"), "d"),
+    "Revenue Display": (_display("b.r"), "s"), "Sum of Delivery Days": ("b.dd", "i"),
+}
+
+
+def order_measures(keys: list[str], measures: list[str] | None = None, filtered: bool = False) -> str:
+    """Order measures per group: base sums, all-customer revenue, prior year and top customers."""
+    chosen = {m: _ORDER_MEASURES[m] for m in measures or _ORDER_MEASURES}
+    own = [f"{_GROUPS[k][0]} AS k{i}" for i, k in enumerate(keys)] or ["1 AS k0"]
+    names = [f"k{i}" for i in range(len(own))]
+    cut = ", ".join(names)
+    kept = [n for n, k in zip(names, keys) if not _GROUPS[k][2]]
+    where = f"WHERE {_CUSTOMER_FILTER} AND {_OTHER_FILTER}" if filtered else ""
+    other = f"WHERE {_OTHER_FILTER}" if filtered else ""
+
+    def same(x: str, y: str, on: list[str]) -> str:
+        return " AND ".join(f"{x}.{n} IS NOT DISTINCT FROM {y}.{n}" for n in on) or "true"
+
+    body = f"""
+    WITH later AS (SELECT * REPLACE (CAST(odate + INTERVAL 12 MONTH AS DATE) AS odate) FROM sale),
+    b AS (SELECT {', '.join(own)}, sum(rev) r, sum(qty) u, count(DISTINCT oid) n, count(DISTINCT cust) c,
+              sum(days) dd, count(days) dc,
+              count(DISTINCT CASE WHEN status = 'Delayed' THEN oid END) nd,
+              count(DISTINCT CASE WHEN status = 'Completed' THEN oid END) nc,
+              sum(CASE WHEN status = 'Delayed' THEN rev END) rd,
+              sum(CASE WHEN status = 'Completed' THEN qty END) uc
+          FROM sale {where} GROUP BY {cut}),
+    a AS (SELECT {', '.join([o for o in own if o.rsplit(' ', 1)[1] in kept] + ['sum(rev) AS r'])}
+          FROM sale {other} {'GROUP BY ' + ', '.join(kept) if kept else ''}),
+    p AS (SELECT {', '.join(own)}, sum(rev) r FROM
+              (SELECT * FROM later WHERE odate <= (SELECT max(odate) FROM sale)) {where} GROUP BY {cut}),
+    t AS (SELECT {cut}, sum(r) r FROM
+              (SELECT *, rank() OVER (PARTITION BY {cut} ORDER BY r DESC) AS place FROM
+                  (SELECT {', '.join(own)}, cust, sum(rev) r FROM sale {where} GROUP BY {cut}, cust))
+          WHERE place <= 10 GROUP BY {cut})
+    SELECT {', '.join([f'coalesce(b.{n}, p.{n}) AS "{k}"' for n, k in zip(names, keys)]
+                      + [f'CASE WHEN b.{names[0]} IS NULL AND {m == "Revenue Display"} THEN NULL ELSE {e} END AS "{m}"'
+                         for m, (e, _) in chosen.items()])}
+    FROM b {'FULL' if 'p.r' in str(chosen) else 'LEFT'} JOIN p ON {same('b', 'p', names)}
+    LEFT JOIN a ON {same('a', 'b', kept)} LEFT JOIN t ON {same('t', 'b', names)}"""
+    types = [f"{k}:{_GROUPS[k][1]}" for k in keys] + [f"{m}:{kind}" for m, (_, kind) in chosen.items()]
+    return query("sale", ",".join(types), body)
+
+
+for _name, _keys in {
+    "total": [], "region": ["Region"], "month": ["Month Start"],
+    "type_and_line": ["Customer_Type", "Product_Line"], "customer": ["Customer_ID"],
+    "year_and_product": ["Year", "Product_ID"],
+}.items():
+    SQL[f"order_measures_by_{_name}"] = order_measures(_keys)
+for _name, _keys in {"total": [], "type": ["Customer_Type"], "category": ["Product_Category"]}.items():
+    SQL[f"filtered_order_measures_by_{_name}"] = order_measures(_keys, filtered=True)
+
+CTES["miss"] = """
+    SELECT w.*, i.cat, i.pline, a.rname, abs(fc - dem) ae, (fc - dem) * (fc - dem) se,
+           abs(naive - dem) na, (naive - dem) * (naive - dem) ns, abs(seasonal - dem) sa,
+           (seasonal - dem) * (seasonal - dem) ss
+    FROM wide w JOIN item i ON i.prod = w.prod JOIN area a ON a.reg = w.reg"""
+_USES["miss"] = ["wide", "item", "area"]
+
+
+def _gain(baseline: str) -> str:
+    theirs, ours = div(f"sum({baseline})", "count(*)"), div("sum(ae)", "count(*)")
+    return div(f"({theirs} - {ours})", theirs)
+
+
+_FORECAST_MEASURES = {
+    "Total Actual Demand": ("sum(dem)", "i"), "Total Forecast Demand": ("sum(fc)", "d"),
+    "Forecast Error": ("sum(fc - dem)", "d"), "Forecast Observations": ("count(*)", "i"),
+    "Absolute Forecast Error": ("sum(ae)", "d"), "Absolute Forecast Error Impact": ("sum(ae)", "d"),
+    "WAPE %": (div("sum(ae)", "sum(dem)"), "d"),
+    "Forecast Accuracy": (f"1.0::DOUBLE - {div('sum(ae)', 'sum(dem)')}", "d"),
+    "Forecast Bias %": (div("sum(fc - dem)", "sum(dem)"), "d"),
+    "Mean Forecast Bias": (div("sum(fc - dem)", "count(*)"), "d"),
+    "Forecast MAE": (div("sum(ae)", "count(*)"), "d"),
+    "Forecast RMSE": (f"sqrt({div('sum(se)', 'count(*)')})", "d"),
+    "Overforecast Observations": ("count(*) FILTER (fc > dem)", "i"),
+    "Underforecast Observations": ("count(*) FILTER (fc < dem)", "i"),
+    "Planning Exceptions": (f"count(*) FILTER (abs({div('(fc - dem)', 'dem')}) >= 0.05::DOUBLE)", "i"),
+    "Forecast Evaluation Period": (
+        "strftime(min(mon), '%b %Y') || ' - ' || strftime(max(mon), '%b %Y')", "s"),
+    "Naive MAE": (div("sum(na)", "count(*)"), "d"),
+    "Naive RMSE": (f"sqrt({div('sum(ns)', 'count(*)')})", "d"),
+    "Naive WAPE %": (div("sum(na)", "sum(dem)"), "d"),
+    "Seasonal Naive MAE": (div("sum(sa)", "count(*)"), "d"),
+    "Seasonal Naive RMSE": (f"sqrt({div('sum(ss)', 'count(*)')})", "d"),
+    "Seasonal Naive WAPE %": (div("sum(sa)", "sum(dem)"), "d"),
+    "MAE Improvement vs Naive %": (_gain("na"), "d"), "MAE Improvement vs Seasonal %": (_gain("sa"), "d"),
+}
+_FORECAST_GROUPS = {
+    "Region": ("rname", "s"), "Product_Category": ("cat", "s"), "Month Start": ("mon", "t"),
+    "Product_ID": ("prod", "s"), "Region_ID": ("reg", "i"),
+}
+
+
+def forecast_measures(keys: list[str], measures: list[str] | None = None) -> str:
+    chosen = {m: _FORECAST_MEASURES[m] for m in measures or _FORECAST_MEASURES}
+    picked = [f'{_FORECAST_GROUPS[k][0]} AS "{k}"' for k in keys]
+    picked += [f'{e} AS "{m}"' for m, (e, _) in chosen.items()]
+    group = "GROUP BY " + ", ".join(_FORECAST_GROUPS[k][0] for k in keys) if keys else ""
+    types = [f"{k}:{_FORECAST_GROUPS[k][1]}" for k in keys] + [f"{m}:{t}" for m, (_, t) in chosen.items()]
+    return query("miss", ",".join(types), f"SELECT {', '.join(picked)} FROM miss {group}")
+
+
+for _name, _keys in {
+    "total": [], "region": ["Region"], "category": ["Product_Category"], "month": ["Month Start"],
+    "series": ["Product_ID", "Region_ID"],
+}.items():
+    SQL[f"forecast_measures_by_{_name}"] = forecast_measures(_keys)
+
+_BENCHMARK = f"""{div('sum(aerr)', 'count(*)')} AS "Benchmark MAE",
+    sqrt({div('sum(serr)', 'count(*)')}) AS "Benchmark RMSE",
+    {div('sum(aerr)', 'sum(dem)')} AS "Benchmark WAPE %\""""
+SQL["benchmark_measures_by_model_and_region"] = query(
+    "detail", "Model:s,Region:s,Benchmark MAE:d,Benchmark RMSE:d,Benchmark WAPE %:d",
+    f"SELECT model AS Model, rname AS Region, {_BENCHMARK} FROM detail GROUP BY model, rname",
+)
+SQL["cross_fact_measures_by_month"] = query(
+    "line miss", "Month Start:t,Total Revenue:d,Total Orders:i,Total Actual Demand:i,WAPE %:d",
+    f"""SELECT coalesce(o.mon, f.mon) AS "Month Start", r AS "Total Revenue", n AS "Total Orders",
+        a AS "Total Actual Demand", w AS "WAPE %"
+        FROM (SELECT mon, sum(rev) r, count(DISTINCT oid) n FROM line GROUP BY mon) o
+        FULL JOIN (SELECT mon, sum(dem) a, {div('sum(ae)', 'sum(dem)')} w FROM miss GROUP BY mon) f
+        ON o.mon = f.mon""",
+)
+SQL["cross_fact_measures_by_type_and_region"] = query(
+    "sale miss", "Customer_Type:s,Region:s,Total Revenue:d,Total Actual Demand:i,WAPE %:d",
+    f"""SELECT ctype AS Customer_Type, o.rname AS Region, r AS "Total Revenue",
+        a AS "Total Actual Demand", w AS "WAPE %"
+        FROM (SELECT ctype, rname, sum(rev) r FROM sale GROUP BY ctype, rname) o
+        LEFT JOIN (SELECT rname, sum(dem) a, {div('sum(ae)', 'sum(dem)')} w FROM miss GROUP BY rname) f
+        ON o.rname = f.rname""",
+)
+SQL["calendar"] = query(
+    "line",
+    "Date:t,Year:i,Month Number:i,Month:s,Year Month:s,Quarter:s,Month Start:t",
+    """SELECT d AS "Date", year(d) AS "Year", month(d) AS "Month Number", strftime(d, '%b') AS "Month",
+       strftime(d, '%Y-%m') AS "Year Month", 'Q' || quarter(d) AS "Quarter",
+       date_trunc('month', d) AS "Month Start"
+       FROM (SELECT CAST(unnest(generate_series((SELECT min(odate) FROM line),
+             (SELECT max(odate) FROM line), INTERVAL 1 DAY)) AS DATE) AS d)""",
+)
+
+# --- dashboard datasets --------------------------------------------------------------
+
+for _name, _keys, _measures in (
+    ("overview_cards", [], ["Total Orders", "Total Revenue", "Active Customers"]),
+    ("revenue_by_region", ["Region"], ["Total Revenue"]),
+    ("revenue_by_month", ["Month Start"], ["Total Revenue"]),
+    ("revenue_by_product_line", ["Product_Line"], ["Total Revenue"]),
+    ("sales_cards", [], ["Active Customers", "Top 10 Customer Revenue %", "Revenue per Customer",
+                         "Average Order Value"]),
+    ("revenue_by_customer_type", ["Customer_Type"], ["Total Revenue"]),
+    ("month_type_revenue", ["Month Start", "Customer_Type"],
+     ["Active Customers", "Total Orders", "Average Order Value", "Total Revenue"]),
+    ("operations_cards", [], ["Delayed Revenue", "Total Orders", "Average Delivery Days", "On-Time Orders",
+                              "Delayed Orders", "On-Time Order Rate %"]),
+    ("on_time_by_region", ["Region"], ["Total Orders", "Delayed Orders", "Average Delivery Days",
+                                       "Delayed Revenue", "On-Time Order Rate %"]),
+    ("delays_by_category", ["Product_Category"], ["Delayed Orders", "Delayed Revenue",
+     "Average Delivery Days", "On-Time Unit Rate %", "Delayed Order Rate %"]),
+    ("service_by_month", ["Month Start"], ["Average Delivery Days", "Delayed Orders", "Delayed Revenue",
+                                           "Total Orders", "On-Time Order Rate %"]),
+):
+    SQL[f"dataset_{_name}"] = order_measures(_keys, _measures)
+SQL["dataset_top_customers"] = query(
+    "sale", "Customer_Name:s,Total Revenue:d",
+    """SELECT cname AS Customer_Name, sum(rev) AS "Total Revenue" FROM sale GROUP BY cname
+       QUALIFY rank() OVER (ORDER BY sum(rev) DESC) <= 10""",
+)
+SQL["dataset_order_details"] = query(
+    "sale",
+    "Order_ID:i,Order_Date:t,Customer_Name:s,Product_Category:s,Region:s,Ordered Units:i,"
+    "Total Revenue:d,Sum of Delivery Days:i",
+    """SELECT oid AS Order_ID, odate AS Order_Date, cname AS Customer_Name, cat AS Product_Category,
+       rname AS Region, sum(qty) AS "Ordered Units", sum(rev) AS "Total Revenue",
+       sum(days) AS "Sum of Delivery Days" FROM sale GROUP BY oid, odate, cname, cat, rname""",
+)
+for _name, _keys, _measures in (
+    ("forecast_cards", [], ["WAPE %", "Forecast MAE", "Forecast RMSE", "Total Actual Demand",
+                            "Total Forecast Demand"]),
+    ("actual_vs_forecast", ["Month Start"], ["Total Actual Demand", "Total Forecast Demand"]),
+    ("bias_by_month", ["Month Start"], ["Forecast Bias %"]),
+):
+    SQL[f"dataset_{_name}"] = forecast_measures(_keys, _measures)
+SQL["dataset_model_benchmark"] = query(
+    "detail", "Model:s,Benchmark MAE:d,Benchmark RMSE:d,Benchmark WAPE %:d",
+    f"SELECT model AS Model, {_BENCHMARK} FROM detail GROUP BY model",
+)
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_AREAS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+SQL["dataset_region_type_matrix"] = query(
+    "sale", "Region:s," + ",".join(f"{s}:s" for s in _SEGMENTS),
+    f"""SELECT rname AS Region, {', '.join(f"max(txt) FILTER (ctype = '{s}') AS {s}" for s in _SEGMENTS)}
+        FROM (SELECT rname, ctype, {_display('sum(rev)')} AS txt FROM sale GROUP BY rname, ctype)
+        GROUP BY rname""",
+)
+SQL["dataset_category_region_wape"] = query(
+    "miss", "Product_Category:s," + ",".join(f"{a}:d" for a in _AREAS),
+    f"""SELECT cat AS Product_Category, {', '.join(f"max(w) FILTER (rname = '{a}') AS \"{a}\"" for a in _AREAS)}
+        FROM (SELECT cat, rname, {div('sum(ae)', 'sum(dem)')} w FROM miss GROUP BY cat, rname)
+        GROUP BY cat""",
+)
+for _name, _column, _uses, _sql in (
+    ("customer_type", "Customer_Type:s", "buyer", "SELECT DISTINCT ctype AS Customer_Type FROM buyer"),
+    ("region", "Region:s", "area", "SELECT DISTINCT rname AS Region FROM area"),
+    ("product_category", "Product_Category:s", "item", "SELECT DISTINCT cat AS Product_Category FROM item"),
+    ("product_line", "Product_Line:s", "item", "SELECT DISTINCT pline AS Product_Line FROM item"),
+    ("year_month", "Year Month:s", "spine", "SELECT strftime(mon, '%Y-%m') AS \"Year Month\" FROM spine"),
+    ("forecast_month", "forecast_month:t", "wide", "SELECT DISTINCT mon AS forecast_month FROM wide"),
+):
+    SQL[f"slicer_{_name}"] = query(_uses, _column, _sql)

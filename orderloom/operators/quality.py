@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.constants import (
     CELL_KEYS, COMPLETED, DELAYED, HISTORY_COLUMNS, MODEL_COLUMNS, ON_TIME_MAX_DAYS, TEST_MONTHS,
 )
-from orderloom.functions.numeric import close_to, is_finite, pct
+from orderloom.functions.numeric import close_to, is_finite, pct, ratio
 from orderloom.operators.panel import monthly_observed
 
 
@@ -282,17 +282,17 @@ def check_row_ratio(detail: DataFrame, results: DataFrame, models: int = len(MOD
 
 def recomputed_metrics(results: DataFrame, models: Mapping[str, str] = MODEL_COLUMNS) -> DataFrame:
     """Each model's metrics straight from the wide fact, a path independent of the detail."""
-    actual = F.col("Actual_Demand").cast("double")
+    actual, rows = F.col("Actual_Demand"), F.count(F.lit(1))
     parts = []
     for label, column in models.items():
-        error = F.col(column).cast("double") - actual
+        error = F.col(column) - actual
         parts.append(
             F.struct(
                 F.lit(label).alias("Model"),
-                F.avg(F.abs(error)).alias("mae"),
-                F.sqrt(F.avg(error * error)).alias("rmse"),
+                ratio(F.sum(F.abs(error)), rows).alias("mae"),
+                F.sqrt(ratio(F.sum(error * error), rows)).alias("rmse"),
                 pct(F.sum(F.abs(error)), F.sum(actual)).alias("wape_pct"),
-                F.avg(error).alias("mean_bias"),
+                ratio(F.sum(error), rows).alias("mean_bias"),
             )
         )
     return results.agg(F.array(*parts).alias("m")).select(F.inline("m"))
