@@ -151,7 +151,7 @@ for _step in ("panel", "features", "usable", "development", "test"):
 
 @register
 def month_folds(star: Star) -> DataFrame:
-    return modeling.fold_table(materialize(history(star).development, "development"))
+    return modeling.fold_table(history(star).development)
 
 
 # --- forecast accuracy ---------------------------------------------------------------

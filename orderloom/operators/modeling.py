@@ -88,29 +88,38 @@ def gbt_candidates(rates=(0.05, 0.1), iterations=(100, 200), depths=(4, 5)) -> C
     return Candidate("gradient_boosting", boosted, grid)
 
 
-def month_folds(df: DataFrame, folds: int = CV_FOLDS) -> list[Fold]:
-    """Expanding windows over distinct months; all rows of a month stay on one side."""
-    months = [row["Month"] for row in df.select("Month").distinct().orderBy("Month").collect()]
+def _fold_bounds(months: Sequence, folds: int) -> list[tuple[int, int]]:
+    """Positions of each fold's first validation month and of the month after its last."""
     if len(months) <= folds:
         raise ValueError("Development data must contain more months than folds.")
     size = len(months) // (folds + 1)
-    month, result = F.col("Month"), []
-    for start in range(len(months) - folds * size, len(months), size):
-        train = df.where(month < months[start])
-        result.append((train, df.where(month.between(months[start], months[start + size - 1]))))
-    return result
+    return [(len(months) - n * size, len(months) - (n - 1) * size) for n in range(folds, 0, -1)]
+
+
+def month_folds(df: DataFrame, folds: int = CV_FOLDS) -> list[Fold]:
+    """Expanding windows over distinct months; all rows of a month stay on one side.
+
+    Only the list of months reaches the driver.
+    """
+    months = [row["Month"] for row in df.select("Month").distinct().orderBy("Month").collect()]
+    month = F.col("Month")
+    return [
+        (df.where(month < months[start]), df.where(month.between(months[start], months[stop - 1])))
+        for start, stop in _fold_bounds(months, folds)
+    ]
 
 
 def fold_table(df: DataFrame, folds: int = CV_FOLDS) -> DataFrame:
-    """Month ranges and row counts of every fold."""
-    rows = []
-    for number, (train, valid) in enumerate(month_folds(df, folds), start=1):
-        side = [F.min("Month"), F.max("Month"), F.count(F.lit(1))]
-        first, last, count = train.agg(*side).first()
-        valid_first, valid_last, valid_count = valid.agg(*side).first()
-        rows.append((number, first, last, count, valid_first, valid_last, valid_count))
+    """Month ranges and row counts of every fold, from one count per month."""
+    counted = df.groupBy("Month").count().orderBy("Month").collect()  # one row per month
+    months, rows = [r["Month"] for r in counted], [r["count"] for r in counted]
+    table = [
+        (number, months[0], months[start - 1], sum(rows[:start]),
+         months[start], months[stop - 1], sum(rows[start:stop]))
+        for number, (start, stop) in enumerate(_fold_bounds(months, folds), start=1)
+    ]
     return df.sparkSession.createDataFrame(
-        rows,
+        table,
         "fold int, train_start date, train_end date, train_rows bigint, "
         "validation_start date, validation_end date, validation_rows bigint",
     )
