@@ -469,3 +469,32 @@ for _label, _column in datasets.SLICERS.items():
         lambda star, c=_column: datasets.slicer_values(model(star, c == "forecast_month"), c),
         f"slicer_{_label}",
     )
+
+# --- forest forecast and model selection (not expressible in SQL) ---------------------------
+
+from orderloom.operators.features import assemble  # noqa: E402
+
+# The parameters that model selection settled on for the established forecast.
+SELECTED_DEPTH, SELECTED_LEAF = 12, 3
+
+
+@register
+def random_forest_forecast(star: Star) -> DataFrame:
+    """The forecast fact of the selected forest, fitted on all development rows."""
+    steps = history(star)
+    forest = modeling.rf_candidates(depths=(SELECTED_DEPTH,), leaves=(SELECTED_LEAF,))
+    fitted = modeling.fit_selected(forest, assemble(steps.development))
+    return modeling.forecast_results(modeling.predict_rf(fitted, assemble(steps.test)))
+
+
+@register
+def model_selection(star: Star) -> DataFrame:
+    """Chronological cross-validation of all three learners over small grids."""
+    development = assemble(history(star).development)
+    candidates = [
+        modeling.mean_baseline(),
+        modeling.rf_candidates(trees=20, depths=(5, 8), leaves=(1, 3)),
+        modeling.gbt_candidates(rates=(0.1,), iterations=(5, 10), depths=(4,)),
+    ]
+    searches = modeling.search_all(candidates, development)
+    return modeling.cv_results(development, searches)
