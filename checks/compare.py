@@ -55,13 +55,14 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("--only", default="")
+    parser.add_argument("--skip", nargs="*", default=[])
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark = local_session("8")
     con = oracle_connection(args.sf)
     failed = 0
     for name, run in QUERIES.items():
-        if (args.names and name not in args.names) or args.only not in name:
+        if (args.names and name not in args.names) or args.only not in name or name in args.skip:
             continue
         started = time.time()
         try:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.constants import CELL_KEYS, COMPLETED, DELAYED, SERIES_KEYS
 from orderloom.functions.dates import month_of
-from orderloom.functions.numeric import MONEY, money_sum, pct, ratio
+from orderloom.functions.numeric import cents, money, pct, ratio
 
 ORDER_COLUMNS = ("Order_ID", "Order_Date", "Customer_ID", "Product_ID", "Region_ID",
                  "Quantity", "Unit_Price", "Revenue", "Order_Status")
@@ -35,19 +35,18 @@ def order_diagnostics(orders: DataFrame) -> DataFrame:
     The fact is reduced once to cell and customer; the cell's figures, the number of
     customers and the largest customer all come from that one intermediate.
     """
-    revenue = F.col("Revenue").cast(MONEY)
     per_customer = orders.groupBy(*CELL_KEYS, "Customer_ID").agg(
         F.sum("Quantity").alias("units"),
         F.count(F.lit(1)).alias("lines"),
         F.max("Quantity").alias("largest"),
-        F.sum(revenue).alias("revenue"),
+        F.sum(cents("Revenue")).alias("cents"),
     )
     cells = per_customer.groupBy(*CELL_KEYS).agg(
         F.sum("units").alias("Actual_Demand"),
         F.sum("lines").alias("Order_Count"),
         F.max("largest").alias("Largest_Order"),
         F.count("Customer_ID").alias("Active_Customers"),
-        F.sum("revenue").alias("Revenue"),
+        money(F.sum("cents")).alias("Revenue"),
         F.max(F.when(F.col("Customer_ID").isNotNull(), F.col("units"))).alias("Largest_Customer_Quantity"),
     )
     return cells.select(

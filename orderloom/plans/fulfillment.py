@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.constants import COMPLETED, DELAYED, RANDOM_FOREST
 from orderloom.functions.dates import month_of
-from orderloom.functions.numeric import MONEY, money_sum, pct, ratio, round2
+from orderloom.functions.numeric import cents, money, pct, ratio, round2
 from orderloom.functions.ranking import dense_rank
 from orderloom.operators.scratch import materialize
 
@@ -26,7 +26,7 @@ def _service_levels(orders: DataFrame, group: Column, name: str) -> DataFrame:
     """Orders, units, revenue and days of each group, in total and by status."""
     status = F.col("Order_Status")
     done, late = status == COMPLETED, status == DELAYED
-    revenue = F.col("Revenue").cast(MONEY)
+    revenue = cents("Revenue")
     per_order = orders.groupBy(group.alias(name), "Order_ID").agg(
         F.max(done).alias("has_done"),
         F.max(late).alias("has_late"),
@@ -45,8 +45,8 @@ def _service_levels(orders: DataFrame, group: Column, name: str) -> DataFrame:
         F.sum("units").alias("ordered_units"),
         F.sum("done_units").alias("on_time_units"),
         F.sum("late_units").alias("delayed_units"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("late_revenue").alias("delayed_revenue"),
+        money(F.sum("revenue")).alias("total_revenue"),
+        money(F.sum("late_revenue")).alias("delayed_revenue"),
         round2(ratio(F.sum("days"), F.sum("deliveries"))).alias("average_delivery_days"),
     )
 

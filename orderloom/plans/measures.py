@@ -19,7 +19,7 @@ from orderloom.constants import (
     COMPLETED, DELAYED, LEGACY_EXCEPTION_TOLERANCE, NAIVE, RANDOM_FOREST, SEASONAL_NAIVE,
 )
 from orderloom.functions.dates import month_of, quarter_label
-from orderloom.functions.numeric import MONEY, ratio, short_money
+from orderloom.functions.numeric import cents, money, ratio, short_money
 
 TOP_CUSTOMERS = 10
 
@@ -222,11 +222,11 @@ def _line_sums(parts: Sequence[str]) -> list[Column]:
     done = F.col("Order_Status") == COMPLETED if {"done_units"} & set(parts) else None
     late = F.col("Order_Status") == DELAYED if {"late_revenue"} & set(parts) else None
     made = {
-        "revenue": lambda: F.sum(F.col("Revenue").cast(MONEY)),
+        "revenue": lambda: F.sum(cents("Revenue")),
         "units": lambda: F.sum("Quantity"),
         "days": lambda: F.sum("Delivery_Days"),
         "deliveries": lambda: F.count("Delivery_Days"),
-        "late_revenue": lambda: F.sum(F.when(late, F.col("Revenue").cast(MONEY))),
+        "late_revenue": lambda: F.sum(F.when(late, cents("Revenue"))),
         "done_units": lambda: F.sum(F.when(done, F.col("Quantity"))),
     }
     return [made[p]().alias(p) for p in parts if p in made]
@@ -301,8 +301,10 @@ def _order_totals(
     else:
         source, folded = fact, _line_sums(sums) or [F.count(F.lit(1)).alias("_rows")]
 
+    # money stays in whole cents until the last level
+    amounts = {p: money(p) for p in sums if p in ("revenue", "late_revenue")}
     if not by_customer:
-        return source.groupBy(*[F.col(f"`{k}`") for k in level]).agg(*folded)
+        return source.groupBy(*[F.col(f"`{k}`") for k in level]).agg(*folded).withColumns(amounts)
 
     per_customer = source.groupBy(*[F.col(f"`{k}`") for k in level]).agg(*folded)
     if set(of_customer) - {"Customer_ID"}:
@@ -317,7 +319,7 @@ def _order_totals(
         totals.append(F.count("Customer_ID").alias("customers"))
     return per_customer.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
         *(totals or [F.count(F.lit(1)).alias("_rows")])
-    )
+    ).withColumns(amounts)
 
 
 def _top_customer_revenue(model: SalesModel, keys: Sequence[str], filters: Filters) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.functions.numeric import money_sum, pct, ratio, round2
+from orderloom.functions.numeric import cents, money, money_sum, pct, ratio, round2
 from orderloom.functions.ranking import dense_rank, running_sum
 from orderloom.operators.scratch import materialize
 
@@ -45,14 +45,14 @@ def regional_sales_contribution(orders: DataFrame, regions: DataFrame) -> DataFr
     so order counts add up and neither distinct count multiplies the fact's rows.
     """
     per_customer = orders.groupBy("Region_ID", "Customer_ID").agg(
-        money_sum("Revenue").alias("revenue"),
+        F.sum(cents("Revenue")).alias("cents"),
         F.sum("Quantity").alias("units"),
         F.count_distinct("Order_ID").alias("orders"),
     )
     sales = (
         per_customer.groupBy("Region_ID")
         .agg(
-            F.sum("revenue").alias("total_revenue"),
+            money(F.sum("cents")).alias("total_revenue"),
             F.sum("units").alias("total_units_sold"),
             F.sum("orders").alias("total_orders"),
             F.count("Customer_ID").alias("active_customers"),
