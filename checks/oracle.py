@@ -996,3 +996,46 @@ for _name, _column, _uses, _sql in (
     ("forecast_month", "forecast_month:t", "wide", "SELECT DISTINCT mon AS forecast_month FROM wide"),
 ):
     SQL[f"slicer_{_name}"] = query(_uses, _column, _sql)
+
+# --- files ---------------------------------------------------------------------------
+
+_ORDER_ROWS = """SELECT oid AS Order_ID, odate AS Order_Date, cust AS Customer_ID, prod AS Product_ID,
+    reg AS Region_ID, qty AS Quantity, price AS Unit_Price, rev AS Revenue, days AS Delivery_Days,
+    status AS Order_Status FROM line"""
+_ORDER_TYPES = (
+    "Order_ID:s,Order_Date:t,Customer_ID:s,Product_ID:s,Region_ID:s,Quantity:i,Unit_Price:d,Revenue:d,"
+    "Delivery_Days:i,Order_Status:s"
+)
+SQL["csv_orders"] = query("line", _ORDER_TYPES, _ORDER_ROWS)
+SQL["csv_orders_cleaned"] = SQL["csv_orders"]
+SQL["csv_forecast"] = SQL["forecast_results"].replace('CAST("Region_ID" AS BIGINT)', 'CAST("Region_ID" AS VARCHAR)')
+SQL["registered_tables"] = query(
+    "line buyer", "Customer_Type:s,Order_Status:s,lines:i,units:i",
+    """SELECT ctype AS Customer_Type, status AS Order_Status, count(*) AS lines, sum(qty) AS units
+       FROM line JOIN buyer USING (cust) GROUP BY ctype, status""",
+)
+SQL["exported_reports"] = query(
+    "line buyer item area detail series", "report:s,rows:i",
+    """SELECT unnest(['annual_sales_trend', 'annual_fulfillment_kpi']) AS report, count(DISTINCT yr) AS rows
+       FROM line
+       UNION ALL SELECT unnest(['regional_sales_contribution', 'regional_fulfillment_performance']),
+           count(DISTINCT reg) FROM line
+       UNION ALL SELECT unnest(['product_revenue_contribution', 'product_fulfillment_bottlenecks']),
+           count(DISTINCT prod) FROM line
+       UNION ALL SELECT 'customer_value_ranking', count(DISTINCT cust) FROM line
+       UNION ALL SELECT 'customer_type_performance', count(DISTINCT ctype) FROM line JOIN buyer USING (cust)
+       UNION ALL SELECT 'customer_growth_and_risk', count(*) FROM buyer
+       UNION ALL SELECT 'regional_market_opportunity',
+           (SELECT count(*) FROM area) * count(DISTINCT ctype) FROM buyer
+       UNION ALL SELECT 'forecast_detail', count(*) FROM detail
+       UNION ALL SELECT 'planning_exceptions', count(*) FROM detail WHERE model = 'Moving Average 6'
+       UNION ALL SELECT 'model_benchmark', count(DISTINCT model) FROM detail
+       UNION ALL SELECT 'annual_forecast_accuracy', count(DISTINCT (year(mon), model)) FROM detail
+       UNION ALL SELECT 'product_forecast_accuracy', count(DISTINCT (prod, model)) FROM detail
+       UNION ALL SELECT 'regional_forecast_accuracy', count(DISTINCT (reg, model)) FROM detail
+       UNION ALL SELECT 'product_market_forecast_accuracy', count(DISTINCT (prod, reg, model)) FROM detail
+       UNION ALL SELECT 'monthly_forecast_trend', count(DISTINCT (mon, model)) FROM detail
+       UNION ALL SELECT 'series_benchmark_comparison', count(*) FROM series
+       UNION ALL SELECT 'repeated_forecast_bias', count(*) FROM series WHERE n = 6 AND greatest(o, u) >= 5
+       UNION ALL SELECT 'monthly_demand_fulfillment_reconciliation', count(DISTINCT mon) FROM detail""",
+)

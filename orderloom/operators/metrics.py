@@ -16,18 +16,18 @@ def add_errors(df: DataFrame, forecast: str, actual: str, names: Sequence[str])
     return df.withColumns(dict(zip(names, (error, F.abs(error), error * error))))
 
 
-def long_predictions(results: DataFrame, models: Mapping[str, str] = MODEL_COLUMNS) -> DataFrame:
+def long_predictions(
+    results: DataFrame, models: Mapping[str, str] = MODEL_COLUMNS, carried: Sequence[str] = ()
+) -> DataFrame:
     """One row per observation and model from the wide forecast fact."""
     kinds = dict(results.dtypes)
     shared = "double" if any(kinds[c] == "double" for c in models.values()) else "decimal(18,2)"
     labelled = results.select(
-        F.col("Month").alias("forecast_month"), "Product_ID", "Region_ID", "Actual_Demand",
+        F.col("Month").alias("forecast_month"), "Product_ID", "Region_ID", "Actual_Demand", *carried,
         *[F.col(c).cast(shared).alias(label) for label, c in models.items()],
     )
-    return labelled.unpivot(
-        ["forecast_month", "Product_ID", "Region_ID", "Actual_Demand"],
-        list(models), "Model", "forecast_demand",
-    )
+    keys = ["forecast_month", "Product_ID", "Region_ID", "Actual_Demand", *carried]
+    return labelled.unpivot(keys, list(models), "Model", "forecast_demand")
 
 
 def forecast_evaluation_detail(
@@ -36,16 +36,19 @@ def forecast_evaluation_detail(
     regions: DataFrame,
     models: Mapping[str, str] = MODEL_COLUMNS,
 ) -> DataFrame:
-    """Long forecast fact with dimension names and errors at observation grain."""
-    named = (
-        long_predictions(results, models).join(products, "Product_ID").join(regions, "Region_ID")
-    ).select(
+    """Long forecast fact with dimension names and errors at observation grain.
+
+    Names are joined to the wide rows, before each becomes one row per model.
+    """
+    wide = results.join(products, "Product_ID").join(regions, "Region_ID")
+    names = ("Product_Category", "Product_Line", "Region")
+    named = long_predictions(wide, models, names).select(
         "forecast_month", "Product_ID", "Region_ID", "Actual_Demand", "Model", "forecast_demand",
         "Product_Category", "Product_Line", "Region",
         F.lit(EVALUATION_SCOPE).alias("evaluation_scope"),
     )
-    names = ("forecast_error", "absolute_error", "squared_error")
-    return add_errors(named, "forecast_demand", "Actual_Demand", names)
+    errors = ("forecast_error", "absolute_error", "squared_error")
+    return add_errors(named, "forecast_demand", "Actual_Demand", errors)
 
 
 def error_summary(detail: DataFrame, keys: Sequence[str | Column]) -> DataFrame:

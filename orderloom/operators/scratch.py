@@ -25,10 +25,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder, grouped by application so that a run can be removed."""
+    run = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/{run}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
-    run = spark.sparkContext.applicationId
-    path = f"{scratch_root(spark)}/{run}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderloom.constants import CELL_KEYS, COMPLETED, DELAYED, SERIES_KEYS
 from orderloom.functions.dates import month_of
 from orderloom.functions.numeric import cents, money, pct, ratio
+from orderloom.operators.quality import check_key, enforce
 
 ORDER_COLUMNS = ("Order_ID", "Order_Date", "Customer_ID", "Product_ID", "Region_ID",
                  "Quantity", "Unit_Price", "Revenue", "Order_Status")
@@ -88,7 +89,11 @@ def demand_decomposition(diagnostics: DataFrame) -> DataFrame:
 
 
 def focus_test(diagnostics: DataFrame, results: DataFrame) -> DataFrame:
-    """Diagnostics of the evaluated cells beside their predictions."""
+    """Diagnostics of the evaluated cells beside their predictions, one to one.
+
+    Diagnostics have one row per cell by construction; the forecast is checked.
+    """
+    enforce({"forecast key": check_key(results, *CELL_KEYS)})
     return diagnostics.join(results, [*CELL_KEYS, "Actual_Demand"])
 
 

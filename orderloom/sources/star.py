@@ -55,13 +55,12 @@ class Star:
             part = self.table("part").select("p_partkey", F.col("p_brand").alias("Product_ID"))
             line = line.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         if "Region_ID" in wanted:
+            # Joined one after the other: the estimated size of a pre-joined pair is the
+            # product of both files, which would forbid broadcasting a small supplier table.
             nation = self.table("nation").select("n_nationkey", F.col("n_regionkey").alias("Region_ID"))
-            seller = (
-                self.table("supplier")
-                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-                .select("s_suppkey", "Region_ID")
-            )
+            seller = self.table("supplier").select("s_suppkey", "s_nationkey")
             line = line.join(seller, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            line = line.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         fact = line.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
         ship, ordered = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
