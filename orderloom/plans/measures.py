@@ -20,6 +20,7 @@ from orderloom.constants import (
 )
 from orderloom.functions.dates import month_of, quarter_label
 from orderloom.functions.numeric import cents, money, ratio, short_money
+from orderloom.operators.scratch import materialize
 
 TOP_CUSTOMERS = 10
 
@@ -207,17 +208,26 @@ def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
 
 # --- orders ---------------------------------------------------------------------
 
-_SUMS = ("revenue", "units", "days", "deliveries", "late_revenue", "done_units")
+_SUMS = ("revenue", "units", "days", "deliveries", "late_revenue", "done_units", "last_date")
 _ORDER_COUNTS = ("orders", "late_orders", "done_orders")
 _SOURCE = {
     "revenue": ("Revenue",), "units": ("Quantity",), "days": ("Delivery_Days",),
     "deliveries": ("Delivery_Days",), "late_revenue": ("Revenue", "Order_Status"),
     "done_units": ("Quantity", "Order_Status"), "orders": ("Order_ID",),
     "late_orders": ("Order_ID", "Order_Status"), "done_orders": ("Order_ID", "Order_Status"),
-    "customers": ("Customer_ID",),
+    "customers": ("Customer_ID",), "last_date": ("Order_Date",),
 }
 
 
+def _fold(part: str) -> Column:
+    """Combine finer rows of a part into coarser ones."""
+    return (F.max(part) if part == "last_date" else F.sum(part)).alias(part)
+
+
+def _group(df: DataFrame, keys: Sequence[str]):
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys])
+
+
 def _line_sums(parts: Sequence[str]) -> list[Column]:
     done = F.col("Order_Status") == COMPLETED if {"done_units"} & set(parts) else None
     late = F.col("Order_Status") == DELAYED if {"late_revenue"} & set(parts) else None
@@ -228,6 +238,7 @@ def _line_sums(parts: Sequence[str]) -> list[Column]:
         "deliveries": lambda: F.count("Delivery_Days"),
         "late_revenue": lambda: F.sum(F.when(late, cents("Revenue"))),
         "done_units": lambda: F.sum(F.when(done, F.col("Quantity"))),
+        "last_date": lambda: F.max("Order_Date"),
     }
     return [made[p]().alias(p) for p in parts if p in made]
 
@@ -238,6 +249,7 @@ def _order_totals(
     keys: Sequence[str],
     filters: Filters,
     shift_months: int = 0,
+    last_date: Column | None = None,
 ) -> DataFrame:
     """Reduce the order fact: first to orders, then to customers, then to the groups.
 
@@ -259,9 +271,10 @@ def _order_totals(
     fact = model.orders(*sorted(columns))
 
     if shift_months:
-        last = model.orders("Order_Date").agg(F.max("Order_Date")).scalar()
+        if last_date is None:
+            last_date = model.orders("Order_Date").agg(F.max("Order_Date")).scalar()
         fact = fact.withColumn("Order_Date", F.add_months("Order_Date", shift_months))
-        fact = fact.where(F.col("Order_Date") <= last)
+        fact = fact.where(F.col("Order_Date") <= last_date)
     if of_calendar:
         days = calendar_columns(F.col("Order_Date"))
         fact = fact.withColumns({c: days[c] for c in of_calendar})
@@ -285,7 +298,7 @@ def _order_totals(
             "done_orders": lambda: F.max(status == COMPLETED),
         }
         order_key = [] if "Order_ID" in level else ["Order_ID"]
-        per_order = fact.groupBy(*[F.col(f"`{k}`") for k in level], *order_key).agg(
+        per_order = _group(fact, [*level, *order_key]).agg(
             F.count("Order_ID").alias("_lines"),
             *_line_sums(sums),
             *[flags[c]().alias(f"_{c}") for c in counts if c in flags],
@@ -296,7 +309,7 @@ def _order_totals(
             "late_orders": F.count_if(F.col("_late_orders") & known) if "late_orders" in counts else None,
             "done_orders": F.count_if(F.col("_done_orders") & known) if "done_orders" in counts else None,
         }
-        source, folded = per_order, [F.sum(p).alias(p) for p in sums]
+        source, folded = per_order, [_fold(p) for p in sums]
         folded += [tally[c].alias(c) for c in counts]
     else:
         source, folded = fact, _line_sums(sums) or [F.count(F.lit(1)).alias("_rows")]
@@ -304,9 +317,9 @@ def _order_totals(
     # money stays in whole cents until the last level
     amounts = {p: money(p) for p in sums if p in ("revenue", "late_revenue")}
     if not by_customer:
-        return source.groupBy(*[F.col(f"`{k}`") for k in level]).agg(*folded).withColumns(amounts)
+        return _group(source, level).agg(*folded).withColumns(amounts)
 
-    per_customer = source.groupBy(*[F.col(f"`{k}`") for k in level]).agg(*folded)
+    per_customer = _group(source, level).agg(*folded)
     if set(of_customer) - {"Customer_ID"}:
         buyers = model.customers
         if set(of_customer) & {"Region"}:
@@ -314,56 +327,71 @@ def _order_totals(
         wanted = list(dict.fromkeys(["Customer_ID", *of_customer]))
         per_customer = per_customer.join(buyers.select(*wanted), "Customer_ID", "left")
     per_customer = _matching(per_customer, filters, [*CUSTOMER_COLUMNS, *REGION_COLUMNS])
-    totals = [F.sum(p).alias(p) for p in [*sums, *counts]]
+    if {"Customer_ID", "Order_ID"} & set(keys):
+        # already one row per group
+        known = F.col("Customer_ID").isNotNull().cast("bigint").alias("customers")
+        columns = [F.col(f"`{k}`") for k in keys] + [known] * ("customers" in parts)
+        return per_customer.select(*columns, *sums, *counts).withColumns(amounts)
+    totals = [_fold(p) for p in [*sums, *counts]]
     if "customers" in parts:
         totals.append(F.count("Customer_ID").alias("customers"))
-    return per_customer.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        *(totals or [F.count(F.lit(1)).alias("_rows")])
-    ).withColumns(amounts)
+    return _group(per_customer, keys).agg(*totals or [F.count(F.lit(1)).alias("_rows")]).withColumns(amounts)
 
 
-def _top_customer_revenue(model: SalesModel, keys: Sequence[str], filters: Filters) -> DataFrame:
+def _top_customer_revenue(per_customer: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Revenue of each group's largest customers, ties at the cut included.
 
     Spark keeps only the leading rows of every task before the ranks are shuffled.
     """
-    inner = list(dict.fromkeys([*keys, "Customer_ID"]))
-    per_customer = _order_totals(model, ["revenue"], inner, filters)
     leading = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.desc_nulls_last("revenue"))
-    return (
-        per_customer.withColumn("_place", F.rank().over(leading))
-        .where(F.col("_place") <= TOP_CUSTOMERS)
-        .groupBy(*[F.col(f"`{k}`") for k in keys])
-        .agg(F.sum("revenue").alias("top_revenue"))
+    placed = per_customer.withColumn("_place", F.rank().over(leading))
+    return _group(placed.where(F.col("_place") <= TOP_CUSTOMERS), keys).agg(
+        F.sum("revenue").alias("top_revenue")
     )
 
 
 def _orders_frame(
     model: SalesModel, needs: Sequence[str], keys: Sequence[str], filters: Filters
 ) -> DataFrame:
+    """All parts of the order measures, with as few passes over the fact as they allow."""
     parts = [p for p in _SOURCE if p in needs]
-    if not parts or "all_customer_revenue" in needs or "previous_revenue" in needs:
+    if not parts or {"all_customer_revenue", "previous_revenue", "top_revenue"} & set(needs):
         parts = list(dict.fromkeys([*parts, "revenue"]))
-    frame = _order_totals(model, parts, keys, filters)
+    wants_previous, last_date, per_customer = "previous_revenue" in needs, None, None
+    if "top_revenue" in needs:
+        # One pass to customers within groups, stored; totals and leaders are read off it.
+        extra = ["last_date"] if wants_previous and not filters else []
+        finer = list(dict.fromkeys([*keys, "Customer_ID"]))
+        per_customer = materialize(
+            _order_totals(model, [*parts, *extra], finer, filters), "customer-measures"
+        )
+        frame = _group(per_customer, keys).agg(*[_fold(p) for p in parts])
+        if extra:
+            last_date = per_customer.agg(F.max("last_date")).scalar()
+    else:
+        frame = _order_totals(model, parts, keys, filters)
+
     if "all_customer_revenue" in needs:
         # every customer: neither customer nor (customer-reached) region filters apply
         dropped = {*CUSTOMER_COLUMNS, *REGION_COLUMNS}
         kept = [k for k in keys if k not in dropped]
         rest = {k: v for k, v in filters.items() if k not in dropped}
-        total = _order_totals(model, ["revenue"], kept, rest).withColumnRenamed(
-            "revenue", "all_customer_revenue"
-        )
+        if per_customer is not None and len(rest) == len(filters):
+            total = _group(per_customer, kept).agg(_fold("revenue"))
+        else:
+            total = _order_totals(model, ["revenue"], kept, rest)
+        total = total.withColumnRenamed("revenue", "all_customer_revenue")
         if kept:
             frame = _join_groups(frame, total, kept, "left")
         else:
             frame = frame.withColumn("all_customer_revenue", total.select("all_customer_revenue").scalar())
-    if "previous_revenue" in needs:
-        before = _order_totals(model, ["revenue"], keys, filters, shift_months=12)
+    if wants_previous:
+        before = _order_totals(model, ["revenue"], keys, filters, shift_months=12, last_date=last_date)
         frame = _join_groups(
             frame, before.withColumnRenamed("revenue", "previous_revenue"), keys, "full"
         )
-    if "top_revenue" in needs:
-        frame = _join_groups(frame, _top_customer_revenue(model, keys, filters), keys, "left")
+    if per_customer is not None:
+        frame = _join_groups(frame, _top_customer_revenue(per_customer, keys), keys, "left")
     return frame
 
 
