@@ -58,14 +58,20 @@ def history(star: Star) -> DemandHistory:
     return demand_history(star.orders(*PANEL_COLUMNS))
 
 
-def results(star: Star) -> DataFrame:
-    """The frozen forecast fact, stored once as the reports expect to find it."""
+def forecast_rows(star: Star) -> DataFrame:
+    """The forecast fact, for queries that read it once."""
     test = history(star).test.withColumn("Forecast_Demand", F.col("Demand_Rolling_Mean_6").cast(DECIMAL))
-    return materialize(modeling.forecast_results(test, DECIMAL), "forecast-fact")
+    return modeling.forecast_results(test, DECIMAL)
+
 
+def results(star: Star) -> DataFrame:
+    """The frozen forecast fact, stored for queries that read it several times."""
+    return materialize(forecast_rows(star), "forecast-fact")
 
-def detail(star: Star) -> DataFrame:
-    return forecast_evaluation_detail(results(star), star.products(), star.regions(), MODELS)
+
+def detail(star: Star, stored: bool = False) -> DataFrame:
+    fact = results(star) if stored else forecast_rows(star)
+    return forecast_evaluation_detail(fact, star.products(), star.regions(), MODELS)
 
 
 # --- sales, customers, delivery ----------------------------------------------------
@@ -129,7 +135,9 @@ def product_fulfillment_bottlenecks(star: Star) -> DataFrame:
 @register
 def monthly_demand_fulfillment_reconciliation(star: Star) -> DataFrame:
     orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS)
-    return fulfillment.monthly_demand_fulfillment_reconciliation(orders, detail(star), PRIMARY)
+    return fulfillment.monthly_demand_fulfillment_reconciliation(
+        orders, detail(star, stored=True), PRIMARY
+    )
 
 
 # --- panel, features, split --------------------------------------------------------
@@ -156,12 +164,12 @@ def month_folds(star: Star) -> DataFrame:
 
 # --- forecast accuracy ---------------------------------------------------------------
 
-register(results, "forecast_results")
+register(forecast_rows, "forecast_results")
 
 
 @register
 def benchmark_results(star: Star) -> DataFrame:
-    return modeling.benchmark_results(results(star), MODELS)
+    return modeling.benchmark_results(forecast_rows(star), MODELS)
 
 
 for _report in (
@@ -199,21 +207,21 @@ for _label, _keys in {
     "series": ["Product_ID", "Region_ID"],
 }.items():
     register(
-        lambda star, keys=_keys: error_review.summarize_errors(results(star), keys, MODELS),
+        lambda star, keys=_keys: error_review.summarize_errors(forecast_rows(star), keys, MODELS),
         f"errors_by_{_label}",
     )
 
 
 def reviewed_series(star: Star) -> DataFrame:
-    summary = error_review.summarize_errors(results(star), ["Product_ID", "Region_ID"], MODELS)
-    return error_review.series_errors(summary, PRIMARY)
+    summary = error_review.summarize_errors(forecast_rows(star), ["Product_ID", "Region_ID"], MODELS)
+    return error_review.series_errors(materialize(summary, "series-errors"), PRIMARY)
 
 
 register(reviewed_series, "series_errors")
 register(lambda star: error_review.top_series(reviewed_series(star)), "top_series")
 register(lambda star: error_review.repeated_bias(reviewed_series(star)), "repeated_bias_series")
 register(lambda star: error_review.not_beating(reviewed_series(star)), "not_beating_baselines")
-register(lambda star: error_review.largest_errors(results(star)), "largest_errors")
+register(lambda star: error_review.largest_errors(forecast_rows(star)), "largest_errors")
 
 
 @register
@@ -337,7 +345,7 @@ def baseline_mismatches(star: Star) -> DataFrame:
 
 
 register(
-    lambda star: quality.count_broken_rules(results(star), quality.forecast_rules()),
+    lambda star: quality.count_broken_rules(forecast_rows(star), quality.forecast_rules()),
     "forecast_rule_violations",
 )
 
@@ -352,10 +360,10 @@ def accuracy_views(rows: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-register(lambda star: quality.grouped_totals(accuracy_views(detail(star))), "grouped_totals")
+register(lambda star: quality.grouped_totals(accuracy_views(detail(star, stored=True))), "grouped_totals")
 
 
-register(lambda star: quality.recomputed_metrics(results(star), MODELS), "recomputed_metrics")
+register(lambda star: quality.recomputed_metrics(forecast_rows(star), MODELS), "recomputed_metrics")
 
 
 @register
@@ -382,7 +390,7 @@ CHOSEN = {
 
 
 def model(star: Star, with_forecast: bool = False) -> measures.SalesModel:
-    fact = results(star) if with_forecast else None
+    fact = forecast_rows(star) if with_forecast else None
     # Stored, because the brands are derived: a scan of them has a known, small size, and
     # the join with the order fact is then planned by that size and not by the part table's.
     products = materialize(star.products(), "products")
@@ -536,7 +544,7 @@ def csv_orders_cleaned(star: Star) -> DataFrame:
 def csv_forecast(star: Star) -> DataFrame:
     """The forecast fact after a trip through CSV."""
     path = scratch_path(star.spark, "forecast-csv")
-    write_forecast(results(star), path)
+    write_forecast(forecast_rows(star), path)
     return read_forecast(star.spark, path)
 
 
