@@ -12,14 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderloom.constants import MODEL_COLUMNS, NAIVE, SEASONAL_NAIVE
-from orderloom.operators import modeling
-from orderloom.operators.features import DemandHistory, demand_history
+from orderloom.operators import modeling, quality
+from orderloom.operators.features import DemandHistory, assemble, demand_history
 from orderloom.operators.metrics import forecast_evaluation_detail
 from orderloom.operators.panel import ORDER_COLUMNS as PANEL_COLUMNS, month_spine, monthly_observed
-from orderloom.operators.scratch import materialize
-from orderloom.plans import customers, forecast, fulfillment, sales
+from orderloom.operators.scratch import materialize, scratch_path
+from orderloom.plans import (
+    customers, datasets, diagnostics, error_review, forecast, fulfillment, measures, sales,
+)
+from orderloom.plans.reports import Tables, reports
 from orderloom.session import configure
+from orderloom.sources.sinks import export_reports, write_forecast, write_frame
 from orderloom.sources.star import Star
+from orderloom.sources.tables import (
+    parse_dates, parse_numbers, read_forecast, read_table, read_text_table, register_sources,
+)
 
 PRIMARY = "Moving Average 6"
 MODELS = {
@@ -199,9 +206,6 @@ def planning_exceptions(star: Star) -> DataFrame:
 
 # --- error review --------------------------------------------------------------------
 
-from orderloom.operators import quality  # noqa: E402
-from orderloom.plans import diagnostics, error_review  # noqa: E402
-
 for _label, _keys in {
     "product": ["Product_ID"], "region": ["Region_ID"], "month": ["Month"],
     "series": ["Product_ID", "Region_ID"],
@@ -334,12 +338,13 @@ def split_report(star: Star) -> DataFrame:
 
 @register
 def baseline_mismatches(star: Star) -> DataFrame:
-    fact, orders = results(star), star.orders(*PANEL_COLUMNS)
+    fact = results(star)
+    cells = materialize(monthly_observed(star.orders(*PANEL_COLUMNS)), "monthly-observed")
     return quality.count_violations(
         {
-            "forecast actuals": quality.check_actuals(fact, orders),
-            "naive baseline": quality.check_baseline(fact, orders, "Naive_Forecast", 1),
-            "seasonal baseline": quality.check_baseline(fact, orders, "Seasonal_Naive_Forecast", 12),
+            "forecast actuals": quality.check_actuals(fact, cells),
+            "naive baseline": quality.check_baseline(fact, cells, "Naive_Forecast", 1),
+            "seasonal baseline": quality.check_baseline(fact, cells, "Seasonal_Naive_Forecast", 12),
         }
     )
 
@@ -378,8 +383,6 @@ def result_gate(star: Star) -> DataFrame:
 
 # --- measures --------------------------------------------------------------------------
 
-from orderloom.plans import datasets, measures  # noqa: E402
-
 # Slicer selections used by the filtered measure queries.
 CHOSEN = {
     "Region": ["ASIA", "EUROPE"],
@@ -481,8 +484,6 @@ for _label, _column in datasets.SLICERS.items():
 
 # --- forest forecast and model selection (not expressible in SQL) ---------------------------
 
-from orderloom.operators.features import assemble  # noqa: E402
-
 # The parameters that model selection settled on for the established forecast.
 SELECTED_DEPTH, SELECTED_LEAF = 12, 3
 
@@ -510,13 +511,6 @@ def model_selection(star: Star) -> DataFrame:
 
 # --- files: typed scans, lenient parsing, named tables, exports ------------------------------
 
-from orderloom.operators.scratch import scratch_path  # noqa: E402
-from orderloom.plans.reports import Tables, reports  # noqa: E402
-from orderloom.sources.sinks import export_reports, write_forecast, write_frame  # noqa: E402
-from orderloom.sources.tables import (  # noqa: E402
-    parse_dates, parse_numbers, read_forecast, read_table, read_text_table, register_sources,
-)
-
 
 def orders_as_csv(star: Star) -> str:
     path = scratch_path(star.spark, "orders-csv")

@@ -81,15 +81,20 @@ class DemandHistory:
     test: DataFrame
 
 
-def demand_history(orders: DataFrame, months: int = TEST_MONTHS) -> DemandHistory:
+def demand_history(
+    orders: DataFrame, months: int = TEST_MONTHS, store_features: bool = False
+) -> DemandHistory:
     """From orders to test rows with one scan of the fact.
 
-    Only the observed month cells are stored; year and month bounds come from them.
+    The observed month cells are stored and give the year and month bounds. Store the
+    features as well when both sides of the split are read, possibly several times.
     """
     observed = materialize(monthly_observed(orders), "monthly-observed")
     first_year = observed.agg(F.year(F.min("Month"))).scalar()
     panel = calendar_features(complete_panel(observed), first_year)
     features = demand_features(panel)
+    if store_features:
+        features = materialize(features, "demand-features")
     usable = drop_warmup(features)
     last_month = observed.agg(F.max("Month")).scalar()
     return DemandHistory(observed, panel, features, usable, *split_final(usable, months, last_month))

@@ -16,6 +16,7 @@ from orderloom.constants import (
 )
 from orderloom.functions.numeric import close_to, is_finite, pct, ratio
 from orderloom.operators.panel import monthly_observed
+from orderloom.operators.scratch import materialize
 
 
 class QualityError(ValueError):
@@ -174,28 +175,28 @@ def forecast_rules() -> dict[str, Column]:
 # --- forecast fact -------------------------------------------------------------
 
 
-def _demand_lookup(results: DataFrame, orders: DataFrame, column: str, months_back: int) -> DataFrame:
+def _demand_lookup(results: DataFrame, observed: DataFrame, column: str, months_back: int) -> DataFrame:
     """Forecast rows beside the demand observed `months_back` earlier, 0 when there was none."""
-    observed = monthly_observed(orders).select(
+    shifted = observed.select(
         F.add_months("Month", months_back).alias("Month"), "Product_ID", "Region_ID",
         F.col("Actual_Demand").alias("observed"),
     )
     first, last = (results.agg(f("Month")).scalar() for f in (F.min, F.max))
-    needed = observed.where(F.col("Month").between(first, last))
+    needed = shifted.where(F.col("Month").between(first, last))
     return results.select(*CELL_KEYS, F.col(column).alias("stored")).join(
         needed, CELL_KEYS, "left"
     ).withColumn("observed", F.coalesce("observed", F.lit(0)))
 
 
-def check_actuals(results: DataFrame, orders: DataFrame) -> DataFrame:
-    """Forecast rows whose actual demand is not what the orders add up to."""
-    rows = _demand_lookup(results, orders, "Actual_Demand", 0)
+def check_actuals(results: DataFrame, observed: DataFrame) -> DataFrame:
+    """Forecast rows whose actual demand is not what the orders add up to (`monthly_observed`)."""
+    rows = _demand_lookup(results, observed, "Actual_Demand", 0)
     return check_condition(rows, close_to("stored", "observed"))
 
 
-def check_baseline(results: DataFrame, orders: DataFrame, column: str, months: int) -> DataFrame:
-    """Rows whose baseline is not the demand of so many months earlier."""
-    rows = _demand_lookup(results, orders, column, months)
+def check_baseline(results: DataFrame, observed: DataFrame, column: str, months: int) -> DataFrame:
+    """Rows whose baseline is not the demand observed so many months earlier."""
+    rows = _demand_lookup(results, observed, column, months)
     return check_condition(rows, close_to("stored", "observed"))
 
 
@@ -352,8 +353,10 @@ def input_gate(
 ) -> DataFrame:
     """Violations of everything that must hold before any report is computed.
 
-    Row-level rules share one scan per fact; keys and references read single columns.
+    Row-level rules share one scan per fact, the three demand comparisons share the stored
+    month cells, and keys and references read single columns.
     """
+    observed = materialize(monthly_observed(orders), "monthly-observed")
     keyed = {
         "orders not empty": check_not_empty(orders),
         "forecast not empty": check_not_empty(results),
@@ -368,9 +371,9 @@ def input_gate(
         "forecast products": check_reference(results, products, "Product_ID"),
         "forecast regions": check_reference(results, regions, "Region_ID"),
         "customer regions": check_reference(customers, regions, "Region_ID"),
-        "forecast actuals": check_actuals(results, orders),
-        "naive baseline": check_baseline(results, orders, "Naive_Forecast", 1),
-        "seasonal baseline": check_baseline(results, orders, "Seasonal_Naive_Forecast", 12),
+        "forecast actuals": check_actuals(results, observed),
+        "naive baseline": check_baseline(results, observed, "Naive_Forecast", 1),
+        "seasonal baseline": check_baseline(results, observed, "Seasonal_Naive_Forecast", 12),
     }
     return (
         count_broken_rules(orders, order_rules())

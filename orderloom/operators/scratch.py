@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; only a local session may go without."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -70,9 +70,9 @@ def test_forecast_run_end_to_end(seasonal_orders):
     assert quality.check_key(run.results, "Month", "Product_ID", "Region_ID").count() == 0
     rules = quality.count_broken_rules(run.results, quality.forecast_rules())
     assert all(r["violations"] == 0 for r in rules.collect())
-    assert quality.check_actuals(run.results, seasonal_orders).count() == 0
-    assert quality.check_baseline(run.results, seasonal_orders, "Naive_Forecast", 1).count() == 0
-    assert quality.check_baseline(run.results, seasonal_orders, "Seasonal_Naive_Forecast", 12).count() == 0
+    assert quality.check_actuals(run.results, run.history.observed).count() == 0
+    assert quality.check_baseline(run.results, run.history.observed, "Naive_Forecast", 1).count() == 0
+    assert quality.check_baseline(run.results, run.history.observed, "Seasonal_Naive_Forecast", 12).count() == 0
     benchmark = by_key(modeling.benchmark_results(run.results), "Model")
     again = by_key(quality.recomputed_metrics(run.results), "Model")
     for label in benchmark:
