@@ -25,6 +25,7 @@ def main() -> None:
     reports = commands.add_parser("reports", help="gate the tables and write all reports")
     reports.add_argument("--data", required=True, help="folder with the order, customer, product, region CSVs")
     reports.add_argument("--forecast", required=True)
+    reports.add_argument("--forecast-format", choices=["csv", "parquet"], default="csv")
     for command in (forecast, reports):
         command.add_argument("--out", required=True)
         command.add_argument("--format", choices=["csv", "parquet"], default="csv")
@@ -41,7 +42,7 @@ def main() -> None:
     else:
         names = ("sales_orders", "customers", "products", "regions")
         frames = [read_table(spark, name, f"{args.data}/{name}.csv") for name in names]
-        tables = Tables(*frames, read_forecast(spark, args.forecast))
+        tables = Tables(*frames, read_forecast(spark, args.forecast, args.forecast_format))
         for name, rows in run_reports(tables, args.out, args.format).items():
             print(f"{name}: {rows} rows")
 

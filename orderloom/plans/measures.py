@@ -399,7 +399,11 @@ def _orders_frame(
 
 
 def _forecast_frame(
-    model: SalesModel, needs: Sequence[str], keys: Sequence[str], filters: Filters
+    model: SalesModel,
+    needs: Sequence[str],
+    keys: Sequence[str],
+    filters: Filters,
+    every_sum: bool = False,
 ) -> DataFrame:
     """Reduce the forecast fact; customer and order columns do not reach it."""
     if model.forecast is None:
@@ -436,13 +440,9 @@ def _forecast_frame(
         "seasonal_abs": F.sum(F.abs(seasonal)),
         "seasonal_sq": F.sum(seasonal * seasonal),
     }
-    wants_benchmark = "benchmark" in needs or MODEL_COLUMN in keys
-    picked = list(sums) if wants_benchmark else [n for n in sums if n in needs]
+    picked = [n for n in sums if every_sum or n in needs]
     group = [k for k in keys if k in reachable]
-    frame = rows.groupBy(*[F.col(f"`{k}`") for k in group]).agg(
-        *[sums[n].alias(n) for n in picked or ["rows"]]
-    )
-    return _with_models(frame, model, keys, filters) if wants_benchmark else frame
+    return _group(rows, group).agg(*[sums[n].alias(n) for n in picked or ["rows"]])
 
 
 def model_selector(primary_model: str = RANDOM_FOREST) -> list[tuple[str, int]]:
@@ -498,24 +498,21 @@ def evaluate(
     on_orders = [m for n, m in chosen.items() if n in ORDER_MEASURES]
     on_forecast = [m for n, m in chosen.items() if n in FORECAST_MEASURES]
 
+    groups = [k for k in keys if k != MODEL_COLUMN]
+    wants_models = MODEL_COLUMN in keys or any("benchmark" in m.needs for m in on_forecast)
     frames = []
     if on_orders:
         needs = list(dict.fromkeys(n for m in on_orders for n in m.needs))
-        order_keys = [k for k in keys if k != MODEL_COLUMN]
-        frames.append(_orders_frame(model, needs, order_keys, filters))
-    if on_forecast or MODEL_COLUMN in keys:
+        frames.append(_orders_frame(model, needs, groups, filters))
+    if on_forecast or wants_models:
         needs = list(dict.fromkeys(n for m in on_forecast for n in m.needs))
-        frames.append(_forecast_frame(model, needs, keys, filters))
+        frames.append(_forecast_frame(model, needs, groups, filters, wants_models))
 
+    frame = frames[0]
     if len(frames) == 2:
-        shared = [k for k in keys if k in frames[0].columns and k in frames[1].columns]
-        left, right = frames
-        if shared == keys or not shared:
-            frame = _join_groups(left, right, shared, "full")
-        elif set(shared) == set(k for k in keys if k in right.columns):
-            frame = _join_groups(left, right, shared, "left")
-        else:
-            frame = _join_groups(right, left, shared, "left")
-    else:
-        frame = frames[0]
+        right = frames[1]
+        shared = [k for k in groups if k in right.columns]  # orders have every group column
+        frame = _join_groups(frame, right, shared, "full" if shared == groups else "left")
+    if wants_models:
+        frame = _with_models(frame, model, keys, filters)
     return frame.select(*[F.col(f"`{k}`") for k in keys], *[m.value().alias(n) for n, m in chosen.items()])

@@ -128,6 +128,17 @@ def test_benchmark_by_model_row(model):
     assert one(model, ["Benchmark MAE"], {"Model": ["Naive Forecast"]})["Benchmark MAE"] == pytest.approx(25 / 3)
 
 
+def test_order_measures_repeat_per_model_row(model):
+    rows = by_key(evaluate(model, ["Total Revenue", "Benchmark MAE"], ["Model"]), "Model")
+    assert len(rows) == 3 and {r["Total Revenue"] for r in rows.values()} == {Decimal("840.00")}
+    both = evaluate(model, ["Total Revenue", "Benchmark MAE"], ["Year", "Model"]).collect()
+    assert len(both) == 9  # every year beside every model
+    assert {r["Benchmark MAE"] for r in both if r["Year"] != 2025} == {None}
+    types = by_key(evaluate(model, ["Total Revenue", "Benchmark MAE"], ["Customer_Type", "Model"]),
+                   "Customer_Type", "Model")
+    assert len(types) == 6 and types[("Dealer", "Naive Forecast")]["Benchmark MAE"] == pytest.approx(25 / 3)
+
+
 def test_every_measure_evaluates_by_a_shared_group(model):
     frame = evaluate(model, list(measures.MEASURES), ["Product_Category"])
     assert len(measures.MEASURES) == 49  # 48 named measures and the implicit day sum
