@@ -560,3 +560,11 @@ def exported_reports(star: Star) -> DataFrame:
     built = {name: build() for name, build in reports(tables, MODELS, PRIMARY).items()}
     written = export_reports(built, scratch_path(star.spark, "reports"))
     return star.spark.createDataFrame(list(written.items()), "report string, rows bigint")
+
+
+@register
+def one_to_one_join(star: Star) -> DataFrame:
+    """Test rows beside the forecast fact, both proven unique per cell first."""
+    fact = results(star)
+    test = history(star).test.select("Month", "Product_ID", "Region_ID", "Demand_Lag_1", "Demand_Lag_12")
+    return quality.join_one_to_one(test, fact, ["Month", "Product_ID", "Region_ID"])

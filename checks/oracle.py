@@ -1039,3 +1039,13 @@ SQL["exported_reports"] = query(
        UNION ALL SELECT 'repeated_forecast_bias', count(*) FROM series WHERE n = 6 AND greatest(o, u) >= 5
        UNION ALL SELECT 'monthly_demand_fulfillment_reconciliation', count(DISTINCT mon) FROM detail""",
 )
+SQL["one_to_one_join"] = query(
+    "wide test",
+    "Month:t,Product_ID:s,Region_ID:i,Demand_Lag_1:i,Demand_Lag_12:i,Actual_Demand:i,Naive_Forecast:d,"
+    "Seasonal_Naive_Forecast:d,Forecast_Demand:d,Forecast_Error:d,Absolute_Error:d,Squared_Error:d",
+    """SELECT t.mon AS Month, t.prod AS Product_ID, t.reg AS Region_ID, lag1 AS Demand_Lag_1,
+       lag12 AS Demand_Lag_12, t.dem AS Actual_Demand, naive AS Naive_Forecast,
+       seasonal AS Seasonal_Naive_Forecast, fc AS Forecast_Demand, fc - t.dem AS Forecast_Error,
+       abs(fc - t.dem) AS Absolute_Error, (fc - t.dem) * (fc - t.dem) AS Squared_Error
+       FROM test t JOIN wide w ON w.mon = t.mon AND w.prod = t.prod AND w.reg = t.reg""",
+)

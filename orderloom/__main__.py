@@ -38,6 +38,7 @@ def main() -> None:
         write_panel(run.history.features, f"{args.out}/demand_features", args.format)
         write_forecast(run.results, f"{args.out}/model_forecast_results", args.format)
         modeling.cv_results(run.results, run.searches).show(truncate=False)
+        run.selected_metrics.show(truncate=False)
         modeling.benchmark_results(run.results).show(truncate=False)
     else:
         names = ("sales_orders", "customers", "products", "regions")

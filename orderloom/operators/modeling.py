@@ -213,6 +213,17 @@ def cv_results(df: DataFrame, searches: Mapping[str, Search]) -> DataFrame:
     return frame.orderBy("CV_MAE")
 
 
+def selected_test_metrics(searches: Mapping[str, Search], test: DataFrame) -> DataFrame:
+    """Test MAE and RMSE of the candidate with the best cross-validation score."""
+    best = min(searches.values(), key=lambda s: s.cv_mae)
+    error = F.col("prediction") - F.col("label")
+    return best.model.transform(test).agg(
+        F.lit(best.name).alias("Model"),
+        F.avg(F.abs(error)).alias("MAE"),
+        F.sqrt(F.avg(error * error)).alias("RMSE"),
+    )
+
+
 def baseline_predictions(test: DataFrame) -> DataFrame:
     """Last month and the same month last year as forecasts."""
     return test.withColumns(

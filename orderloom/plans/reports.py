@@ -119,6 +119,7 @@ class ForecastRun:
     history: DemandHistory
     searches: dict[str, modeling.Search]
     results: DataFrame
+    selected_metrics: DataFrame
 
 
 REQUIRED_ORDER_COLUMNS = ("Order_ID", "Order_Date", "Product_ID", "Region_ID", "Quantity")
@@ -145,6 +146,7 @@ def run_forecast(
         modeling.mean_baseline(), modeling.rf_candidates(), modeling.gbt_candidates()
     ]
     searches = modeling.search_all(chosen, assemble(steps.development))
-    predicted = modeling.predict_rf(searches["random_forest"].model, assemble(steps.test))
+    test = assemble(steps.test)
+    predicted = modeling.predict_rf(searches["random_forest"].model, test)
     results = materialize(modeling.forecast_results(predicted), "forecast-fact")
-    return ForecastRun(steps, searches, results)
+    return ForecastRun(steps, searches, results, modeling.selected_test_metrics(searches, test))

@@ -73,7 +73,11 @@ def test_forecast_run_end_to_end(seasonal_orders):
     assert quality.check_actuals(run.results, run.history.observed).count() == 0
     assert quality.check_baseline(run.results, run.history.observed, "Naive_Forecast", 1).count() == 0
     assert quality.check_baseline(run.results, run.history.observed, "Seasonal_Naive_Forecast", 12).count() == 0
+    chosen = run.selected_metrics.first()
+    assert chosen["Model"] == min(scores, key=scores.get) and chosen["RMSE"] >= chosen["MAE"] > 0
     benchmark = by_key(modeling.benchmark_results(run.results), "Model")
+    if chosen["Model"] == "random_forest":
+        assert chosen["MAE"] == pytest.approx(benchmark["Random Forest"]["MAE"])
     again = by_key(quality.recomputed_metrics(run.results), "Model")
     for label in benchmark:
         assert benchmark[label]["MAE"] == pytest.approx(again[label]["mae"])
