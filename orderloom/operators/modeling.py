@@ -22,7 +22,8 @@ from orderloom.operators.scratch import materialize
 SEED = 42
 TREES = 200
 # Quantile bins per feature. Split statistics travel as nodes x features x bins, so the
-# bin count sets the shuffle volume of a fit; 64 scored within 1 % of 256 on the panel.
+# bin count sets the shuffle volume of a fit. On the test panel 40 trees with 32 and 64
+# bins gave a test MAE of 75.5 and 75.6; 200 trees with 256 bins gave 74.9.
 MAX_BINS = 64
 UNLIMITED_DEPTH = 30  # the deepest tree Spark ML grows
 
