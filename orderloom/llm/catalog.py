@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import bpe, packing
+from orderloom.llm import bpe, chunks, minhash, packing, quality_rules
 from orderloom.llm.common import corpus_session, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,19 @@ def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return build
 
 
+@register
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = chunks.dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", "repeats.*")
+
+
+@register
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[f"quality.{c}" for c in (*counts, "base_failed", "kept", "failed_rules")])
+
+
 @register
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -39,3 +52,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@register
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.classes(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "class_id", "class_size", (F.col("key") == F.col("class_id")).alias("kept")
+    )
