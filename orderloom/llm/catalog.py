@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import bpe, chunks, minhash, packing, quality_rules
+from orderloom.llm import bpe, chunks, lines, minhash, packing, quality_rules
 from orderloom.llm.common import corpus_session, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "repeats.*")
 
 
+@register
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", "lines.*")
+
+
 @register
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -13,7 +13,7 @@ from orderloom.operators.scratch import materialize, scratch_path
 from orderloom.session import configure
 
 __all__ = [
-    "blocks", "corpus_session", "dense_ids", "document_key", "materialize", "need", "read_table",
+    "blocks", "corpus_session", "dense_ids", "document_key", "join_checked", "materialize", "need", "read_table",
     "scratch_path",
 ]
 
@@ -68,6 +68,18 @@ def blocks(rows: int, per_block: int, least: int = 1) -> int:
     return max(least, -(-rows // per_block))
 
 
+# Rows of a few numbers each that a join may send to every task: some 40 MB.
+BROADCAST_ROWS = 500_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a stored frame of slim rows, sent to every task if its counted rows allow.
+
+    Beyond the bound both sides are shuffled by the key, as for any large join.
+    """
+    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+
+
 def dense_ids(df: DataFrame, group: str, order: list[str], name: str, n_blocks: int) -> DataFrame:
     """Number the rows of each `group` from 0 without gaps, in whatever order.
 
