@@ -12,7 +12,9 @@ Bands of five coordinates make candidates at similarity 0.8 with a probability a
 the start. Inside a bucket nodes are compared with leaders, not with each other: in
 round t there are 2^t leaders per bucket, and a bucket is finished when its nodes are all
 of one class or have all been leaders. So a bucket of any size is worked off exactly,
-without listing its pairs when its nodes are alike.
+without listing its pairs when its nodes are alike. Leaders are the nodes that meet the
+most others in all their buckets: of an original and its edited copies, which resemble
+each other less than the original, that is the original.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ BANDS, ROWS = 26, 5
 SIMILARITY = 0.8
 # The first rank interval; further ones double. Wider is less to hash and more to throw.
 FIRST_INTERVAL = 0.25
-SPACE = r"[\x20\x09-\x0D]+"
+WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 
 
 # --- signatures ------------------------------------------------------------------
@@ -155,10 +157,10 @@ def _sets(texts: DataFrame) -> DataFrame:
 # --- linking ---------------------------------------------------------------------
 
 
-def word_digest(text: Column) -> Column:
-    """128 bits of the word sequence: equal for texts that differ in white space alone."""
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
-    return F.unhex(F.md5(F.array_join(words, " ").cast("binary")))
+def text_digest(text: Column) -> Column:
+    """128 bits of the text; null and blank texts count as empty."""
+    worded = F.when(text.rlike(WORD_CHARACTER), text).otherwise(F.lit(""))
+    return F.unhex(F.md5(worded.cast("binary")))
 
 
 def _similarity(weighted: bool) -> Column:
@@ -188,8 +190,9 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bool)
 def _leaders(members: DataFrame, round_: int) -> DataFrame:
     """(bucket, leader): per bucket up to 2^round nodes that were no leaders yet."""
     part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << round_))
-    chosen = members.filter("not led").groupBy("bucket", part.alias("part")).agg(F.min("node").alias("leader"))
-    return chosen.select("bucket", "leader")
+    best = F.max(F.struct("score", (-F.col("node")).alias("minus"))).alias("best")
+    chosen = members.filter("not led").groupBy("bucket", part.alias("part")).agg(best)
+    return chosen.select("bucket", (-F.col("best.minus")).alias("leader"))
 
 
 def classes(
@@ -207,11 +210,11 @@ def classes(
     least `similarity` (of shingle counts if `weighted`); classes are the connected
     components. `key` is the id (a missing one as the largest long), `class_id` the
     smallest key in the class, and `copies` the number of rows with this key and text.
-    Texts with equal words are always one class; so are all null, empty and blank texts.
+    Equal texts are always one class; so are all null, empty and blank texts.
     An empty table gives an empty result, and other columns are not read.
     """
     need(docs, (id_column, text_column))
-    slim = docs.select(document_key(id_column).alias("key"), word_digest(F.col(text_column)).alias("digest"), F.col(text_column).alias("text"))
+    slim = docs.select(document_key(id_column).alias("key"), text_digest(F.col(text_column)).alias("digest"), F.col(text_column).alias("text"))
     signed = materialize(_sign(slim, weighted, bands, rows), "signatures")
     nodes = materialize(
         signed.groupBy("digest")
@@ -221,9 +224,11 @@ def classes(
     )
     in_bands = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    together = materialize(in_bands.join(materialize(shared, "buckets"), "bucket"), "together")
+    scores = materialize(together.groupBy("node").agg(F.sum("size").alias("score")), "scores")
     members = materialize(
-        in_bands.join(materialize(shared, "buckets"), "bucket")
-        .select("bucket", "node", F.col("node").alias("label"), F.lit(False).alias("led")),
+        together.join(scores, "node")
+        .select("bucket", "node", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
         "members",
     )
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
@@ -236,7 +241,7 @@ def classes(
     while not members.isEmpty():
         leaders = materialize(_leaders(members, round_), "leaders")
         led = members.join(leaders.withColumnRenamed("leader", "node").withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-        members = led.select("bucket", "node", "label", (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"))
+        members = led.select("bucket", "node", "score", "label", (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"))
         own = members.select("bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"))
         guided = members.join(leaders.join(own, ["bucket", "leader"]), "bucket").filter("label != leader_label")
         pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
@@ -299,7 +304,7 @@ def keep_first(docs: DataFrame, **settings) -> DataFrame:
     first = materialize(first.withColumnRenamed("class_id", "key"), "first")
     whole = docs.select(
         document_key(id_column).alias("key"),
-        word_digest(F.col(text_column)).alias("digest"),
+        text_digest(F.col(text_column)).alias("digest"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
     )
     kept = whole.join(first, ["key", "digest"])
