@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import bpe, chunks, lines, minhash, packing, quality_rules
+from orderloom.llm import bpe, chunks, lines, minhash, packing, quality_rules, sharding
 from orderloom.llm.common import corpus_session, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,12 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("key").alias("doc_id"), "class_id", "class_size", (F.col("key") == F.col("class_id")).alias("kept")
     )
+
+
+@register
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(read_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
