@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import bpe, chunks, lines, minhash, packing, quality_rules, sharding
-from orderloom.llm.common import corpus_session, read_table
+from orderloom.llm import (
+    bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
+)
+from orderloom.llm.common import corpus_session, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,6 +57,20 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5, 256)
+
+
+@register
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    scored = classifier.classify(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), F.coalesce(held_out, F.lit(False))
+    )
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -68,6 +84,16 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    files = warc.write_archive(read_table(spark, sf_dir, "pages"), folder)
+    if files.isEmpty():
+        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    records = warc.read_archive(spark, folder, files, payloads=False).filter("problem is null")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(read_table(spark, sf_dir, "documents"))
