@@ -11,9 +11,11 @@ from orderloom.llm import (
     bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
 )
 from orderloom.llm.common import corpus_session, read_table, scratch_path
+from orderloom.llm.oracle import SQL
+
+__all__ = ["QUERIES", "SQL", "TOKENIZER"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
