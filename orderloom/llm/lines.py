@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.common import document_key, join_checked, materialize, need
+from orderloom.llm.common import blocks, document_key, join_checked, materialize, need
 
 EDITS = 2
 # Shorter lines are compared for equality alone: two edits would change their meaning.
 NEAR_CHARS = 24
+PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 # Letters counted together, eight bits each.
 LETTERS = ("e", "nd", "au", "io", "tl", "rs")
@@ -37,12 +38,18 @@ def bind(value: Column, use) -> Column:
 def within_edits(longer: Column, shorter: Column, edits: int) -> Column:
     """Whether two texts are at most `edits` insertions, deletions or replacements apart.
 
-    Both are arrays of characters, and best columns of their own, as they are read at
-    every step. `longer` has at least as many characters as `shorter`, and at most
-    `edits` more. Bit b of the vectors stands for the cell b - edits rows off the main
-    diagonal; `up` and `down` say where a cell is one more or one less than the one
-    above it. The distance is followed along the diagonal that ends in the last cell.
+    `longer` has at least as many characters as `shorter`, and at most `edits` more.
+    Bit b of the vectors stands for the cell b - edits rows off the main diagonal; `up`
+    and `down` say where a cell is one more or one less than the one above it. The
+    distance is followed along the diagonal that ends in the last cell.
     """
+    spelt = F.struct(F.split(longer, "").alias("longer"), F.split(shorter, "").alias("shorter"))
+    # Bound once: an optimizer that moves this filter can't make a step split the texts anew.
+    return bind(spelt, lambda s: _within(s["longer"], s["shorter"], edits))
+
+
+def _within(longer: Column, shorter: Column, edits: int) -> Column:
+    """`within_edits` of two arrays of characters."""
     width = 2 * edits + 1
     full = F.lit((1 << width) - 1).cast("long")
     ahead = F.size(longer) - F.size(shorter)
@@ -89,7 +96,8 @@ def within_edits(longer: Column, shorter: Column, edits: int) -> Column:
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     """Start (from 1) and length of each of edits + 1 segments, the longer ones last."""
     n = edits + 1
-    base, longer = F.floor(length / n), length % n
+    longer = length % n
+    base = ((length - longer) / n).cast("int")
     found, start = [], F.lit(1)
     for i in range(n):
         size = base + F.when(F.lit(n - i) <= longer, 1).otherwise(0)
@@ -102,20 +110,18 @@ def _key(number: int, length: Column, part: Column) -> Column:
     return F.xxhash64(F.lit(number), length.cast("int"), part)
 
 
-def entry_keys(line: Column, edits: int) -> Column:
+def entry_keys(line: Column, length: Column, edits: int) -> Column:
     """One key per segment of the line."""
-    length = F.length(line)
     keys = [_key(i, length, F.substring(line, p, n)) for i, (p, n) in enumerate(_segments(length, edits))]
     return F.array(*keys)
 
 
-def probe_keys(line: Column, edits: int) -> Column:
+def probe_keys(line: Column, length: Column, edits: int) -> Column:
     """The keys under which lines as long or up to `edits` shorter may be found.
 
     Segment i can have moved by at most i to either side as seen from the left end, and
     by the edits left for the segments after it as seen from the right end.
     """
-    length = F.length(line)
     keys = []
     for less in range(edits + 1):
         target = length - less
@@ -128,16 +134,22 @@ def probe_keys(line: Column, edits: int) -> Column:
     return F.array_compact(F.array(*keys))
 
 
-def line_tag(line: Column) -> Column:
-    """64 bits that name a line: six letter counts of eight bits each, and 16 bits of hash."""
-    tag, rest = F.lit(0).cast("long"), line
+def with_tag(df: DataFrame, line: str = "line") -> DataFrame:
+    """Add `tag`, 64 bits that name a line: six letter counts of eight bits each, and 16 bits of hash.
+
+    One letter group after the other is taken out of the line, each in a column of its own.
+    """
+    columns = df.columns
+    df = df.withColumns({"tag": F.lit(0).cast("long"), "rest": F.col(line)})
     for letters in LETTERS:
-        shorter = rest
+        shorter = F.col("rest")
         for letter in letters:
             shorter = F.replace(shorter, F.lit(letter), F.lit(""))
-        count = (F.length(rest) - F.length(shorter)).bitwiseAND(F.lit(255)).cast("long")
-        tag, rest = F.shiftleft(tag, 8).bitwiseOR(count), shorter
-    return F.shiftleft(tag, 16).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFF)))
+        df = df.withColumns({"less": shorter, "size": F.octet_length("rest")})
+        count = (F.col("size") - F.octet_length("less")).bitwiseAND(F.lit(255)).cast("long")
+        df = df.withColumns({"tag": F.shiftleft("tag", 8).bitwiseOR(count), "rest": F.col("less")})
+    name = F.shiftleft("tag", 16).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFF)))
+    return df.select(*columns, name.alias("tag"))
 
 
 def _count_gap(one: Column, two: Column) -> Column:
@@ -163,10 +175,10 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
 def _distinct_long(rows: DataFrame, repeated: DataFrame, near_chars: int) -> DataFrame:
     """The first occurrence of each distinct line that is long enough for near matches."""
-    long = _occurrences(rows).filter(F.length("line") >= near_chars)
+    long = _occurrences(rows).withColumn("length", F.length("line")).filter(F.col("length") >= near_chars)
     known = join_checked(long, repeated, ["h1", "h2"], "left")
     here = F.struct("key", "pos") == F.col("first")
-    return known.filter(F.col("first").isNull() | here).withColumn("tag", line_tag(F.col("line")))
+    return with_tag(known.filter(F.col("first").isNull() | here))
 
 
 def near_links(rows: DataFrame, repeated: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
@@ -176,8 +188,11 @@ def near_links(rows: DataFrame, repeated: DataFrame, edits: int = EDITS, near_ch
     occur more than once, by h1 and h2. Lines shorter than `near_chars` have no links.
     """
     distinct = _distinct_long(rows, repeated, near_chars)
-    entries = distinct.select(F.explode(entry_keys(F.col("line"), edits)).alias("k"), F.col("tag").alias("one"))
-    probes = distinct.select(F.explode(probe_keys(F.col("line"), edits)).alias("k"), F.col("tag").alias("two"))
+    line, length = F.col("line"), F.col("length")
+    entries = distinct.select(entry_keys(line, length, edits).alias("ks"), F.col("tag").alias("one"))
+    entries = entries.select(F.explode("ks").alias("k"), "one")
+    probes = distinct.select(probe_keys(line, length, edits).alias("ks"), F.col("tag").alias("two"))
+    probes = probes.select(F.explode("ks").alias("k"), "two")
     alike = (F.col("one") != F.col("two")) & (_count_gap(F.col("one"), F.col("two")) <= 2 * edits)
     met = entries.alias("e").join(probes.alias("p"), (F.col("e.k") == F.col("p.k")) & alike)
     pairs = materialize(
@@ -193,14 +208,15 @@ def near_links(rows: DataFrame, repeated: DataFrame, edits: int = EDITS, near_ch
         return texts.select(F.col("tag").alias(name), F.struct("key", "pos", "h1", "h2", "line").alias(f"{name}_line"))
 
     both = pairs.join(side("one"), "one").join(side("two"), "two").select("one_line", "two_line")
+    # The check is long for few bytes: deal pairs out by number and not by size.
+    both = both.repartition(blocks(pairs.count(), PAIRS_PER_TASK, 12))
     longer_first = F.length("one_line.line") >= F.length("two_line.line")
     ordered = both.select(
         "one_line", "two_line",
         F.when(longer_first, F.col("one_line.line")).otherwise(F.col("two_line.line")).alias("longer"),
         F.when(longer_first, F.col("two_line.line")).otherwise(F.col("one_line.line")).alias("shorter"),
     ).filter(F.length("longer") - F.length("shorter") <= edits)
-    spelt = ordered.withColumns({"longer": F.split("longer", ""), "shorter": F.split("shorter", "")})
-    linked = spelt.filter(within_edits(F.col("longer"), F.col("shorter"), edits))
+    linked = ordered.filter(within_edits(F.col("longer"), F.col("shorter"), edits))
     one, two = (F.struct(*[F.col(f"{s}_line.{c}") for c in ("key", "pos", "h1", "h2")]) for s in ("one", "two"))
     return linked.select(F.least(one, two).alias("earlier"), F.greatest(one, two).alias("later")).distinct()
 
