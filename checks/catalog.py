@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from orderloom.constants import MODEL_COLUMNS, NAIVE, SEASONAL_NAIVE
 from orderloom.operators import modeling, quality
@@ -22,7 +22,7 @@ from orderloom.plans import (
 )
 from orderloom.plans.reports import Tables, reports
 from orderloom.session import configure
-from orderloom.sources.sinks import export_reports, write_forecast, write_frame
+from orderloom.sources.sinks import export_reports, write_forecast, write_frame, write_panel
 from orderloom.sources.star import Star
 from orderloom.sources.tables import (
     parse_dates, parse_numbers, read_forecast, read_table, read_text_table, register_sources,
@@ -467,14 +467,9 @@ for _dataset in (
 ):
     register(lambda star, build=_dataset: build(model(star, True)), _dataset.__name__)
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-AREAS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+register(lambda star: datasets.dataset_region_type_matrix(model(star)), "dataset_region_type_matrix")
 register(
-    lambda star: datasets.dataset_region_type_matrix(model(star), SEGMENTS), "dataset_region_type_matrix"
-)
-register(
-    lambda star: datasets.dataset_category_region_wape(model(star, True), AREAS),
-    "dataset_category_region_wape",
+    lambda star: datasets.dataset_category_region_wape(model(star, True)), "dataset_category_region_wape"
 )
 for _label, _column in datasets.SLICERS.items():
     register(
@@ -509,9 +504,33 @@ def model_selection(star: Star) -> DataFrame:
     searches = modeling.search_all(candidates, development)
     return modeling.cv_results(development, searches)
 
+@register
+def mean_baseline_cv(star: Star) -> DataFrame:
+    """The cross-validation score of the training mean, fold by fold and on average."""
+    development = materialize(history(star).development, "development")
+    parts = []
+    for number, (train, valid) in enumerate(modeling.month_folds(development), start=1):
+        mean = train.agg(F.avg("Actual_Demand")).scalar()
+        parts.append(
+            valid.agg(F.avg(F.abs(F.col("Actual_Demand") - mean)).alias("mae")).select(F.lit(number).alias("fold"), "mae")
+        )
+    folds = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return folds.select("fold", F.round("mae", 6).alias("mae"), F.round(F.avg("mae").over(Window.partitionBy()), 6).alias("cv_mae"))
+
+
 # --- files: typed scans, lenient parsing, named tables, exports ------------------------------
 
 
+@register
+def panel_year_read_back(star: Star) -> DataFrame:
+    """The panel written by year, and the last full year read back by pruning."""
+    path = scratch_path(star.spark, "panel")
+    write_panel(history(star).panel, path)
+    back = star.spark.read.parquet(path)
+    last = F.col("Year") == 2000
+    return back.where(last).select("Month", "Product_ID", "Region_ID", "Actual_Demand", "Year")
+
+
 def orders_as_csv(star: Star) -> str:
     path = scratch_path(star.spark, "orders-csv")
     write_frame(star.orders(), path, "csv")

@@ -367,6 +367,23 @@ SQL["month_folds"] = query(
     FROM f CROSS JOIN s CROSS JOIN dev WHERE k <= m - (3 - fold) * z GROUP BY fold""",
 )
 
+SQL["mean_baseline_cv"] = query(
+    "usable test", "fold:i,mae:d,cv_mae:d",
+    """
+    WITH dev AS (SELECT mon, dem, dense_rank() OVER (ORDER BY mon) k FROM usable
+                 WHERE mon < (SELECT min(mon) FROM test)),
+    s AS (SELECT max(k) m, max(k) // 4 z FROM dev),
+    f AS (SELECT unnest([1, 2, 3]) AS fold),
+    t AS (SELECT fold, avg(dem) mean FROM f CROSS JOIN s CROSS JOIN dev WHERE k <= m - (4 - fold) * z GROUP BY fold),
+    e AS (SELECT fold, avg(abs(dem - mean)) mae FROM t CROSS JOIN s CROSS JOIN dev
+          WHERE k > m - (4 - fold) * z AND k <= m - (3 - fold) * z GROUP BY fold)
+    SELECT fold, round(mae, 6) AS mae, round(avg(mae) OVER (), 6) AS cv_mae FROM e""",
+)
+SQL["panel_year_read_back"] = query(
+    "feat", "Month:t,Product_ID:s,Region_ID:i,Actual_Demand:i,Year:i",
+    "SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, dem AS Actual_Demand, year(mon) AS Year FROM feat WHERE year(mon) = 2000",
+)
+
 # --- forecast accuracy -------------------------------------------------------------
 
 _DETAIL = """mon AS forecast_month, prod AS Product_ID, reg AS Region_ID, dem AS Actual_Demand,
@@ -795,6 +812,8 @@ def order_measures(keys: list[str], measures: list[str] | None = None, filtered:
     own = [f"{_GROUPS[k][0]} AS k{i}" for i, k in enumerate(keys)] or ["1 AS k0"]
     names = [f"k{i}" for i in range(len(own))]
     cut = ", ".join(names)
+    contest = ", ".join(n for n, k in zip(names, keys or [None]) if k != "Customer_ID")
+    contest = f"PARTITION BY {contest}" if contest else ""
     kept = [n for n, k in zip(names, keys) if not _GROUPS[k][2]]
     where = f"WHERE {_CUSTOMER_FILTER} AND {_OTHER_FILTER}" if filtered else ""
     other = f"WHERE {_OTHER_FILTER}" if filtered else ""
@@ -816,7 +835,7 @@ def order_measures(keys: list[str], measures: list[str] | None = None, filtered:
     p AS (SELECT {', '.join(own)}, sum(rev) r FROM
               (SELECT * FROM later WHERE odate <= (SELECT max(odate) FROM sale)) {where} GROUP BY {cut}),
     t AS (SELECT {cut}, sum(r) r FROM
-              (SELECT *, rank() OVER (PARTITION BY {cut} ORDER BY r DESC) AS place FROM
+              (SELECT *, rank() OVER ({contest} ORDER BY r DESC) AS place FROM
                   (SELECT {', '.join(own)}, cust, sum(rev) r FROM sale {where} GROUP BY {cut}, cust))
           WHERE place <= 10 GROUP BY {cut})
     SELECT {', '.join([f'coalesce(b.{n}, p.{n}) AS "{k}"' for n, k in zip(names, keys)]

@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(22,2)"
+MOST_CENTS = 9e18
 
 
 def col(value: Column | str) -> Column:
@@ -18,9 +19,13 @@ def cents(value: Column | str) -> Column:
 
     Integer sums are exact in any order and stay in the aggregate's fixed-width buffer;
     parsing every double into a decimal and adding decimals costs several times as much.
+    NaN, infinite and too large amounts raise, as they would otherwise count as something else.
     """
     amount = col(value).cast("double") * 100
-    return F.when(amount < 0, -F.floor(0.5 - amount)).otherwise(F.floor(amount + 0.5))
+    # NaN compares greater than every number
+    refused = F.raise_error(F.lit("an amount of money is not a number or too large")).cast("bigint")
+    rounded = F.when(amount < 0, -F.floor(0.5 - amount)).otherwise(F.floor(amount + 0.5))
+    return F.when(F.abs(amount) >= MOST_CENTS, refused).otherwise(rounded)
 
 
 def money(total_cents: Column | str) -> Column:

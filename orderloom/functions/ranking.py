@@ -1,8 +1,8 @@
 """Dense ranks and running sums over a whole frame.
 
-A window without PARTITION BY moves every row to one task. That is fine for a frame
-whose row count was checked; beyond the bound the frame is range-partitioned, each
-range is numbered on its own, and small per-range offsets put the pieces together.
+A window without PARTITION BY moves every row to one task. So the frame is always
+range-partitioned, each range is numbered on its own, and small per-range offsets put the
+pieces together.
 The inputs must be cheap to read repeatedly (see `materialize`).
 """
 
@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.operators.scratch import materialize
 
-# Largest frame that may be ordered inside a single task.
-SINGLE_TASK_ROWS = 1_000_000
-
 
 def _in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-partition and store the frame together with its range number.
@@ -38,13 +35,9 @@ def _with_offsets(ranged: DataFrame, size: Column) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "_range")
 
 
-def dense_rank(
-    df: DataFrame, name: str, columns: Sequence[str], max_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def dense_rank(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
     """Dense rank by the columns, largest first, NULLs last."""
     order = [F.col(c).desc_nulls_last() for c in columns]
-    if df.count() <= max_rows:
-        return df.withColumn(name, F.dense_rank().over(Window.orderBy(*order)).cast("bigint"))
     # Rank each distinct value once, so that a heavily tied value is a single row.
     ranged = _in_ranges(df.select(*columns).distinct(), order)
     inside = Window.partitionBy("_range").orderBy(*order)
@@ -56,17 +49,8 @@ def dense_rank(
     return df.join(ranked, same, "left").drop(*[f"_{c}" for c in columns])
 
 
-def running_sum(
-    df: DataFrame,
-    name: str,
-    value: str,
-    order: Sequence[Column],
-    max_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def running_sum(df: DataFrame, name: str, value: str, order: Sequence[Column]) -> DataFrame:
     """Sum of `value` from the first row to this one; `order` must be unique."""
-    if df.count() <= max_rows:
-        whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.sum(value).over(whole))
     inside = (
         Window.partitionBy("_range")
         .orderBy(*order)

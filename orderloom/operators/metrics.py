@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderloom.constants import EVALUATION_SCOPE, MODEL_COLUMNS
 from orderloom.functions.numeric import pct, ratio
@@ -16,12 +16,26 @@ def add_errors(df: DataFrame, forecast: str, actual: str, names: Sequence[str])
     return df.withColumns(dict(zip(names, (error, F.abs(error), error * error))))
 
 
+def _common_type(kinds: Sequence[T.DataType]) -> str:
+    """The narrowest decimal that holds every value of all columns if all are exact, else double."""
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+    exact = []
+    for kind in kinds:
+        if isinstance(kind, T.DecimalType):
+            exact.append((kind.precision - kind.scale, kind.scale))
+        elif type(kind) in whole:
+            exact.append((whole[type(kind)], 0))
+        else:
+            return "double"
+    digits, scale = max(d for d, _ in exact), max(s for _, s in exact)
+    return f"decimal({digits + scale},{scale})" if digits + scale <= 38 else "double"
+
+
 def long_predictions(
     results: DataFrame, models: Mapping[str, str] = MODEL_COLUMNS, carried: Sequence[str] = ()
 ) -> DataFrame:
     """One row per observation and model from the wide forecast fact."""
-    kinds = dict(results.dtypes)
-    shared = "double" if any(kinds[c] == "double" for c in models.values()) else "decimal(18,2)"
+    shared = _common_type([results.schema[c].dataType for c in models.values()])
     labelled = results.select(
         F.col("Month").alias("forecast_month"), "Product_ID", "Region_ID", "Actual_Demand", *carried,
         *[F.col(c).cast(shared).alias(label) for label, c in models.items()],

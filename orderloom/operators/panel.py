@@ -27,6 +27,20 @@ def month_spine(observed: DataFrame) -> DataFrame:
     return bounds.select(F.explode(month_sequence(F.col("first"), F.col("last"))).alias("Month"))
 
 
+PAIR_SLOTS = 8
+
+
+def every_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """All pairs of two dimensions' rows: a grid is their product by definition.
+
+    Rows of `left` are dealt into slots by `key`, and each slot gets all rows of `right`;
+    so the pairing is an ordinary join that several tasks share.
+    """
+    slotted = left.withColumn("_slot", F.pmod(F.hash(key), F.lit(PAIR_SLOTS)))
+    copies = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(PAIR_SLOTS - 1))))
+    return slotted.join(copies, "_slot").drop("_slot")
+
+
 def complete_panel(observed: DataFrame) -> DataFrame:
     """Zero-filled panel from observed cells (read several times: pass a stored frame).
 
@@ -35,14 +49,8 @@ def complete_panel(observed: DataFrame) -> DataFrame:
     appears already partitioned by series, as the lag windows need it, and is neither
     joined nor shuffled. A map has at most as many entries as there are months.
     """
-    region_list = observed.agg(F.collect_set("Region_ID")).scalar()
     months = observed.agg(month_sequence(F.min("Month"), F.max("Month"))).scalar()
-    pairs = (
-        observed.select("Product_ID")
-        .distinct()
-        .withColumn("regions", region_list)
-        .select("Product_ID", F.explode_outer("regions").alias("Region_ID"))
-    )
+    pairs = every_pair(observed.select("Product_ID").distinct(), observed.select("Region_ID").distinct(), "Product_ID")
     history = observed.groupBy(*SERIES_KEYS).agg(
         F.map_from_entries(F.collect_list(F.struct("Month", "Actual_Demand"))).alias("history")
     )

@@ -7,6 +7,7 @@ its size is known from file footers, and a lost executor costs no recomputation.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,8 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # local-cluster has executors with folders of their own, like any other cluster
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     folder = tempfile.mkdtemp(prefix="orderloom-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -14,6 +14,7 @@ from orderloom.constants import (
 )
 from orderloom.functions.numeric import MONEY, money_sum, pct, ratio, round2
 from orderloom.functions.ranking import dense_rank
+from orderloom.operators.panel import every_pair
 from orderloom.operators.scratch import materialize
 
 VALUE_COLUMNS = ("Order_ID", "Order_Date", "Customer_ID", "Quantity", "Revenue")
@@ -157,11 +158,8 @@ def regional_market_opportunity(orders: DataFrame, customers: DataFrame, regions
             F.sum("latest_sum").alias("latest_sum"),
         )
     )
-    # The grid: each region row expands to the list of customer types.
-    types = customers.agg(F.collect_set("Customer_Type")).scalar()
-    grid = regions.withColumn("types", types).select(
-        "Region_ID", "Region", F.explode_outer("types").alias("Customer_Type")
-    )
+    types = customers.select("Customer_Type").where("Customer_Type IS NOT NULL").distinct()
+    grid = every_pair(regions.select("Region_ID", "Region"), types, "Region_ID")
     markets = (
         grid.join(observed, ["Region_ID", "Customer_Type"], "left")
         .withColumn("active_customers", F.coalesce("active", F.lit(0).cast("bigint")))

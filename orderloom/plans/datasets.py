@@ -47,10 +47,23 @@ def dataset_revenue_by_customer_type(model: SalesModel, filters: Filters | None
     return evaluate(model, ["Total Revenue"], ["Customer_Type"], filters).orderBy(F.desc("Total Revenue"))
 
 
+# A matrix wider than this is refused, not cut.
+MOST_COLUMNS = 1_000
+
+
+def _across(dimension: DataFrame, column: str) -> list[str]:
+    """The sorted values of a dimension that become the columns of a matrix."""
+    found = dimension.select(column).where(F.col(column).isNotNull()).distinct().limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"{column} has more than {MOST_COLUMNS} values: name those to show.")
+    return sorted(r[0] for r in found)
+
+
 def dataset_region_type_matrix(
-    model: SalesModel, types: Sequence[str], filters: Filters | None = None
+    model: SalesModel, types: Sequence[str] | None = None, filters: Filters | None = None
 ) -> DataFrame:
-    """Formatted revenue, regions down and customer types across."""
+    """Formatted revenue, regions down and customer types across: all types unless some are named."""
+    types = _across(model.customers, "Customer_Type") if types is None else types
     cells = evaluate(model, ["Revenue Display"], ["Region", "Customer_Type"], filters)
     return cells.groupBy("Region").pivot("Customer_Type", list(types)).agg(F.first("Revenue Display"))
 
@@ -73,9 +86,10 @@ def dataset_actual_vs_forecast(model: SalesModel, filters: Filters | None = None
 
 
 def dataset_category_region_wape(
-    model: SalesModel, region_names: Sequence[str], filters: Filters | None = None
+    model: SalesModel, region_names: Sequence[str] | None = None, filters: Filters | None = None
 ) -> DataFrame:
-    """WAPE, product categories down and regions across."""
+    """WAPE, product categories down and regions across: all regions unless some are named."""
+    region_names = _across(model.regions, "Region") if region_names is None else region_names
     cells = evaluate(model, ["WAPE %"], ["Product_Category", "Region"], filters)
     return cells.groupBy("Product_Category").pivot("Region", list(region_names)).agg(F.first("WAPE %"))
 

@@ -339,11 +339,14 @@ def _order_totals(
 
 
 def _top_customer_revenue(per_customer: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Revenue of each group's largest customers, ties at the cut included.
+    """Revenue of each group's customers that are among the largest, ties at the cut included.
 
-    Spark keeps only the leading rows of every task before the ranks are shuffled.
+    Customers compete within the other group columns: a group of a single customer has a
+    value only if that customer is a leader. Spark keeps only the leading rows of every
+    task before the ranks are shuffled.
     """
-    leading = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.desc_nulls_last("revenue"))
+    contest = [F.col(f"`{k}`") for k in keys if k not in ("Customer_ID", "Customer_Name")]
+    leading = Window.partitionBy(*contest).orderBy(F.desc_nulls_last("revenue"))
     placed = per_customer.withColumn("_place", F.rank().over(leading))
     return _group(placed.where(F.col("_place") <= TOP_CUSTOMERS), keys).agg(
         F.sum("revenue").alias("top_revenue")
@@ -494,6 +497,10 @@ def evaluate(
     present in only one of them stays, with NULL for the other's measures.
     """
     filters, keys = dict(filters or {}), list(group_by)
+    known = {*CALENDAR_COLUMNS, *ORDER_COLUMNS, *CUSTOMER_COLUMNS, *PRODUCT_COLUMNS, *REGION_COLUMNS,
+             "forecast_month", MODEL_COLUMN}
+    if unknown := sorted({*filters, *keys} - known):
+        raise KeyError(f"Unknown columns: {unknown}")
     chosen = {name: measure(name) for name in measures}
     on_orders = [m for n, m in chosen.items() if n in ORDER_MEASURES]
     on_forecast = [m for n, m in chosen.items() if n in FORECAST_MEASURES]
@@ -512,7 +519,7 @@ def evaluate(
     if len(frames) == 2:
         right = frames[1]
         shared = [k for k in groups if k in right.columns]  # orders have every group column
-        frame = _join_groups(frame, right, shared, "full" if shared == groups else "left")
+        frame = _join_groups(frame, right, shared, "full")
     if wants_models:
         frame = _with_models(frame, model, keys, filters)
     return frame.select(*[F.col(f"`{k}`") for k in keys], *[m.value().alias(n) for n, m in chosen.items()])

@@ -6,6 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from orderloom.constants import CELL_KEYS
+
 
 def write_frame(df: DataFrame, path: str, file_format: str = "parquet", partition_by: str | None = None) -> None:
     """Write Parquet, or CSV with a header and ISO dates."""
@@ -24,8 +26,8 @@ def write_panel(panel: DataFrame, path: str, file_format: str = "parquet") -> No
 
 
 def write_forecast(results: DataFrame, path: str, file_format: str = "csv") -> None:
-    """Forecast fact with ISO dates and full double precision."""
-    write_frame(results, path, file_format)
+    """Forecast fact in cell order, with ISO dates and full double precision."""
+    write_frame(results.orderBy(*CELL_KEYS), path, file_format)
 
 
 def report_names(reports: Mapping[str, Callable]) -> list[str]:

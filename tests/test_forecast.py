@@ -1,9 +1,10 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 
 from orderloom.operators import quality
-from orderloom.operators.metrics import error_summary, forecast_evaluation_detail
+from orderloom.operators.metrics import error_summary, forecast_evaluation_detail, long_predictions
 from orderloom.plans import error_review, forecast
 from tests.conftest import by_key
 
@@ -134,3 +135,10 @@ def test_error_review(results):
 
 def test_summary_of_nothing_is_empty(detail):
     assert error_summary(detail.limit(0), ["Model"]).count() == 0
+
+
+def test_decimal_forecasts_keep_their_scale(spark):
+    kinds = "Month date, Product_ID string, Region_ID string, Actual_Demand bigint, a decimal(10,4), b decimal(12,2)"
+    rows = spark.createDataFrame([(date(2024, 1, 1), "P", "R", 4, Decimal("4.1234"), Decimal("5.25"))], kinds)
+    found = {r["Model"]: r["forecast_demand"] for r in long_predictions(rows, {"A": "a", "B": "b"}).collect()}
+    assert found == {"A": Decimal("4.1234"), "B": Decimal("5.2500")}

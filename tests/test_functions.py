@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from orderloom.functions import ranking
+from orderloom.functions import numeric, ranking
 from orderloom.functions.dates import month_of, month_sequence, quarter_label
 from orderloom.functions.numeric import close_to, is_finite, pct, ratio, round2, short_money
 from tests.conftest import rows_of
@@ -68,32 +68,37 @@ def dense(values):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 def test_distributed_dense_rank_equals_definition(spark, values):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
-    ranked = ranking.dense_rank(frame, "r", ["v"], max_rows=0)
+    ranked = ranking.dense_rank(frame, "r", ["v"])
     expected = dense(values)
     assert {r["id"]: r["r"] for r in ranked.collect()} == {
         i: expected[v] for i, v in enumerate(values)
     }
 
 
-def test_dense_rank_paths_agree_on_two_keys_and_heavy_ties(spark):
+def test_dense_rank_on_two_keys_and_heavy_ties(spark):
     rng = random.Random(7)
     rows = [(i, 1 if i % 3 == 0 else rng.randint(0, 400), rng.randint(0, 2)) for i in range(3000)]
     frame = spark.createDataFrame(rows, "id int, a int, b int").repartition(5)
-    small = ranking.dense_rank(frame, "r", ["a", "b"])
-    large = ranking.dense_rank(frame, "r", ["a", "b"], max_rows=10)
-    assert sorted(rows_of(small)) == sorted(rows_of(large.select(*small.columns)))
+    place = {k: i + 1 for i, k in enumerate(sorted({(a, b) for _, a, b in rows}, reverse=True))}
+    ranked = ranking.dense_rank(frame, "r", ["a", "b"])
+    assert {r["id"]: r["r"] for r in ranked.collect()} == {i: place[a, b] for i, a, b in rows}
 
 
-def test_running_sum_paths_agree(spark):
+def test_running_sum_equals_definition(spark):
     rng = random.Random(3)
     rows = [(f"P{i:04}", Decimal(rng.choice([0, 5, rng.randint(1, 10**9)])) / 100) for i in range(2000)]
     frame = spark.createDataFrame(rows, "id string, v decimal(18,2)").repartition(7)
     order = [F.desc("v"), F.asc("id")]
-    small = ranking.running_sum(frame, "s", "v", order)
-    large = ranking.running_sum(frame, "s", "v", order, max_rows=1).select(*small.columns)
-    assert sorted(rows_of(small)) == sorted(rows_of(large))
+    large = ranking.running_sum(frame, "s", "v", order)
     total, expected = Decimal(0), {}
     for key, value in sorted(rows, key=lambda r: (-r[1], r[0])):
         total += value
         expected[key] = total
     assert {r["id"]: r["s"] for r in large.collect()} == expected
+
+
+def test_money_that_is_no_number_raises(spark):
+    for bad in (float("nan"), float("inf"), 1e300):
+        frame = spark.createDataFrame([(1.5,), (bad,)], "v double")
+        with pytest.raises(Exception, match="not a number"):
+            frame.agg(numeric.money_sum("v")).collect()

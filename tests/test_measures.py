@@ -165,3 +165,26 @@ def test_matrices_and_slicers(model):
     assert datasets.slicer_values(model, "Year Month").count() == 25
     details = datasets.dataset_order_details(model, {"Region": ["North"]}).collect()
     assert [r["Order_ID"] for r in details][0] == "3" and len(details) == 4
+
+
+def test_unknown_filter_or_group_raises(model):
+    for call in (([], {"Customer Type": ["OEM"]}), (["Regoin"], None)):
+        with pytest.raises(KeyError):
+            evaluate(model, ["Total Revenue"], *call)
+
+
+def test_region_with_forecast_alone_survives_a_customer_grouping(spark, make_orders, dims):
+    orders = make_orders([("1", "2024-02-28", "C1", "P1", "R1", 1, 10, 5)])
+    model = SalesModel.of(orders, *dims, fact(spark, [(2, "P1", "R3", 5, 5, 5, 5)]))
+    rows = evaluate(model, ["Total Revenue", "Total Actual Demand"], ["Customer_Type", "Region"]).collect()
+    assert {(r["Customer_Type"], r["Region"], r["Total Actual Demand"]) for r in rows} == {("OEM", "North", None), (None, "West", 5)}
+
+
+def test_only_leading_customers_have_a_top_ten(spark, make_orders, dims):
+    orders = make_orders([(str(i), "2024-02-28", f"C{i}", "P1", "R1", 1, 100 - min(i, 11), 5) for i in range(14)])
+    rows = by_key(evaluate(SalesModel.of(orders, *dims), ["Top 10 Customer Revenue"], ["Customer_ID"]), "Customer_ID")
+    assert {k for k, r in rows.items() if r["Top 10 Customer Revenue"] is not None} == {f"C{i}" for i in range(10)}
+
+
+def test_matrix_shows_every_type_of_the_dimension(model):
+    assert datasets.dataset_region_type_matrix(model).columns == ["Region", "Dealer", "OEM"]
