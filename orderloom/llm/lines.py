@@ -14,7 +14,10 @@ from the start. Everything is built-in expressions, explodes and joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.llm.common import blocks, document_key, join_checked, materialize, need
 
@@ -23,8 +26,9 @@ EDITS = 2
 NEAR_CHARS = 24
 PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
-# Letters counted together, eight bits each.
-LETTERS = ("e", "nd", "au", "io", "tl", "rs")
+# Letters that are counted, eight bits each.
+LETTERS = "enaitr"
+OTHER_LETTERS = "osldhucmpgbfvwk"
 
 
 # --- edit distance ---------------------------------------------------------------
@@ -117,7 +121,7 @@ def entry_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """The keys under which lines as long or up to `edits` shorter may be found.
+    """The keys under which lines as long or up to `edits` shorter may be found; some may be null.
 
     Segment i can have moved by at most i to either side as seen from the left end, and
     by the edits left for the segments after it as seen from the right end.
@@ -131,25 +135,16 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
                 at = start + shift
                 fits = (at >= 1) & (at + size - 1 <= length)
                 keys.append(F.when(fits, _key(i, target, F.substring(line, at, size))))
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)
 
 
 def with_tag(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add `tag`, 64 bits that name a line: six letter counts of eight bits each, and 16 bits of hash.
-
-    One letter group after the other is taken out of the line, each in a column of its own.
-    """
-    columns = df.columns
-    df = df.withColumns({"tag": F.lit(0).cast("long"), "rest": F.col(line)})
-    for letters in LETTERS:
-        shorter = F.col("rest")
-        for letter in letters:
-            shorter = F.replace(shorter, F.lit(letter), F.lit(""))
-        df = df.withColumns({"less": shorter, "size": F.octet_length("rest")})
-        count = (F.col("size") - F.octet_length("less")).bitwiseAND(F.lit(255)).cast("long")
-        df = df.withColumns({"tag": F.shiftleft("tag", 8).bitwiseOR(count), "rest": F.col("less")})
-    name = F.shiftleft("tag", 16).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFF)))
-    return df.select(*columns, name.alias("tag"))
+    """Add `tag`, 64 bits that name a line: six letter counts of eight bits each, and 16 bits of hash."""
+    size, tag = F.octet_length(line), F.lit(0).cast("long")
+    for letter in LETTERS:
+        count = size - F.octet_length(F.replace(F.col(line), F.lit(letter), F.lit("")))
+        tag = F.shiftleft(tag, 8).bitwiseOR(count.bitwiseAND(F.lit(255)).cast("long"))
+    return df.withColumn("tag", F.shiftleft(tag, 16).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFF))))
 
 
 def _count_gap(one: Column, two: Column) -> Column:
@@ -163,6 +158,15 @@ def _count_gap(one: Column, two: Column) -> Column:
     return gap
 
 
+def _letter_gap(one: str, two: str) -> Column:
+    """By how much the counts of letters that tags leave out differ."""
+    gap = F.lit(0)
+    for letter in OTHER_LETTERS:
+        counts = [F.octet_length(c) - F.octet_length(F.replace(F.col(c), F.lit(letter), F.lit(""))) for c in (one, two)]
+        gap = gap + F.abs(counts[0] - counts[1])
+    return gap
+
+
 # --- the join --------------------------------------------------------------------
 
 
@@ -173,36 +177,56 @@ def _occurrences(rows: DataFrame) -> DataFrame:
     return worded.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
 
-def _distinct_long(rows: DataFrame, repeated: DataFrame, near_chars: int) -> DataFrame:
-    """The first occurrence of each distinct line that is long enough for near matches."""
-    long = _occurrences(rows).withColumn("length", F.length("line")).filter(F.col("length") >= near_chars)
-    known = join_checked(long, repeated, ["h1", "h2"], "left")
-    here = F.struct("key", "pos") == F.col("first")
-    return with_tag(known.filter(F.col("first").isNull() | here))
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Plan without whole-stage code while the block runs.
+
+    Twenty keys a line make one generated method of more bytecode than the JVM compiles;
+    projections on their own are split into methods that it does compile.
+    """
+    name = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _keyed(rows: DataFrame, edits: int, near_chars: int) -> DataFrame:
+    """All lines without their text: place, hashes, and for long ones tag, entry and probe keys."""
+    lines = _occurrences(rows).withColumn("length", F.length("line"))
+    line, length, long = F.col("line"), F.col("length"), F.col("length") >= near_chars
+    return with_tag(lines).select(
+        "key", "pos", "h1", "h2", "tag",
+        F.when(long, entry_keys(line, length, edits)).alias("entries"),
+        F.when(long, probe_keys(line, length, edits)).alias("probes"),
+    )
 
 
-def near_links(rows: DataFrame, repeated: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
+def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: int = EDITS) -> DataFrame:
     """(earlier, later) lines at most `edits` apart, each a struct of key, pos, h1 and h2.
 
-    `rows` has key and text, `repeated` the first occurrence (key, pos) of lines that
-    occur more than once, by h1 and h2. Lines shorter than `near_chars` have no links.
+    `rows` has key and text, `keyed` their lines, and `repeated` the first occurrence
+    (key, pos) of lines that occur more than once, by h1 and h2.
     """
-    distinct = _distinct_long(rows, repeated, near_chars)
-    line, length = F.col("line"), F.col("length")
-    entries = distinct.select(entry_keys(line, length, edits).alias("ks"), F.col("tag").alias("one"))
-    entries = entries.select(F.explode("ks").alias("k"), "one")
-    probes = distinct.select(probe_keys(line, length, edits).alias("ks"), F.col("tag").alias("two"))
-    probes = probes.select(F.explode("ks").alias("k"), "two")
+    known = join_checked(keyed.filter("entries is not null"), repeated, ["h1", "h2"], "left")
+    distinct = known.filter(F.col("first").isNull() | (F.struct("key", "pos") == F.col("first")))
+    entries = distinct.select(F.explode("entries").alias("k"), F.col("tag").alias("one"))
+    probes = distinct.select(F.explode("probes").alias("k"), F.col("tag").alias("two")).filter("k is not null")
     alike = (F.col("one") != F.col("two")) & (_count_gap(F.col("one"), F.col("two")) <= 2 * edits)
     met = entries.alias("e").join(probes.alias("p"), (F.col("e.k") == F.col("p.k")) & alike)
     pairs = materialize(
         met.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct(), "line-pairs"
     )
     tags = pairs.select(F.col("one").alias("tag")).unionByName(pairs.select(F.col("two").alias("tag"))).distinct()
-    texts = materialize(
-        join_checked(distinct.select("tag", "line", "key", "pos", "h1", "h2"), materialize(tags, "line-tags"), ["tag"]),
-        "line-texts",
+    slim = distinct.select("tag", "key", "pos", "h1", "h2")
+    places = materialize(join_checked(slim, materialize(tags, "line-tags"), ["tag"]), "line-places")
+    spelt = join_checked(rows, places, ["key"]).select(
+        "tag", "key", "pos", "h1", "h2", F.get(F.split("text", "\n"), F.col("pos")).alias("line")
     )
+    # rows that share an id may hold different texts
+    texts = materialize(spelt.filter(F.xxhash64("line") == F.col("h1")), "line-texts")
 
     def side(name: str) -> DataFrame:
         return texts.select(F.col("tag").alias(name), F.struct("key", "pos", "h1", "h2", "line").alias(f"{name}_line"))
@@ -215,8 +239,9 @@ def near_links(rows: DataFrame, repeated: DataFrame, edits: int = EDITS, near_ch
         "one_line", "two_line",
         F.when(longer_first, F.col("one_line.line")).otherwise(F.col("two_line.line")).alias("longer"),
         F.when(longer_first, F.col("two_line.line")).otherwise(F.col("one_line.line")).alias("shorter"),
-    ).filter(F.length("longer") - F.length("shorter") <= edits)
-    linked = ordered.filter(within_edits(F.col("longer"), F.col("shorter"), edits))
+    )
+    near = (F.length("longer") - F.length("shorter") <= edits) & (_letter_gap("longer", "shorter") <= 2 * edits)
+    linked = ordered.filter(F.when(near, within_edits(F.col("longer"), F.col("shorter"), edits)).otherwise(F.lit(False)))
     one, two = (F.struct(*[F.col(f"{s}_line.{c}") for c in ("key", "pos", "h1", "h2")]) for s in ("one", "two"))
     return linked.select(F.least(one, two).alias("earlier"), F.greatest(one, two).alias("later")).distinct()
 
@@ -243,16 +268,17 @@ def dedup_lines(
     """
     need(docs, (id_column, text_column))
     rows = docs.select(document_key(id_column).alias("key"), F.coalesce(text_column, F.lit("")).alias("text"))
-    seen = materialize(_occurrences(rows).drop("line"), "lines")
+    with small_methods(docs.sparkSession):
+        seen = materialize(_keyed(rows, edits, near_chars), "lines")
     first = seen.groupBy("h1", "h2").agg(F.min(F.struct("key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = materialize(first.filter("n > 1").drop("n"), "repeated-lines")
-    links = materialize(near_links(rows, repeated, edits, near_chars), "line-links")
+    links = materialize(near_links(rows, seen, repeated, edits), "line-links")
     ends = links.select(F.col("earlier").alias("end"), F.lit(False).alias("near")).unionByName(
         links.select(F.col("later").alias("end"), F.lit(True).alias("near"))
     )
     linked = ends.groupBy("end.h1", "end.h2").agg(F.max("near").alias("near"), F.count(F.lit(1)).alias("links"))
     notes = repeated.join(linked, ["h1", "h2"], "full")
-    noted = join_checked(seen, materialize(notes, "line-notes"), ["h1", "h2"])
+    noted = join_checked(seen.select("key", "pos", "h1", "h2"), materialize(notes, "line-notes"), ["h1", "h2"])
     near = F.coalesce("near", F.lit(False))
     again = F.coalesce(F.struct("key", "pos") != F.col("first"), F.lit(False))
     marked = noted.select(
