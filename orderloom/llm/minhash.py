@@ -10,11 +10,12 @@ few hash values per element plus the darts, not k values per element.
 Bands of five coordinates make candidates at similarity 0.8 with a probability above
 0.9999; every link is then checked exactly on shingle sets. Equal texts are one node from
 the start. Inside a bucket nodes are compared with leaders, not with each other: in
-round t there are 2^t leaders per bucket, and a bucket is finished when its nodes are all
+round t there are 4^t leaders per bucket, and a bucket is finished when its nodes are all
 of one class or have all been leaders. So a bucket of any size is worked off exactly,
 without listing its pairs when its nodes are alike. Leaders are the nodes that meet the
 most others in all their buckets: of an original and its edited copies, which resemble
-each other less than the original, that is the original.
+each other less than the original, that is the original. Nodes whose total weights
+differ by more than the similarity allows can't be linked and are not compared.
 """
 
 from __future__ import annotations
@@ -116,42 +117,46 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sign(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
-    """(key, digest, bands) of rows (key, digest, text)."""
+    """(key, digest, bands, weight) of rows (key, digest, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashed = []
+            hashed, totals = [], []
             for _, data in groups(batch.column(2).to_pylist()):
                 owner, elements, counts = shingle_sets(data)
                 weights = counts.astype(float) if weighted else np.ones(len(counts))
                 signed = signatures(owner, elements, weights, len(data), bands * rows)
                 hashed.append(band_hashes(signed, bands, rows))
+                totals.append(np.bincount(owner, weights, len(data)))
             flat = np.concatenate(hashed).ravel() if hashed else np.zeros(0, np.int64)
             offsets = pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["key", "digest", "bands"])
+            weight = pa.array(np.concatenate(totals) if totals else np.zeros(0))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), lists, weight], names=["key", "digest", "bands", "weight"]
+            )
 
-    return docs.mapInArrow(run, "key long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "key long, digest binary, bands array<long>, weight double")
 
 
-def _sets(texts: DataFrame) -> DataFrame:
-    """(node, shingles) of rows (node, text)."""
+def _sets(texts: DataFrame, weighted: bool) -> DataFrame:
+    """(node, shingles) of rows (node, text), and the shingles' counts if weighted."""
+    counted = ", counts array<int>" if weighted else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data in groups(batch.column(1).to_pylist()):
                 owner, elements, counts = shingle_sets(data)
                 offsets = pa.array(np.searchsorted(owner, np.arange(len(data) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(data)),
-                        pa.ListArray.from_arrays(offsets, pa.array(elements.view(np.int64))),
-                        pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
-                    ],
-                    names=["node", "shingles", "counts"],
-                )
+                columns = {
+                    "node": batch.column(0).slice(first, len(data)),
+                    "shingles": pa.ListArray.from_arrays(offsets, pa.array(elements.view(np.int64))),
+                }
+                if weighted:
+                    columns["counts"] = pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
-    return texts.mapInArrow(run, "node long, shingles array<long>, counts array<int>")
+    return texts.mapInArrow(run, f"node long, shingles array<long>{counted}")
 
 
 # --- linking ---------------------------------------------------------------------
@@ -179,8 +184,9 @@ def _similarity(weighted: bool) -> Column:
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     """Of pairs (a, b) of nodes those at least so similar."""
-    one = sets.select(F.col("node").alias("a"), F.struct("shingles", "counts").alias("one"))
-    two = sets.select(F.col("node").alias("b"), F.struct("shingles", "counts").alias("two"))
+    held = F.struct(*[c for c in sets.columns if c != "node"])
+    one = sets.select(F.col("node").alias("a"), held.alias("one"))
+    two = sets.select(F.col("node").alias("b"), held.alias("two"))
     joined = pairs.join(one, "a").join(two, "b")
     checked = joined.select("a", "b", F.struct(F.col("one").alias("x"), F.col("two").alias("y")).alias("p"))
     named = checked.select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("p.x").alias("a"), F.col("p.y").alias("b"))
@@ -188,8 +194,8 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bool)
 
 
 def _leaders(members: DataFrame, round_: int) -> DataFrame:
-    """(bucket, leader): per bucket up to 2^round nodes that were no leaders yet."""
-    part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << round_))
+    """(bucket, leader): per bucket up to 4^round nodes that were no leaders yet."""
+    part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << min(2 * round_, 40)))
     best = F.max(F.struct("score", (-F.col("node")).alias("minus"))).alias("best")
     chosen = members.filter("not led").groupBy("bucket", part.alias("part")).agg(best)
     return chosen.select("bucket", (-F.col("best.minus")).alias("leader"))
@@ -218,33 +224,40 @@ def classes(
     signed = materialize(_sign(slim, weighted, bands, rows), "signatures")
     nodes = materialize(
         signed.groupBy("digest")
-        .agg(F.min("key").alias("first"), F.first("bands").alias("bands"))
+        .agg(F.min("key").alias("first"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    in_bands = nodes.select("node", F.explode("bands").alias("bucket"))
+    in_bands = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
     shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     together = materialize(in_bands.join(materialize(shared, "buckets"), "bucket"), "together")
     scores = materialize(together.groupBy("node").agg(F.sum("size").alias("score")), "scores")
     members = materialize(
         together.join(scores, "node")
-        .select("bucket", "node", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
+        .select("bucket", "node", "weight", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
         "members",
     )
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
     texts = slim.join(
         materialize(wanted, "candidates").withColumnRenamed("first", "key"), ["key", "digest"]
     ).select("node", "text")
-    sets = materialize(_sets(texts).dropDuplicates(["node"]), "shingle-sets")
+    sets = materialize(_sets(texts, weighted).dropDuplicates(["node"]), "shingle-sets")
     labels = None
     round_ = 0
     while not members.isEmpty():
         leaders = materialize(_leaders(members, round_), "leaders")
         led = members.join(leaders.withColumnRenamed("leader", "node").withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-        members = led.select("bucket", "node", "score", "label", (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"))
-        own = members.select("bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"))
-        guided = members.join(leaders.join(own, ["bucket", "leader"]), "bucket").filter("label != leader_label")
+        now = F.coalesce("now", F.lit(False))
+        led = led.select("bucket", "node", "weight", "score", "label", "led", now.alias("now"))
+        own = led.filter("now").select(
+            "bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("weight").alias("leader_weight")
+        )
+        # Those that led before have met everyone in the bucket already.
+        lighter, heavier = F.least("weight", "leader_weight"), F.greatest("weight", "leader_weight")
+        alike = (lighter >= similarity * heavier) & (F.col("label") != F.col("leader_label"))
+        guided = led.filter("not led").alias("m").join(own.alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & alike)
         pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        members = led.withColumn("led", F.col("led") | F.col("now")).drop("now")
         linked = _links(pairs, sets, similarity, weighted)
         if labels is not None:
             for side in "ab":
