@@ -26,9 +26,12 @@ EDITS = 2
 NEAR_CHARS = 24
 PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
-# Letters that are counted, eight bits each.
-LETTERS = "enaitr"
-OTHER_LETTERS = "osldhucmpgbfvwk"
+# Letters that a tag counts, modulo 32 in five bits each, and those that it leaves out.
+LETTERS = "enaitrsol"
+LETTER_BITS = 5
+OTHER_LETTERS = "dhucmpgbfvwk"
+HASH_BITS = 64 - LETTER_BITS * len(LETTERS)
+COUNTS = 1 << LETTER_BITS
 
 
 # --- edit distance ---------------------------------------------------------------
@@ -139,22 +142,24 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def with_tag(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add `tag`, 64 bits that name a line: six letter counts of eight bits each, and 16 bits of hash."""
+    """Add `tag`, 64 bits that name a line: its letter counts, and a hash in the bits that are left."""
     size, tag = F.octet_length(line), F.lit(0).cast("long")
     for letter in LETTERS:
         count = size - F.octet_length(F.replace(F.col(line), F.lit(letter), F.lit("")))
-        tag = F.shiftleft(tag, 8).bitwiseOR(count.bitwiseAND(F.lit(255)).cast("long"))
-    return df.withColumn("tag", F.shiftleft(tag, 16).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFF))))
+        tag = F.shiftleft(tag, LETTER_BITS).bitwiseOR(count.bitwiseAND(F.lit(COUNTS - 1)).cast("long"))
+    rest = F.xxhash64(line).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    return df.withColumn("tag", F.shiftleft(tag, HASH_BITS).bitwiseOR(rest))
 
 
 def _count_gap(one: Column, two: Column) -> Column:
     """By how much the letter counts of two tags differ at least."""
+    def counted(tag: Column, letter: int) -> Column:
+        return F.shiftrightunsigned(tag, HASH_BITS + LETTER_BITS * letter).bitwiseAND(F.lit(COUNTS - 1))
+
     gap = F.lit(0)
-    for g in range(len(LETTERS)):
-        d = F.shiftrightunsigned(one, 16 + 8 * g).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(
-            two, 16 + 8 * g
-        ).bitwiseAND(F.lit(255))
-        gap = gap + F.least(F.abs(d), 256 - F.abs(d))
+    for letter in range(len(LETTERS)):
+        d = F.abs(counted(one, letter) - counted(two, letter))
+        gap = gap + F.least(d, COUNTS - d)  # counts go round
     return gap
 
 
