@@ -24,7 +24,9 @@ SHARDS = 40
 OVERHEAD = 16
 # Linked documents may take this share of a shard; the rest is for evening out.
 LINKED_SHARE = 0.9
-MAX_ROUNDS = 24
+MAX_ROUNDS = 12
+# Propagation ends when less than this share of a shard could still move.
+LEAST_MOVED = 0.01
 # Cells of large groups are about this share of a shard.
 CELL_SHARE = 0.005
 # Unlinked documents above this share of a shard are placed one by one.
@@ -62,7 +64,7 @@ def propagate(cells: DataFrame, capacity: float, n_shards: int, max_rounds: int
         )
         wishes = cells.join(aims, [*GROUP, "shard"])
         wanted = _sums(wishes, "aim", n_shards)
-        if not any(wanted):
+        if sum(min(r, w) for r, w in zip(room, wanted)) < LEAST_MOVED * capacity:
             break
         share = [min(1.0, r / w) if w else 0.0 for r, w in zip(room, wanted)]
         # Small groups move together; the cells of a large one move each on its own.
