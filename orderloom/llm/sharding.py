@@ -26,7 +26,7 @@ OVERHEAD = 16
 LINKED_SHARE = 0.9
 MAX_ROUNDS = 12
 # Propagation ends when less than this share of a shard could still move.
-LEAST_MOVED = 0.01
+LEAST_MOVED = 0.001
 # Cells of large groups are about this share of a shard.
 CELL_SHARE = 0.005
 # Unlinked documents above this share of a shard are placed one by one.
