@@ -188,4 +188,6 @@ def select_clean(docs: DataFrame, text_column: str = "text") -> DataFrame:
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"), F.col(text_column).alias("_read")
     )
-    return judge(whole, "_read").filter("quality.kept").select(*columns)
+    # The row number keeps the filter above the measures: pushed below, it would repeat them all.
+    judged = judge(whole, "_read").select("_all", "quality.kept", F.monotonically_increasing_id().alias("_number"))
+    return judged.filter(F.col("kept") & (F.col("_number") >= 0)).select(*columns)
