@@ -7,9 +7,12 @@ shard have finer cells, fill their favourite shard and then gather in the next.
 wishes are sums per shard; how many of the wishes a shard can grant is a share, granted by
 hash, so no list of movers is ever sorted in one place.
 
-Documents without a link fill the shards up evenly: the few that weigh more than a
-hundredth of a shard go to the lightest shard each, largest first, and all others are laid
-end to end in hash order and cut where each shard is full.
+Groups that are still in more shards than they need when nothing moves any more (most of
+them, if much of the corpus is copies and all shards are full from the start) are taken
+out and placed anew, each as one unit, together with the documents without a link: the few
+units that weigh more than a hundredth of a shard go to the lightest shard each, largest
+first, and all others are laid end to end in hash order and cut where each shard is full.
+A group too large for that lies there cell by cell, side by side, so that only a cut splits it.
 """
 
 from __future__ import annotations
@@ -52,13 +55,13 @@ def propagate(cells: DataFrame, capacity: float, n_shards: int, max_rounds: int
         loads = _sums(cells, "shard", n_shards)
         room = [max(0.0, capacity - load) for load in loads]
         held = cells.groupBy(*GROUP, "shard").agg(F.sum("bytes").alias("held"))
-        open_ = held.filter(_by_shard(room, F.col("shard"), "double") > 0)
-        best = open_.groupBy(*GROUP).agg(F.max(F.struct("held", (-F.col("shard")).alias("minus"))).alias("best"))
+        open_ = held.withColumn("room", _by_shard(room, F.col("shard"), "double")).filter("room > 0")
+        best = open_.groupBy(*GROUP).agg(F.max(F.struct("held", "room", (-F.col("shard")).alias("minus"))).alias("best"))
         aims = materialize(
             held.join(best, GROUP)
             .select(*GROUP, "shard", (-F.col("best.minus")).alias("aim"), "held", F.col("best.held").alias("there"))
-            # equal holdings meet in the smaller shard
-            .filter((F.col("held") < F.col("there")) | ((F.col("held") == F.col("there")) & (F.col("shard") > F.col("aim"))))
+            # equal holdings meet where most room is left
+            .filter((F.col("held") <= F.col("there")) & (F.col("shard") != F.col("aim")))
             .drop("held", "there"),
             "aims",
         )
@@ -91,40 +94,51 @@ def _level(loads: list[int], free: int) -> list[int]:
     return [max(0, round(level) - load) for load in loads]
 
 
-def _place_singles(single: DataFrame, loads: list[int]) -> dict[int, int]:
-    """Shard of each of a bounded number of heavy documents, largest first to the lightest shard."""
+def _scattered(settled: DataFrame, goal: float) -> DataFrame:
+    """(g1, g2, large, all) of groups in more shards than they need: one, or one more than a large group fills."""
+    spread = settled.groupBy(*GROUP, "large").agg(F.sum("bytes").alias("all"), F.countDistinct("shard").alias("shards"))
+    least = F.when(F.col("large"), F.ceil(F.col("all") / F.lit(max(1.0, goal))) + 1).otherwise(F.lit(1))
+    return spread.filter(F.col("shards") > least).drop("shards")
+
+
+def _place_singles(single: list, loads: list[int], limit: float) -> list[tuple]:
+    """(uid, g1, g2, shard) of a bounded number of heavy units, largest first to the lightest shard.
+
+    A group (its uid is null) that would take the lightest shard over the limit is left out.
+    """
     heap = [(load, s) for s, load in enumerate(loads)]
     heapq.heapify(heap)
-    chosen = {}
-    for row in sorted(single.collect(), key=lambda r: (-r["bytes"], r["uid"])):
-        load, s = heapq.heappop(heap)
-        chosen[row["uid"]] = s
+    chosen = []
+    for row in sorted(single, key=lambda r: (-r["bytes"], r["uid"] is None, r["uid"], r["g1"], r["g2"])):
+        load, s = heap[0]
+        if row["uid"] is None and load + row["bytes"] > limit:
+            continue
+        chosen.append((row["uid"], row["g1"], row["g2"], s))
         loads[s] = load + row["bytes"]
-        heapq.heappush(heap, (loads[s], s))
+        heapq.heapreplace(heap, (loads[s], s))
     return chosen
 
 
 def _fill(light: DataFrame, shares: list[int], rows: int) -> DataFrame:
-    """(uid, shard): documents in hash order, cut where each shard has its share of bytes."""
+    """`light` (h, at, bytes, ...) with its `shard`: units in order of h and at, cut where each shard has its share of bytes."""
     n = blocks(rows, ROWS_PER_BLOCK, 64)
     # The top bits of a hash give its block, so blocks follow each other in hash order.
-    hashed = light.withColumn("h", F.xxhash64("uid"))
     block = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(n), 32)
-    placed = hashed.withColumn("block", block.cast("int"))
+    placed = light.withColumn("block", block.cast("int"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sums = placed.groupBy("block").agg(F.sum("bytes").alias("total"))
     starts = sums.select("block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("block").orderBy("h", "uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("block").orderBy("h", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = placed.withColumn("so_far", F.sum("bytes").over(inside))
     joined = ends.join(starts, "block")
-    # the middle of the document decides
+    # the middle of the unit decides
     middle = F.col("start") + F.col("so_far") - F.col("bytes") / 2
     limits, total = [], 0
     for share in shares[:-1]:
         total += share
         limits.append(total)
     cuts = F.array(*[F.lit(float(x)) for x in limits]) if limits else F.array().cast("array<double>")
-    return joined.select("uid", F.size(F.filter(cuts, lambda cut: cut <= middle)).alias("shard"))
+    return joined.withColumn("shard", F.size(F.filter(cuts, lambda cut: cut <= middle)))
 
 
 def shard(
@@ -166,18 +180,51 @@ def shard(
     cells = members.groupBy(*GROUP, "origin", "part", "large").agg(F.sum("bytes").alias("bytes"))
     start = materialize(cells.withColumn("shard", F.col("origin")), "cells")
     settled = propagate(start, goal * LINKED_SHARE, n_shards)
-    loads = _sums(settled, "shard", n_shards)
-    together = members.join(settled.select(*GROUP, "origin", "part", "shard"), [*GROUP, "origin", "part"]).select("uid", "shard")
+    torn = materialize(_scattered(settled, goal), "torn-groups")
+    whole_cells = settled.join(torn, GROUP, "left_anti")
+    loads = _sums(whole_cells, "shard", n_shards)
     free = materialize(items.select("uid", "bytes").join(members.select("uid"), "uid", "left_anti"), "unlinked")
-    # At most n_shards / SINGLE_SHARE documents can weigh so much.
-    heavy = free.filter(F.col("bytes") > goal * SINGLE_SHARE)
-    chosen = _place_singles(heavy, loads)
-    light = free.filter(F.col("bytes") <= goal * SINGLE_SHARE)
-    rest = int(light.agg(F.sum("bytes")).first()[0] or 0)
-    assigned = together.unionByName(_fill(light, _level(loads, rest), rows))
-    if chosen:
-        spark = docs.sparkSession
-        assigned = assigned.unionByName(spark.createDataFrame([*chosen.items()], "uid long, shard int"))
+    # At most n_shards / SINGLE_SHARE documents and groups can weigh so much.
+    weighs = F.col("bytes") > goal * SINGLE_SHARE
+    no_id, no_group = F.lit(None).cast("long"), [F.lit(None).cast("long").alias(g) for g in GROUP]
+    single = free.select("uid", *no_group, "bytes").filter(weighs).unionByName(
+        torn.filter(~F.col("large")).select(no_id.alias("uid"), *GROUP, F.col("all").alias("bytes")).filter(weighs)
+    )
+    chosen = _place_singles(single.collect(), loads, goal * (1 + SINGLE_SHARE))
+    spark = docs.sparkSession
+    sole = materialize(spark.createDataFrame(chosen, "uid long, g1 long, g2 long, shard int"), "singles")
+    group_hash = F.xxhash64(*GROUP)
+    small = torn.filter(F.col("all") <= goal * SINGLE_SHARE)
+    # Groups too large for one place go cell by cell, side by side.
+    broken = torn.filter(F.col("all") > goal * SINGLE_SHARE).join(sole, GROUP, "left_anti")
+    none = F.lit(None).cast("int")
+    units = materialize(
+        free.filter(~weighs).select(F.xxhash64("uid").alias("h"), F.col("uid").alias("at"), "bytes", "uid", *no_group, none.alias("origin"), none.alias("part"))
+        .unionByName(small.select(group_hash.alias("h"), F.col("g2").alias("at"), F.col("all").alias("bytes"), no_id.alias("uid"), *GROUP, none.alias("origin"), none.alias("part")))
+        .unionByName(
+            settled.join(broken, GROUP, "left_semi").select(
+                group_hash.alias("h"), (F.col("part").cast("long") * n_shards + F.col("origin")).alias("at"), "bytes",
+                no_id.alias("uid"), *GROUP, "origin", "part",
+            )
+        ),
+        "units",
+    )
+    rest = int(units.agg(F.sum("bytes")).first()[0] or 0)
+    filled = materialize(_fill(units, _level(loads, rest), rows).select("uid", *GROUP, "origin", "part", "shard"), "filled")
+    cell = [*GROUP, "origin", "part"]
+    groups_placed = filled.filter("uid is null and origin is null").select(*GROUP, "shard").unionByName(
+        sole.filter("uid is null").select(*GROUP, "shard")
+    )
+    cells_placed = (
+        whole_cells.select(*cell, "shard")
+        .unionByName(settled.select(*cell).join(groups_placed, GROUP))
+        .unionByName(filled.filter("origin is not null").select(*cell, "shard"))
+    )
+    assigned = (
+        members.join(cells_placed, cell).select("uid", "shard")
+        .unionByName(filled.filter("uid is not null").select("uid", "shard"))
+        .unionByName(sole.filter("uid is not null").select("uid", "shard"))
+    )
     placed = materialize(items.drop(*GROUP).join(assigned, "uid"), "placed")
     n_blocks = blocks(rows, ROWS_PER_BLOCK * n_shards, 8)
     slotted = dense_ids(placed, "shard", ["uid"], "slot", n_blocks)

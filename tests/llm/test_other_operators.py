@@ -130,6 +130,33 @@ def test_shards_are_even_and_copies_stay_together(corpus, make_documents):
     assert sharding.shard(make_documents([])).count() == 0
 
 
+@pytest.mark.parametrize("linked", [0.8, 1.0])
+def test_pairs_share_a_shard_however_many_there_are(make_documents, linked):
+    pairs = round(400 * linked)
+    rows = [(i, f"pair {i % pairs:04d} " * 20) for i in range(2 * pairs)]
+    rows += [(1000 + i, f"sole {i:04d} " * 20) for i in range(800 - 2 * pairs)]
+    texts, spread, sizes = dict(rows), collections.defaultdict(set), collections.Counter()
+    for r in sharding.shard(make_documents(rows), n_shards=8).collect():
+        spread[texts[r.doc_id]].add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    mean = sum(sizes.values()) / 8
+    assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
+    assert sum(len(s) > 1 for s in spread.values()) == 0
+
+
+def test_large_groups_gather_where_all_are_copies(make_documents):
+    rows = [(i, f"hot {i % 2} " * 40) for i in range(1200)] + [(2000 + i, f"pair {i % 200:03d} " * 20) for i in range(400)]
+    texts, spread, sizes = dict(rows), collections.defaultdict(set), collections.Counter()
+    for r in sharding.shard(make_documents(rows), n_shards=8).collect():
+        spread[texts[r.doc_id]].add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    mean = sum(sizes.values()) / 8
+    assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
+    hot = [t for t in spread if t.startswith("hot")]
+    assert all(len(spread[t]) <= 600 * (len(t) + 16) / mean + 2 for t in hot)
+    assert sum(len(s) > 1 for t, s in spread.items() if t not in hot) <= 8
+
+
 def test_levels_fill_the_lightest():
     assert sharding._level([10, 0, 4], 6) == [0, 5, 1]
     assert sum(sharding._level([0, 0, 0, 0], 400)) == 400
