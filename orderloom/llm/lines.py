@@ -7,9 +7,10 @@ up to t shorter, with those substrings that the positions and lengths still allo
 with a key in common are then checked by banded bit-parallel edit distance: one bit per
 diagonal of the band, one step per character, all in 64-bit columns.
 
-Keys carry a digest of letter counts. An edit changes these counts by two at most, so
-pairs whose counts differ by more than 2 t never leave the join. Equal lines are one line
-from the start. Everything is built-in expressions, explodes and joins.
+Keys carry the line's 64-bit hash, which names it, and a digest of letter counts. An edit
+changes these counts by two at most, so pairs whose counts differ by more than 2 t never
+leave the join. Equal lines are one line from the start. Everything is built-in
+expressions, explodes and joins.
 """
 
 from __future__ import annotations
@@ -27,10 +28,9 @@ NEAR_CHARS = 24
 PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 # Letters that a tag counts, modulo 32 in five bits each, and those that it leaves out.
-LETTERS = "enaitrsol"
+LETTERS = "enaitrsoldhu"
 LETTER_BITS = 5
-OTHER_LETTERS = "dhucmpgbfvwk"
-HASH_BITS = 64 - LETTER_BITS * len(LETTERS)
+OTHER_LETTERS = "cmpgbfvwk"
 COUNTS = 1 << LETTER_BITS
 
 
@@ -142,19 +142,18 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def with_tag(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add `tag`, 64 bits that name a line: its letter counts, and a hash in the bits that are left."""
+    """Add `tag`, the letter counts of a line; different lines may well share one."""
     size, tag = F.octet_length(line), F.lit(0).cast("long")
     for letter in LETTERS:
         count = size - F.octet_length(F.replace(F.col(line), F.lit(letter), F.lit("")))
         tag = F.shiftleft(tag, LETTER_BITS).bitwiseOR(count.bitwiseAND(F.lit(COUNTS - 1)).cast("long"))
-    rest = F.xxhash64(line).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-    return df.withColumn("tag", F.shiftleft(tag, HASH_BITS).bitwiseOR(rest))
+    return df.withColumn("tag", tag)
 
 
 def _count_gap(one: Column, two: Column) -> Column:
     """By how much the letter counts of two tags differ at least."""
     def counted(tag: Column, letter: int) -> Column:
-        return F.shiftrightunsigned(tag, HASH_BITS + LETTER_BITS * letter).bitwiseAND(F.lit(COUNTS - 1))
+        return F.shiftrightunsigned(tag, LETTER_BITS * letter).bitwiseAND(F.lit(COUNTS - 1))
 
     gap = F.lit(0)
     for letter in range(len(LETTERS)):
@@ -217,24 +216,26 @@ def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: in
     """
     known = join_checked(keyed.filter("entries is not null"), repeated, ["h1", "h2"], "left")
     distinct = known.filter(F.col("first").isNull() | (F.struct("key", "pos") == F.col("first")))
-    entries = distinct.select(F.explode("entries").alias("k"), F.col("tag").alias("one"))
-    probes = distinct.select(F.explode("probes").alias("k"), F.col("tag").alias("two")).filter("k is not null")
-    alike = (F.col("one") != F.col("two")) & (_count_gap(F.col("one"), F.col("two")) <= 2 * edits)
+    entries = distinct.select(F.explode("entries").alias("k"), F.col("h1").alias("one"), F.col("tag").alias("one_tag"))
+    probes = distinct.select(
+        F.explode("probes").alias("k"), F.col("h1").alias("two"), F.col("tag").alias("two_tag")
+    ).filter("k is not null")
+    alike = (F.col("one") != F.col("two")) & (_count_gap(F.col("one_tag"), F.col("two_tag")) <= 2 * edits)
     met = entries.alias("e").join(probes.alias("p"), (F.col("e.k") == F.col("p.k")) & alike)
     pairs = materialize(
         met.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct(), "line-pairs"
     )
-    tags = pairs.select(F.col("one").alias("tag")).unionByName(pairs.select(F.col("two").alias("tag"))).distinct()
-    slim = distinct.select("tag", "key", "pos", "h1", "h2")
-    places = materialize(join_checked(slim, materialize(tags, "line-tags"), ["tag"]), "line-places")
+    names = pairs.select(F.col("one").alias("h1")).unionByName(pairs.select(F.col("two").alias("h1"))).distinct()
+    slim = distinct.select("key", "pos", "h1", "h2")
+    places = materialize(join_checked(slim, materialize(names, "line-names"), ["h1"]), "line-places")
     spelt = join_checked(rows, places, ["key"]).select(
-        "tag", "key", "pos", "h1", "h2", F.get(F.split("text", "\n"), F.col("pos")).alias("line")
+        "key", "pos", "h1", "h2", F.get(F.split("text", "\n"), F.col("pos")).alias("line")
     )
     # rows that share an id may hold different texts
     texts = materialize(spelt.filter(F.xxhash64("line") == F.col("h1")), "line-texts")
 
     def side(name: str) -> DataFrame:
-        return texts.select(F.col("tag").alias(name), F.struct("key", "pos", "h1", "h2", "line").alias(f"{name}_line"))
+        return texts.select(F.col("h1").alias(name), F.struct("key", "pos", "h1", "h2", "line").alias(f"{name}_line"))
 
     both = pairs.join(side("one"), "one").join(side("two"), "two").select("one_line", "two_line")
     # The check is long for few bytes: deal pairs out by number and not by size.

@@ -233,6 +233,15 @@ def test_line_dedup_equals_brute_force(corpus, make_documents):
     assert ours == plain_lines(rows, 2, 12)
 
 
+def test_lines_of_equal_letter_counts_are_told_apart(corpus, make_documents):
+    # numbered lines two edits apart whose hashes agree in the last 19 bits
+    numbered = corpus.range(100_000).select((F.col("id") / 100).cast("int").alias("page"), F.format_string("Page %06d of the manual", "id").alias("line"))
+    low = numbered.withColumn("low", F.xxhash64("line").bitwiseAND(F.lit((1 << 19) - 1)))
+    pair = low.groupBy("page", "low").agg(F.collect_list("line").alias("both")).filter(F.size("both") == 2).first()["both"]
+    got = lines.dedup_lines(make_documents([*enumerate(pair)])).select("doc_id", "lines.*").collect()
+    assert sorted((r.doc_id, r.removed_near, r.n_links) for r in got) == [(0, 0, 1), (1, 1, 1)]
+
+
 def test_line_dedup_on_odd_rows(edge, edge_rows, nothing):
     cleaned = lines.dedup_lines(edge)
     assert set(cleaned.columns) == set(edge.columns)
