@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import document_key, materialize, need
+from orderloom.llm.common import materialize, need, numbered_rows
 from orderloom.llm.shingles import _BYTES, _powers, groups, mix
 
 MIN_WORDS = 12
@@ -80,41 +80,42 @@ def spans(data: Sequence[bytes], min_words: int) -> tuple[np.ndarray, ...]:
 
 
 def _emit(docs: DataFrame, min_words: int, places: bool) -> DataFrame:
-    """Digest and key of each span, and if asked for also its second digest and place.
+    """Digest of each span, and if asked for also its row's key and uid, its second digest and place.
 
     `place` is twice the start, and odd if the text has the span earlier on as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data in groups(batch.column(1).to_pylist()):
+            for first, data in groups(batch["text"].to_pylist()):
                 owner, start, _, digest, other = spans(data, min_words)
-                keys = batch.column(0).slice(first, len(data)).to_numpy()[owner]
-                columns = {"digest": digest.view(np.int64), "key": keys}
+                columns = {"digest": digest.view(np.int64)}
                 if places:
                     order = np.lexsort((start, other, digest, owner))
                     same = np.zeros(len(owner), bool)
                     a, b = order[:-1], order[1:]
                     same[b] = (owner[a] == owner[b]) & (digest[a] == digest[b]) & (other[a] == other[b])
+                    columns |= {c: batch[c].slice(first, len(data)).to_numpy()[owner] for c in ("key", "uid")}
                     columns |= {"other": other.view(np.int64), "place": 2 * start.astype(np.int64) + same}
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=[*columns])
 
-    more = ", other long, place long" if places else ""
-    return docs.mapInArrow(run, f"digest long, key long{more}")
+    more = ", key long, uid long, other long, place long" if places else ""
+    return docs.mapInArrow(run, f"digest long{more}")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, digest, place, first_key) of the spans to cut, from rows (key, text).
+    """(uid, digest, place, first_key) of the spans to cut, from rows (key, uid, text).
 
     `first_key` is the smallest key of a document that has the span.
     """
     seen = _emit(docs, min_words, False).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     twice = materialize(seen.filter("n > 1").select("digest"), "repeated-digests")
     held = materialize(_emit(docs, min_words, True).join(twice, "digest"), "repeated-spans")
-    first = held.groupBy("digest", "other").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n"))
+    first = held.groupBy("digest", "other").agg(F.min(F.struct("key", "uid")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = materialize(first.filter("n > 1").drop("n"), "first-spans")
-    return held.join(first, ["digest", "other"]).filter("key > first_key or place % 2 = 1").select(
-        "key", "digest", "place", "first_key"
+    later = (F.struct("key", "uid") > F.col("first")) | (F.col("place") % 2 == 1)
+    return held.join(first, ["digest", "other"]).filter(later).select(
+        "uid", "digest", "place", F.col("first.key").alias("first_key")
     )
 
 
@@ -142,19 +143,18 @@ def dedup_substrings(
     column `repeats` (a column of that name is replaced): removed_bytes, removed_spans
     and first_ids, the sorted ids of documents whose spans were met again.
 
-    Documents are ordered by id; those without an id come last. Rows with the same id
-    count as one document, so exact repeats of a row are cut alike and both stay. Null
-    texts stay null, empty ones empty, and a text of fewer than `min_words` words is
+    Documents are ordered by id; those without an id come last. Rows with the same
+    id, or without one, are documents of their own in the order of reading. Null texts
+    stay null, empty ones empty, and a text of fewer than `min_words` words is
     never changed. An empty table gives an empty result.
     """
     need(docs, (id_column, text_column))
-    slim = docs.select(document_key(id_column).alias("key"), F.coalesce(text_column, F.lit("")).alias("text"))
+    rows = numbered_rows(docs, id_column, text_column)
+    slim = rows.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
     found = repeated_spans(slim, min_words)
     spot = F.struct(F.shiftright("place", 1).alias("start"), "digest", "first_key")
-    by_document = materialize(found.groupBy("key").agg(F.collect_set(spot).alias("marks")), "marks")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("rest")
-    rows = docs.select(document_key(id_column).alias("key"), F.col(text_column).alias("text"), whole)
-    marked = rows.join(by_document, "key", "left")
+    by_document = materialize(found.groupBy("uid").agg(F.collect_set(spot).alias("marks")), "marks")
+    marked = rows.join(by_document, "uid", "left")
     shape = marked.select("rest").schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,8 +13,8 @@ from orderloom.operators.scratch import materialize, scratch_path
 from orderloom.session import configure
 
 __all__ = [
-    "blocks", "corpus_session", "dense_ids", "document_key", "join_checked", "materialize", "need", "read_table",
-    "scratch_path",
+    "blocks", "corpus_session", "dense_ids", "document_key", "join_checked", "materialize", "need", "numbered_rows",
+    "read_table", "scratch_path",
 ]
 
 # Rows and bytes that one Arrow batch may hold on its way to a Python task: very long
@@ -63,6 +63,16 @@ def document_key(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit((1 << 63) - 1))
 
 
+def numbered_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(key, uid, text, rest), stored: the ordering key, a number of the row's own, the text and all other columns.
+
+    Rows that share an id, or have none, are told apart and ordered by `uid`.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("rest")
+    uid = F.monotonically_increasing_id().alias("uid")
+    return materialize(docs.select(document_key(id_column).alias("key"), uid, F.col(text_column).alias("text"), rest), "rows")
+
+
 def blocks(rows: int, per_block: int, least: int = 1) -> int:
     """Number of blocks so that each holds about `per_block` rows."""
     return max(least, -(-rows // per_block))

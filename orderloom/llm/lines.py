@@ -20,7 +20,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.llm.common import blocks, document_key, join_checked, materialize, need
+from orderloom.llm.common import blocks, join_checked, materialize, need, numbered_rows
 
 EDITS = 2
 # Shorter lines are compared for equality alone: two edits would change their meaning.
@@ -175,8 +175,8 @@ def _letter_gap(one: str, two: str) -> Column:
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
-    """(key, pos, line, h1, h2) of every line with a word, from rows (key, text)."""
-    lines = rows.select("key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    """(key, uid, pos, line, h1, h2) of every line with a word, from rows (key, uid, text)."""
+    lines = rows.select("key", "uid", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     worded = lines.filter(F.col("line").rlike(WORD_CHARACTER))
     return worded.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
@@ -202,20 +202,20 @@ def _keyed(rows: DataFrame, edits: int, near_chars: int) -> DataFrame:
     lines = _occurrences(rows).withColumn("length", F.length("line"))
     line, length, long = F.col("line"), F.col("length"), F.col("length") >= near_chars
     return with_tag(lines).select(
-        "key", "pos", "h1", "h2", "tag",
+        "key", "uid", "pos", "h1", "h2", "tag",
         F.when(long, entry_keys(line, length, edits)).alias("entries"),
         F.when(long, probe_keys(line, length, edits)).alias("probes"),
     )
 
 
 def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(earlier, later) lines at most `edits` apart, each a struct of key, pos, h1 and h2.
+    """(earlier, later) lines at most `edits` apart, each a struct of key, uid, pos, h1 and h2.
 
-    `rows` has key and text, `keyed` their lines, and `repeated` the first occurrence
-    (key, pos) of lines that occur more than once, by h1 and h2.
+    `rows` has key, uid and text, `keyed` their lines, and `repeated` the first occurrence
+    (key, uid, pos) of lines that occur more than once, by h1 and h2.
     """
     known = join_checked(keyed.filter("entries is not null"), repeated, ["h1", "h2"], "left")
-    distinct = known.filter(F.col("first").isNull() | (F.struct("key", "pos") == F.col("first")))
+    distinct = known.filter(F.col("first").isNull() | (F.struct("key", "uid", "pos") == F.col("first")))
     entries = distinct.select(F.explode("entries").alias("k"), F.col("h1").alias("one"), F.col("tag").alias("one_tag"))
     probes = distinct.select(
         F.explode("probes").alias("k"), F.col("h1").alias("two"), F.col("tag").alias("two_tag")
@@ -226,16 +226,15 @@ def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: in
         met.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct(), "line-pairs"
     )
     names = pairs.select(F.col("one").alias("h1")).unionByName(pairs.select(F.col("two").alias("h1"))).distinct()
-    slim = distinct.select("key", "pos", "h1", "h2")
+    slim = distinct.select("key", "uid", "pos", "h1", "h2")
     places = materialize(join_checked(slim, materialize(names, "line-names"), ["h1"]), "line-places")
-    spelt = join_checked(rows, places, ["key"]).select(
-        "key", "pos", "h1", "h2", F.get(F.split("text", "\n"), F.col("pos")).alias("line")
+    spelt = join_checked(rows.select("uid", "text"), places, ["uid"]).select(
+        "key", "uid", "pos", "h1", "h2", F.get(F.split("text", "\n"), F.col("pos")).alias("line")
     )
-    # rows that share an id may hold different texts
-    texts = materialize(spelt.filter(F.xxhash64("line") == F.col("h1")), "line-texts")
+    texts = materialize(spelt, "line-texts")
 
     def side(name: str) -> DataFrame:
-        return texts.select(F.col("h1").alias(name), F.struct("key", "pos", "h1", "h2", "line").alias(f"{name}_line"))
+        return texts.select(F.col("h1").alias(name), F.struct("key", "uid", "pos", "h1", "h2", "line").alias(f"{name}_line"))
 
     both = pairs.join(side("one"), "one").join(side("two"), "two").select("one_line", "two_line")
     # The check is long for few bytes: deal pairs out by number and not by size.
@@ -248,7 +247,7 @@ def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: in
     )
     near = (F.length("longer") - F.length("shorter") <= edits) & (_letter_gap("longer", "shorter") <= 2 * edits)
     linked = ordered.filter(F.when(near, within_edits(F.col("longer"), F.col("shorter"), edits)).otherwise(F.lit(False)))
-    one, two = (F.struct(*[F.col(f"{s}_line.{c}") for c in ("key", "pos", "h1", "h2")]) for s in ("one", "two"))
+    one, two = (F.struct(*[F.col(f"{s}_line.{c}") for c in ("key", "uid", "pos", "h1", "h2")]) for s in ("one", "two"))
     return linked.select(F.least(one, two).alias("earlier"), F.greatest(one, two).alias("later")).distinct()
 
 
@@ -269,14 +268,16 @@ def dedup_lines(
     Returns every row of `docs` with all its columns, the text shortened, and the struct
     column `lines` (a column of that name is replaced): n_lines, removed_exact,
     removed_near and n_links (pairs of different lines at most `edits` apart in which
-    lines of the text take part). Null texts stay null. Rows with the same id count as
-    one document, rows without an id likewise. An empty table gives an empty result.
+    lines of the text take part). Null texts stay null. Rows with the same id, or
+    without one, are documents of their own in the order of reading. An empty table gives
+    an empty result.
     """
     need(docs, (id_column, text_column))
-    rows = docs.select(document_key(id_column).alias("key"), F.coalesce(text_column, F.lit("")).alias("text"))
+    whole = numbered_rows(docs, id_column, text_column)
+    rows = whole.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
     with small_methods(docs.sparkSession):
         seen = materialize(_keyed(rows, edits, near_chars), "lines")
-    first = seen.groupBy("h1", "h2").agg(F.min(F.struct("key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = seen.groupBy("h1", "h2").agg(F.min(F.struct("key", "uid", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = materialize(first.filter("n > 1").drop("n"), "repeated-lines")
     links = materialize(near_links(rows, seen, repeated, edits), "line-links")
     ends = links.select(F.col("earlier").alias("end"), F.lit(False).alias("near")).unionByName(
@@ -284,31 +285,22 @@ def dedup_lines(
     )
     linked = ends.groupBy("end.h1", "end.h2").agg(F.max("near").alias("near"), F.count(F.lit(1)).alias("links"))
     notes = repeated.join(linked, ["h1", "h2"], "full")
-    noted = join_checked(seen.select("key", "pos", "h1", "h2"), materialize(notes, "line-notes"), ["h1", "h2"])
+    noted = join_checked(seen.select("key", "uid", "pos", "h1", "h2"), materialize(notes, "line-notes"), ["h1", "h2"])
     near = F.coalesce("near", F.lit(False))
-    again = F.coalesce(F.struct("key", "pos") != F.col("first"), F.lit(False))
+    again = F.coalesce(F.struct("key", "uid", "pos") != F.col("first"), F.lit(False))
     marked = noted.select(
-        "key", "pos", "h1", near.alias("near"), (again & ~near).alias("again"), F.coalesce("links", F.lit(0)).alias("links")
+        "uid", "pos", near.alias("near"), (again & ~near).alias("again"), F.coalesce("links", F.lit(0)).alias("links")
     )
-    by_document = marked.groupBy("key").agg(
-        F.collect_set(F.when(F.col("near") | F.col("again"), F.struct("pos", "h1"))).alias("gone"),
-        F.collect_set(F.when(F.col("near"), F.struct("pos", "h1"))).alias("gone_near"),
+    by_document = marked.groupBy("uid").agg(
+        F.collect_list(F.when(F.col("near") | F.col("again"), F.col("pos"))).alias("gone"),
+        F.collect_list(F.when(F.col("near"), F.col("pos"))).alias("gone_near"),
         F.sum("links").alias("links"),
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = docs.select(
-        document_key(id_column).alias("key"), F.col(text_column).alias("text"), F.struct(*columns).alias("row")
-    )
-    joined = whole.join(materialize(by_document, "line-marks"), "key", "left")
-    # Rows that share an id may hold different texts: a mark counts where its line stands.
-    split = joined.withColumn("parts", F.split("text", "\n"))
+    joined = whole.join(materialize(by_document, "line-marks"), "uid", "left")
     none = F.array().cast("array<int>")
-
-    def places(marks: str) -> Column:
-        here = F.filter(marks, lambda m: F.xxhash64(F.get("parts", m["pos"])) == m["h1"])
-        return F.coalesce(F.transform(here, lambda m: m["pos"]), none)
-
-    located = split.withColumns({"out": places("gone"), "out_near": places("gone_near")})
+    located = joined.withColumns({
+        "parts": F.split("text", "\n"), "out": F.coalesce("gone", none), "out_near": F.coalesce("gone_near", none)
+    })
     kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("out"))
     text = F.when(
         F.size("out") > 0, F.array_join(F.transform(kept, lambda i: F.get("parts", i)), "\n")
@@ -319,5 +311,5 @@ def dedup_lines(
         F.size("out_near").cast("long").alias("removed_near"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
-    same = [text.alias(c) if c == text_column else F.col(f"row.`{c}`") for c in docs.columns if c != "lines"]
+    same = [text.alias(c) if c == text_column else F.col(f"rest.`{c}`") for c in docs.columns if c != "lines"]
     return located.select(*same, report.alias("lines"))

@@ -384,6 +384,17 @@ def test_substring_dedup_on_odd_rows(edge, edge_rows, nothing):
     assert chunks.dedup_substrings(nothing).count() == 0
 
 
+def test_rows_without_an_id_are_documents_of_their_own(make_documents):
+    passage = " ".join(f"shared{i}" for i in range(50))
+    line = "a line that is long enough for the near join"
+    for shared in (None, 7):
+        cut = [r.text for r in chunks.dedup_substrings(make_documents([(shared, passage)] * 3)).collect()]
+        assert sorted(cut) == ["", "", passage]
+        rows = [(shared, line)] * 3 + [(shared, line + "!")]
+        got = lines.dedup_lines(make_documents(rows)).select("text", "lines.*").collect()
+        assert sum(r.text != "" for r in got) == 1 and sum(r.removed_exact + r.removed_near for r in got) == 3
+
+
 # --- classifier ------------------------------------------------------------------
 
 
