@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderloom.llm import (
     bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
 )
-from orderloom.llm.common import corpus_session, read_table, scratch_path
+from orderloom.llm.common import corpus_session, given_id, read_table, scratch_path
 from orderloom.llm.oracle import SQL
 
 __all__ = ["QUERIES", "SQL", "TOKENIZER"]
@@ -82,7 +82,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.classes(read_table(spark, sf_dir, "documents"))
     return found.select(
-        F.col("key").alias("doc_id"), "class_id", "class_size", (F.col("key") == F.col("class_id")).alias("kept")
+        given_id(F.col("key")).alias("doc_id"), given_id(F.col("class_id")).alias("class_id"), "class_size", "kept"
     )
 
 

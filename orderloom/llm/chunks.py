@@ -135,13 +135,17 @@ def _cut(data: bytes, marked: set[tuple[int, int]], min_words: int) -> tuple[str
 
 
 def dedup_substrings(
-    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    report: str | None = "repeats",
 ) -> DataFrame:
     """Cut from each text the spans that an earlier document, or it itself, has before.
 
-    Returns every row of `docs` with all its columns, the text shortened, and the struct
-    column `repeats` (a column of that name is replaced): removed_bytes, removed_spans
-    and first_ids, the sorted ids of documents whose spans were met again.
+    Returns every row of `docs` with all its columns, the text shortened, and a struct
+    column named `report` (it replaces a column of that name; none if None): removed_bytes,
+    removed_spans and first_ids, the sorted ids of documents whose spans were met again.
 
     Documents are ordered by id; those without an id come last. Rows with the same
     id, or without one, are documents of their own in the order of reading. Null texts
@@ -182,5 +186,5 @@ def dedup_substrings(
 
     kind = "struct<removed_bytes:bigint,removed_spans:bigint,first_ids:array<bigint>>"
     done = marked.select("text", "rest", "marks").mapInArrow(run, f"rest {shape}, text string, repeats {kind}")
-    columns = [F.col("text").alias(c) if c == text_column else F.col(f"rest.`{c}`") for c in docs.columns if c != "repeats"]
-    return done.select(*columns, "repeats")
+    columns = [F.col("text").alias(c) if c == text_column else F.col(f"rest.`{c}`") for c in docs.columns if c != report]
+    return done.select(*columns, *([F.col("repeats").alias(report)] if report else []))

@@ -13,7 +13,7 @@ from orderloom.operators.scratch import materialize, scratch_path
 from orderloom.session import configure
 
 __all__ = [
-    "blocks", "corpus_session", "dense_ids", "document_key", "join_checked", "materialize", "need", "numbered_rows",
+    "blocks", "corpus_session", "dense_ids", "document_key", "given_id", "join_checked", "materialize", "need", "numbered_rows",
     "read_table", "scratch_path",
 ]
 
@@ -63,6 +63,11 @@ def document_key(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit((1 << 63) - 1))
 
 
+def given_id(key: Column) -> Column:
+    """The id of an ordering key again; null where it was missing."""
+    return F.nullif(key, F.lit((1 << 63) - 1))
+
+
 def numbered_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(key, uid, text, rest), stored: the ordering key, a number of the row's own, the text and all other columns.
 

@@ -257,6 +257,7 @@ def dedup_lines(
     near_chars: int = NEAR_CHARS,
     id_column: str = "doc_id",
     text_column: str = "text",
+    report: str | None = "lines",
 ) -> DataFrame:
     """Remove every line that repeats an earlier one, exactly or up to `edits` edits.
 
@@ -265,8 +266,8 @@ def dedup_lines(
     also goes, in all its places, if an earlier line is at most `edits` apart, whether
     that one stays or not. Lines without a word always stay.
 
-    Returns every row of `docs` with all its columns, the text shortened, and the struct
-    column `lines` (a column of that name is replaced): n_lines, removed_exact,
+    Returns every row of `docs` with all its columns, the text shortened, and a struct
+    column named `report` (it replaces a column of that name; none if None): n_lines, removed_exact,
     removed_near and n_links (pairs of different lines at most `edits` apart in which
     lines of the text take part). Null texts stay null. Rows with the same id, or
     without one, are documents of their own in the order of reading. An empty table gives
@@ -305,11 +306,11 @@ def dedup_lines(
     text = F.when(
         F.size("out") > 0, F.array_join(F.transform(kept, lambda i: F.get("parts", i)), "\n")
     ).otherwise(F.col("text"))
-    report = F.struct(
+    counts = F.struct(
         F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"),
         (F.size("out") - F.size("out_near")).cast("long").alias("removed_exact"),
         F.size("out_near").cast("long").alias("removed_near"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
-    same = [text.alias(c) if c == text_column else F.col(f"rest.`{c}`") for c in docs.columns if c != "lines"]
-    return located.select(*same, report.alias("lines"))
+    same = [text.alias(c) if c == text_column else F.col(f"rest.`{c}`") for c in docs.columns if c != report]
+    return located.select(*same, *([counts.alias(report)] if report else []))

@@ -210,18 +210,22 @@ def classes(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(key, digest, class_id, class_size, copies), one row per row of `docs`.
+    """(key, digest, number, class_id, class_size, copies, kept), one row per row of `docs`.
 
     Two texts are linked when the Jaccard similarity of their five-word shingles is at
     least `similarity` (of shingle counts if `weighted`); classes are the connected
     components. `key` is the id (a missing one as the largest long), `class_id` the
     smallest key in the class, and `copies` the number of rows with this key and text.
+    Exactly one row of each class is `kept`: of the rows with the smallest key those with
+    the smallest digest, and of repeated rows the first by `number`. Ids may repeat or
+    be missing: rows that share one are of one class only if their texts are linked.
     Equal texts are always one class; so are all null, empty and blank texts.
     An empty table gives an empty result, and other columns are not read.
     """
     need(docs, (id_column, text_column))
     slim = docs.select(document_key(id_column).alias("key"), text_digest(F.col(text_column)).alias("digest"), F.col(text_column).alias("text"))
-    signed = materialize(_sign(slim, weighted, bands, rows), "signatures")
+    signed = _sign(slim, weighted, bands, rows).withColumn("number", F.monotonically_increasing_id())
+    signed = materialize(signed, "signatures")
     nodes = materialize(
         signed.groupBy("digest")
         .agg(F.min("key").alias("first"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
@@ -271,16 +275,19 @@ def classes(
     if labels is not None:
         whole = _relabel(whole, "label", labels)
     whole = materialize(whole, "labelled")
-    sizes = signed.groupBy("digest", "key").agg(F.count(F.lit(1)).alias("copies"))
+    sizes = signed.groupBy("digest", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("number").alias("first_number"))
     held = signed.groupBy("digest").agg(F.count(F.lit(1)).alias("held"))
     weighed = whole.join(materialize(held, "held"), "digest")
-    named = weighed.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("held").alias("class_size"))
+    # A class is named by a row of its own: other classes may have the same smallest key.
+    named = weighed.groupBy("label").agg(F.min(F.struct("first", "digest")).alias("head"), F.sum("held").alias("class_size"))
     by_digest = materialize(
-        whole.join(materialize(named, "classes"), "label").select("digest", "class_id", "class_size"), "digests"
+        whole.join(materialize(named, "classes"), "label").select("digest", "head", "class_size"), "digests"
     )
-    rows_ = signed.select("key", "digest").join(by_digest, "digest")
-    return rows_.join(materialize(sizes, "copies"), ["digest", "key"]).select(
-        "key", "digest", "class_id", "class_size", "copies"
+    rows_ = signed.select("key", "digest", "number").join(by_digest, "digest").join(materialize(sizes, "copies"), ["digest", "key"])
+    leads = (F.col("key") == F.col("head.first")) & (F.col("digest") == F.col("head.digest"))
+    return rows_.select(
+        "key", "digest", "number", F.col("head.first").alias("class_id"), "class_size", "copies",
+        (leads & (F.col("number") == F.col("first_number"))).alias("kept"),
     )
 
 
@@ -308,13 +315,14 @@ def _unfinished(members: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` that come first in their class: one document of each class stays."""
+    """One row of `docs` of each class: of those with the smallest id the one with the smallest digest.
+
+    Rows without an id come after all others. Of rows with the same id and text any one
+    stays, as one document.
+    """
     id_column, text_column = settings.get("id_column", "doc_id"), settings.get("text_column", "text")
     columns = [F.col(f"_row.`{c}`") for c in docs.columns]
-    keys = classes(docs, **settings).filter("key = class_id")
-    # A class may hold several texts under its smallest key, if an id repeats.
-    first = keys.groupBy("class_id").agg(F.min("digest").alias("digest"), F.max("copies").alias("copies"))
-    first = materialize(first.withColumnRenamed("class_id", "key"), "first")
+    first = materialize(classes(docs, **settings).filter("kept").select("key", "digest", "copies"), "first")
     whole = docs.select(
         document_key(id_column).alias("key"),
         text_digest(F.col(text_column)).alias("digest"),

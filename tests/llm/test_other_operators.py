@@ -202,3 +202,14 @@ def test_pipeline_on_odd_rows(corpus, edge):
     assert kept and {r.doc_id for r in kept}.isdisjoint({4, 5, 6, 8})  # texts of few words went
     packed = corpus_pipeline.STAGES[-1][1](corpus, docs, "")
     assert packed.select("doc_id").distinct().count() == len({r.doc_id for r in kept})
+    own = {"lines": "q", "repeats": "r", "quality": "q"}
+    sample = edge.drop("lines", "quality").withColumns({"lines": F.lit("q"), "quality": F.lit("q")}).select(*columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert all(r[c] == v for r in stage(corpus, sample, "").collect() for c, v in own.items())
+
+
+def test_pipeline_on_an_empty_table(corpus, nothing):
+    docs = nothing
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(corpus, docs, "")
+        assert docs.count() == 0

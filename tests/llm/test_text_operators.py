@@ -11,12 +11,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, chunks, classifier, lines, minhash, packing, quality_rules
+from orderloom.llm import bpe, catalog, chunks, classifier, lines, minhash, packing, quality_rules
 from orderloom.llm.catalog import TOKENIZER
 from orderloom.llm.shingles import shingle_sets
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = (1 << 63) - 1
+PROSE = [" ".join(f"w{d}x{i} of the" for i in range(40)) for d in range(6)]
 
 
 # --- BPE -------------------------------------------------------------------------
@@ -256,7 +257,8 @@ def test_line_dedup_on_odd_rows(edge, edge_rows, nothing):
 # --- near duplicates -------------------------------------------------------------
 
 
-def plain_classes(rows, similarity):
+def plain_groups(rows, similarity):
+    """Per row the number of a row that stands for its class."""
     sets = [
         (i if i is not None else LAST,
          frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := WORDS.findall(t or "")) else frozenset())
@@ -274,10 +276,13 @@ def plain_classes(rows, similarity):
             one, two = sets[a][1], sets[b][1]
             if one == two or len(one & two) >= similarity * len(one | two):
                 parent[root(a)] = root(b)
-    least = collections.defaultdict(lambda: LAST)
-    for x, (i, _) in enumerate(sets):
-        least[root(x)] = min(least[root(x)], i)
-    return sorted((sets[x][0], least[root(x)]) for x in range(len(sets)))
+    return [root(x) for x in range(len(sets))]
+
+
+def plain_classes(rows, similarity):
+    roots, keys = plain_groups(rows, similarity), [i if i is not None else LAST for i, _ in rows]
+    least = {r: min(k for k, other in zip(keys, roots) if other == r) for r in roots}
+    return sorted((k, least[r]) for k, r in zip(keys, roots))
 
 
 def test_signatures_estimate_weighted_similarity():
@@ -322,6 +327,22 @@ def test_one_document_of_each_class_stays(edge, edge_rows, nothing):
     assert minhash.classes(nothing).count() == 0 and minhash.keep_first(nothing).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none_are_not_lost(make_documents, corpus, monkeypatch):
+    near = PROSE[1].replace("w1x5 ", "w1y5 ")
+    rows = [(None, PROSE[0]), (None, PROSE[1]), (None, PROSE[2]), (7, PROSE[3]), (7, PROSE[4]), (7, PROSE[4]), (8, PROSE[5]),
+            (None, PROSE[5]), (9, near), (7, PROSE[2]), (7, None), (None, "")]
+    roots = plain_groups(rows, 0.8)
+    by_text = {(i, t or ""): r for (i, t), r in zip(rows, roots)}
+    kept = [(r.doc_id, r.text) for r in minhash.keep_first(make_documents(rows)).collect()]
+    assert sorted(by_text[i, t or ""] for i, t in kept) == sorted(set(roots))
+    keys = {r: min((i if i is not None else LAST) for (i, _), other in zip(rows, roots) if other == r) for r in roots}
+    assert all((i if i is not None else LAST) == keys[by_text[i, t or ""]] for i, t in kept)
+    monkeypatch.setattr(catalog, "read_table", lambda *_: make_documents(rows))
+    found = catalog.QUERIES["op8_minhash_near_dedup"](corpus, "").collect()
+    assert len(found) == len(rows) and sum(r.kept for r in found) == len(set(roots))
+    assert collections.Counter(r.doc_id for r in found) == collections.Counter(i for i, _ in rows)
+
+
 # --- substrings ------------------------------------------------------------------
 
 
