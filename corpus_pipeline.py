@@ -39,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line repeats or nearly repeats."""
     corpus_session(spark)
-    return _as_documents(lines.dedup_lines(docs), docs)
+    return _as_documents(lines.dedup_lines(docs, report=None), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier documents have."""
     corpus_session(spark)
-    return _as_documents(chunks.dedup_substrings(docs), docs)
+    return _as_documents(chunks.dedup_substrings(docs, report=None), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
