@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.llm import (
-    bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
+    audit, bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
 )
 from orderloom.llm.common import corpus_session, given_id, read_table, scratch_path
 from orderloom.llm.oracle import SQL
@@ -103,3 +103,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

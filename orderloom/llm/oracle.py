@@ -119,7 +119,60 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 FROM named
 """
 
+# Every order is played through; the Shapley sums come from the steps and not from potentials.
+FILTER_AUDIT = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+worded AS (SELECT *, regexp_extract_all(text, '{WORD}') AS w FROM texts),
+tested AS (
+    SELECT
+        doc_id, part,
+        CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) THEN 16 ELSE 0 END AS mask
+    FROM worded
+),
+marks AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id
+),
+cells AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t
+    FROM tested LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+),
+steps AS (
+    SELECT
+        filter_order, step, filter_order[step] AS letter, 1 << (ascii(filter_order[step]) - 65) AS own,
+        coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::int AS before
+    FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step)
+),
+played AS (
+    SELECT
+        part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (mask & (before | own) = 0), 0) AS kept,
+        coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS removed,
+        coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0) AS redundant,
+        coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+        coalesce(sum(g) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS good_lost,
+        coalesce(sum(t) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS toxic_lost
+    FROM cells, steps GROUP BY ALL
+)
+SELECT
+    part, filter_order, step, kept::bigint AS kept, removed::bigint AS removed, redundant::bigint AS redundant,
+    unique_fails::bigint AS unique_fails, good_lost::bigint AS good_lost, toxic_lost::bigint AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::bigint AS shapley
+FROM played
+"""
+
 SQL = {
+    "op12_filter_audit": FILTER_AUDIT,
     "op2_line_dedup": LINE_DEDUP,
     "op3_quality_rules": QUALITY_RULES,
     "op5_topk_search": TOPK,
