@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.llm import (
-    audit, bpe, chunks, classifier, lines, minhash, packing, quality_rules, sharding, topk, warc,
+    audit, bpe, chunks, classifier, grid_join, lines, minhash, packing, quality_rules, sharding, topk, tries, warc,
 )
 from orderloom.llm.common import corpus_session, given_id, read_table, scratch_path
 from orderloom.llm.oracle import SQL
@@ -105,6 +105,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(read_table(spark, sf_dir, "conversations"))

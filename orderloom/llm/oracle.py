@@ -171,7 +171,72 @@ SELECT
 FROM played
 """
 
+# A node is the list of its turns; the CRC is worked out bit by bit.
+CONVERSATION_TRIE = r"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+crc(c, k, v) AS (
+    SELECT c, 0, 4294967295::bigint FROM ids
+    UNION ALL
+    SELECT c, k + 1, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END) FROM (
+        SELECT c, k, xor(v, CASE WHEN k % 8 = 0 THEN ascii((c::varchar)[k // 8 + 1]) ELSE 0 END::bigint) AS x
+        FROM crc WHERE k < 8 * length(c::varchar)
+    )
+),
+starts AS (SELECT c, (xor(v, 4294967295) % 6)::int AS h FROM crc WHERE k = 8 * length(c::varchar)),
+turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+lists AS (SELECT c, list({'role': role, 'text': text} ORDER BY place) AS l FROM turns GROUP BY c),
+rebuilt AS (
+    SELECT s.c, list_concat(coalesce(b.l, [])[1:s.h], o.l[s.h + 1:]) AS l
+    FROM starts s JOIN lists o ON o.c = s.c LEFT JOIN lists b ON b.c = s.c - s.c % 100
+),
+steps AS (SELECT c, l, unnest(range(0, len(l) + 1)) AS depth FROM rebuilt),
+nodes AS (
+    SELECT l[1:depth] AS path, depth, min(c) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (len(l) = depth), '') AS ends,
+        coalesce((count(*) - 1) * length(any_value(l[depth].text)), 0) AS saved
+    FROM steps GROUP BY l[1:depth], depth
+),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+subtrees AS (
+    SELECT path[1:d] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM whole, unnest(range(0, depth + 1)) AS up(d) GROUP BY 1
+)
+SELECT
+    w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+    s.saved_tokens::bigint AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN subtrees s ON s.path = w.path
+LEFT JOIN whole p ON w.depth > 0 AND p.path = w.path[1:w.depth - 1]
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::double[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+links AS (
+    SELECT a.vec_id AS one, b.vec_id AS two FROM vectors a JOIN vectors b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach(one, two) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.one, l.two FROM reach r JOIN links l ON l.one = r.two
+),
+named AS (SELECT one AS vec_id, min(two) AS component_id FROM reach GROUP BY one),
+counted AS (SELECT one AS vec_id, count(*) AS n_links FROM links GROUP BY one)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN counted USING (vec_id)
+"""
+
 SQL = {
+    "op11_embedding_near_dedup": NEAR_VECTORS,
+    "op13_conversation_trie": CONVERSATION_TRIE,
     "op12_filter_audit": FILTER_AUDIT,
     "op2_line_dedup": LINE_DEDUP,
     "op3_quality_rules": QUALITY_RULES,

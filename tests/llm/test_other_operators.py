@@ -184,7 +184,7 @@ def test_components(corpus):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11)] and set(SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)] and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", ["op3_quality_rules", "op5_topk_search", "op9_warc"])
