@@ -173,7 +173,7 @@ def close_blocks(boxes: DataFrame, width: float, count: int, directions: int) ->
     blocks whose numbers start with the bits of i, as far as they are of one part.
     """
     levels = 0
-    while (count - 1) >> (SPLIT_BITS * levels):
+    while max(count - 1, 0) >> (SPLIT_BITS * levels):
         levels += 1
 
     def intervals(level: int) -> DataFrame:
