@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from orderloom.constants import MODEL_COLUMNS, NAIVE, SEASONAL_NAIVE
-from orderloom.operators import modeling, quality
+from orderloom.constants import CELL_KEYS as MODEL_CELL, MODEL_COLUMNS, MODEL_FEATURES, NAIVE, SEASONAL_NAIVE
+from orderloom.operators import boosting, modeling, quality
 from orderloom.operators.features import DemandHistory, assemble, demand_history
 from orderloom.operators.metrics import forecast_evaluation_detail
 from orderloom.operators.panel import ORDER_COLUMNS as PANEL_COLUMNS, month_spine, monthly_observed
@@ -20,7 +21,7 @@ from orderloom.operators.scratch import materialize, scratch_path
 from orderloom.plans import (
     customers, datasets, diagnostics, error_review, forecast, fulfillment, measures, sales,
 )
-from orderloom.plans.reports import Tables, reports
+from orderloom.plans.reports import Tables, prepared, reports
 from orderloom.session import configure
 from orderloom.sources.sinks import export_reports, write_forecast, write_frame, write_panel
 from orderloom.sources.star import Star
@@ -141,7 +142,7 @@ def product_fulfillment_bottlenecks(star: Star) -> DataFrame:
 
 @register
 def monthly_demand_fulfillment_reconciliation(star: Star) -> DataFrame:
-    orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS)
+    orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS, "Order_Time")
     return fulfillment.monthly_demand_fulfillment_reconciliation(
         orders, detail(star, stored=True), PRIMARY
     )
@@ -243,7 +244,7 @@ TEST_START = "2001-03-01"
 
 
 def order_rows(star: Star) -> DataFrame:
-    return diagnostics.focus(star.orders(*diagnostics.ORDER_COLUMNS))
+    return diagnostics.focus(star.orders(*diagnostics.ORDER_COLUMNS, "Order_Time"))
 
 
 @register
@@ -375,12 +376,77 @@ register(lambda star: quality.recomputed_metrics(forecast_rows(star), MODELS), "
 def result_gate(star: Star) -> DataFrame:
     fact = results(star)
     rows = forecast_evaluation_detail(fact, star.products(), star.regions(), MODELS)
-    orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS)
+    orders = star.orders(*fulfillment.RECONCILIATION_COLUMNS, "Order_Time")
     reconciled = fulfillment.monthly_demand_fulfillment_reconciliation(orders, rows, PRIMARY)
     benchmark = forecast.model_benchmark(rows)
     return quality.result_gate(fact, rows, benchmark, accuracy_views(rows), reconciled, MODELS)
 
 
+# Faults planted in the given tables, to show that the gates find each kind. Which rows
+# get one depends on their keys alone.
+
+
+def planted_orders(star: Star) -> DataFrame:
+    def planted(kind: int, column: str, value) -> Column:
+        return F.when(F.col("Order_ID") % 97 == kind, value).otherwise(F.col(column))
+
+    none = F.lit(None)
+    return star.orders().withColumns({
+        "Quantity": planted(0, "Quantity", F.lit(0)), "Product_ID": planted(1, "Product_ID", F.lit("none")),
+        "Region_ID": planted(2, "Region_ID", F.lit(99)), "Customer_ID": planted(3, "Customer_ID", F.lit(-1)),
+        "Order_Status": planted(4, "Order_Status", F.lit("Lost")), "Order_Date": planted(5, "Order_Date", none),
+        "Delivery_Days": planted(6, "Delivery_Days", none),
+    })
+
+
+def planted_results(star: Star) -> DataFrame:
+    """Every fault in one product's rows, one region after the other."""
+    def at(product: str, region: int) -> Column:
+        return (F.col("Product_ID") == f"Brand#{product}") & (F.col("Region_ID") == region)
+
+    def planted(where: Column, column: str, value: Column) -> Column:
+        return F.when(where, value).otherwise(F.col(column))
+
+    fact = forecast_rows(star)
+    changed = fact.withColumns({
+        "Actual_Demand": planted(at("2", 0), "Actual_Demand", F.lit(-5)),
+        "Naive_Forecast": planted(at("2", 1), "Naive_Forecast", F.col("Naive_Forecast") + 1),
+        "Seasonal_Naive_Forecast": planted(at("2", 2), "Seasonal_Naive_Forecast", F.lit(None)),
+        "Squared_Error": planted(at("2", 3), "Squared_Error", F.col("Squared_Error") + 2),
+        "Month": planted(at("2", 4), "Month", F.date_add("Month", 1)),
+    })
+    lost = changed.where(at("3", 0)).withColumn("Product_ID", F.lit("none"))
+    moved = changed.where(at("3", 1)).withColumn("Region_ID", F.lit(99))
+    return changed.unionByName(lost).unionByName(moved).unionByName(changed.where(at("3", 2)))
+
+
+@register
+def planted_input_gate(star: Star) -> DataFrame:
+    """What the input gate counts on tables with planted faults."""
+    buyers, items, areas = star.customers(), star.products(), star.regions()
+    stray = F.when(F.col("Customer_ID") % 50 == 0, 99).otherwise(F.col("Region_ID"))
+    return quality.input_gate(
+        planted_orders(star),
+        buyers.withColumn("Region_ID", stray).unionByName(buyers.where(F.col("Customer_ID") % 40 == 0)),
+        items.unionByName(items.where("Product_ID = 'Brand#4'")),
+        areas.unionByName(areas.where("Region_ID < 2")),
+        materialize(planted_results(star), "planted-forecast"),
+    )
+
+
+@register
+def panel_reconciliation(star: Star) -> DataFrame:
+    """Cells in which a panel with planted faults and the orders differ, from both sides."""
+    steps = history(star)
+    at = F.concat_ws("/", "Product_ID", "Region_ID", F.month("Month"))
+    changed = steps.panel.where(at != "Brand#2/1/5").withColumn(
+        "Actual_Demand", F.col("Actual_Demand") + F.when(at == "Brand#6/2/7", 3).otherwise(0)
+    )
+    twice = changed.where(at == "Brand#9/0/2")
+    late = steps.observed.where(at == "Brand#1/4/3").withColumn("Month", F.add_months("Month", 600))
+    return quality.panel_reconciliation(changed.unionByName(twice), steps.observed.unionByName(late))
+
+
 # --- measures --------------------------------------------------------------------------
 
 # Slicer selections used by the filtered measure queries.
@@ -499,7 +565,7 @@ def model_selection(star: Star) -> DataFrame:
     candidates = [
         modeling.mean_baseline(),
         modeling.rf_candidates(trees=20, depths=(5, 8), leaves=(1, 3)),
-        modeling.gbt_candidates(rates=(0.1,), iterations=(5, 10), depths=(4,)),
+        modeling.boosted_candidates(iterations=(2, 4)),
     ]
     searches = modeling.search_all(candidates, development)
     return modeling.cv_results(development, searches)
@@ -507,17 +573,52 @@ def model_selection(star: Star) -> DataFrame:
 @register
 def mean_baseline_cv(star: Star) -> DataFrame:
     """The cross-validation score of the training mean, fold by fold and on average."""
-    development = materialize(history(star).development, "development")
-    parts = []
-    for number, (train, valid) in enumerate(modeling.month_folds(development), start=1):
-        mean = train.agg(F.avg("Actual_Demand")).scalar()
-        parts.append(
-            valid.agg(F.avg(F.abs(F.col("Actual_Demand") - mean)).alias("mae")).select(F.lit(number).alias("fold"), "mae")
-        )
-    folds = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    development = materialize(assemble(history(star).development), "development")
+    scores = modeling.fold_scores(modeling.mean_baseline(), modeling.month_folds(development))
+    folds = star.spark.createDataFrame([(fold, mae) for _, fold, mae in scores], "fold int, mae double")
     return folds.select("fold", F.round("mae", 6).alias("mae"), F.round(F.avg("mae").over(Window.partitionBy()), 6).alias("cv_mae"))
 
 
+@register
+def fold_guard(star: Star) -> DataFrame:
+    """Which numbers of folds the development months allow, around the largest one."""
+    development = materialize(history(star).development.select("Month"), "development-months")
+    months = development.select("Month").distinct().count()
+
+    def allowed(folds: int) -> bool:
+        try:
+            return len(modeling.month_folds(development, folds)) == folds
+        except ValueError:
+            return False
+
+    rows = [(folds, allowed(folds)) for folds in (1, months // 2, months - 1, months, months + 1)]
+    return star.spark.createDataFrame(rows, "folds int, allowed boolean")
+
+
+@register
+def feature_vectors(star: Star) -> DataFrame:
+    """The feature vector and label of every test cell, one column per place in the vector."""
+    places = vector_to_array("features")
+    assembled = assemble(history(star).test).select(*MODEL_CELL, "label", places.alias("x"))
+    return assembled.select(*MODEL_CELL, "label", *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(len(MODEL_FEATURES))])
+
+
+BOOSTED_FITS = (boosting.Fit(10, 15), boosting.Fit(10, 31))
+
+
+@register
+def boosted_first_trees(star: Star) -> DataFrame:
+    """Leaves of the first two boosted trees of 15 and of 31 leaves, fitted on all development rows."""
+    development = history(star).development
+    done = boosting.boost(development, BOOSTED_FITS, MODEL_FEATURES, iterations=2)
+    rows = [
+        (fit.leaves, number, node, size, value / boosting.SCALE)
+        for fit, trees in zip(BOOSTED_FITS, done.leaves)
+        for number, tree in enumerate(trees, start=1) for node, (size, value) in tree.items()
+    ]
+    return star.spark.createDataFrame(rows, "max_leaf_nodes int, tree int, node bigint, rows bigint, value double")
+
+
 # --- files: typed scans, lenient parsing, named tables, exports ------------------------------
 
 
@@ -575,8 +676,8 @@ def registered_tables(star: Star) -> DataFrame:
 @register
 def exported_reports(star: Star) -> DataFrame:
     """All 21 reports written and verified; their names and row counts."""
-    tables = Tables(star.orders(), star.customers(), star.products(), star.regions(), results(star))
-    built = {name: build() for name, build in reports(tables, MODELS, PRIMARY).items()}
+    tables = Tables(star.orders(), star.customers(), star.products(), star.regions(), forecast_rows(star))
+    built = {name: build() for name, build in reports(prepared(tables), MODELS, PRIMARY).items()}
     written = export_reports(built, scratch_path(star.spark, "reports"))
     return star.spark.createDataFrame(list(written.items()), "report string, rows bigint")
 

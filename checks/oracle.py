@@ -384,6 +384,80 @@ SQL["panel_year_read_back"] = query(
     "SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, dem AS Actual_Demand, year(mon) AS Year FROM feat WHERE year(mon) = 2000",
 )
 
+_DEVELOPMENT = "SELECT * FROM usable WHERE mon < (SELECT min(mon) FROM test)"
+SQL["fold_guard"] = query(
+    "usable test", "folds:i,allowed:b",
+    f"""
+    WITH s AS (SELECT count(DISTINCT mon) AS n FROM ({_DEVELOPMENT}))
+    SELECT v AS folds, n > v AS allowed FROM (SELECT n, unnest([1, n // 2, n - 1, n, n + 1]) AS v FROM s)""",
+)
+_VECTOR = ["lag1", "lag2", "lag3", "lag6", "lag12", "roll3", "roll6", "month(mon)", "quarter(mon)", "tidx"]
+SQL["feature_vectors"] = query(
+    "test", "Month:t,Product_ID:s,Region_ID:i,label:d," + ",".join(f"x{i}:d" for i in range(len(_VECTOR))),
+    "SELECT mon AS Month, prod AS Product_ID, reg AS Region_ID, dem AS label, "
+    + ", ".join(f"{c} AS x{i}" for i, c in enumerate(_VECTOR)) + " FROM test",
+)
+
+
+def boosted_trees(trees: int, sizes: tuple[int, ...], rate: int = 10, least: int = 20, scale: int = 10_000) -> str:
+    """Best-first boosted trees, one split per step: of all leaves the split of largest gain.
+
+    A leaf's residual sums are cumulated over the bins of every feature; a step's only
+    row holds the split that it makes.
+    """
+    features = ", ".join(f"{{'f': {i}, 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(_VECTOR))
+
+    def rounded(top: str, bottom: str) -> str:
+        return f"(sign({top}) * ((2 * abs({top}) + {bottom}) // (2 * {bottom})))::BIGINT"
+
+    steps = [
+        f"dev AS ({_DEVELOPMENT})",
+        "numbered AS (SELECT *, row_number() OVER (ORDER BY mon, prod, reg) AS rid FROM dev)",
+        f"vals AS (SELECT rid, x.f, x.v FROM (SELECT rid, unnest([{features}]) AS x FROM numbered))",
+        """counted AS (SELECT f, v, n, sum(n) OVER (PARTITION BY f ORDER BY v) - n AS below,
+               sum(n) OVER (PARTITION BY f) AS whole, count(*) OVER (PARTITION BY f) AS many
+               FROM (SELECT f, v, count(*) AS n FROM vals GROUP BY f, v))""",
+        """cut AS (SELECT f, v, dense_rank() OVER (PARTITION BY f ORDER BY
+               CASE WHEN many > 255 THEN CAST((below * 255) // whole AS DOUBLE) ELSE v END) - 1 AS bin FROM counted)""",
+        "binned AS (SELECT rid, f, bin FROM vals JOIN cut USING (f, v))",
+    ]
+    out = []
+    for size in sizes:
+        score = f"s{size}_0"
+        steps.append(f"{score} AS (SELECT rid, {rounded(f'(SELECT sum(dem)::BIGINT * {scale} FROM numbered)', '(SELECT count(*) FROM numbered)')} AS score FROM numbered)")
+        for tree in range(1, trees + 1):
+            name = f"a{size}_{tree}_"
+            steps.append(f"{name}0 AS (SELECT rid, 1::BIGINT AS leaf, dem::BIGINT * {scale} - score AS res FROM numbered JOIN {score} USING (rid))")
+            for k in range(1, size):
+                split = f"b{size}_{tree}_{k}"
+                gain = "ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn"
+                steps.append(f"""{split} AS (SELECT leaf AS at, f, bin AS edge FROM (
+                    SELECT leaf, f, bin, {gain} AS gain FROM (
+                        SELECT leaf, f, bin, CAST(sum(s) OVER w AS DOUBLE) AS ls, CAST(sum(n) OVER w AS DOUBLE) AS ln,
+                               CAST(sum(s) OVER (PARTITION BY leaf, f) AS DOUBLE) AS ts,
+                               CAST(sum(n) OVER (PARTITION BY leaf, f) AS DOUBLE) AS tn
+                        FROM (SELECT leaf, f, bin, sum(res) AS s, count(*) AS n
+                              FROM {name}{k - 1} JOIN binned USING (rid) GROUP BY leaf, f, bin)
+                        WINDOW w AS (PARTITION BY leaf, f ORDER BY bin))
+                    WHERE ln >= {least} AND tn - ln >= {least})
+                    WHERE gain > 0 ORDER BY gain DESC, leaf, f, bin LIMIT 1)""")
+                steps.append(f"""{name}{k} AS (SELECT a.rid, a.res, CASE WHEN x.at IS NULL THEN a.leaf
+                    WHEN b.bin <= x.edge THEN 2 * a.leaf ELSE 2 * a.leaf + 1 END AS leaf
+                    FROM {name}{k - 1} a LEFT JOIN {split} x ON x.at = a.leaf
+                    LEFT JOIN binned b ON b.rid = a.rid AND b.f = x.f)""")
+            last = f"{name}{size - 1}"
+            steps.append(f"v{size}_{tree} AS (SELECT leaf, count(*) AS n, {rounded(f'({rate} * sum(res)::BIGINT)', '(100 * count(*))')} AS y FROM {last} GROUP BY leaf)")
+            steps.append(f"s{size}_{tree} AS (SELECT rid, score + y AS score FROM {last} JOIN v{size}_{tree} USING (leaf) JOIN {score} USING (rid))")
+            score = f"s{size}_{tree}"
+            out.append(f"SELECT {size} AS max_leaf_nodes, {tree} AS tree, leaf AS node, n AS rows, y / {scale}::DOUBLE AS value FROM v{size}_{tree}")
+    named = ", ".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in steps)
+    return f"WITH {named} {' UNION ALL '.join(out)}"
+
+
+SQL["boosted_first_trees"] = query(
+    "usable test", "max_leaf_nodes:i,tree:i,node:i,rows:i,value:d", boosted_trees(2, (15, 31))
+)
+
 # --- forecast accuracy -------------------------------------------------------------
 
 _DETAIL = """mon AS forecast_month, prod AS Product_ID, reg AS Region_ID, dem AS Actual_Demand,
@@ -754,6 +828,96 @@ SQL["decomposition_violations"] = query(
        WHERE abs((d - d0) - (n - n0) * (sz + sz0) / 2 - (sz - sz0) * (n + n0) / 2) > 0.001""",
 )
 
+# Faults planted by key, as in the registered query, and what every gate must count.
+CTES["porder"] = """
+    SELECT oid, rev, CASE WHEN oid % 97 = 5 THEN NULL ELSE odate END AS odate,
+           CASE WHEN oid % 97 = 5 THEN NULL ELSE mon END AS mon,
+           CASE WHEN oid % 97 = 3 THEN -1 ELSE cust END AS cust,
+           CASE WHEN oid % 97 = 1 THEN 'none' ELSE prod END AS prod,
+           CASE WHEN oid % 97 = 2 THEN 99 ELSE reg END AS reg,
+           CASE WHEN oid % 97 = 0 THEN 0 ELSE qty END AS qty,
+           CASE WHEN oid % 97 = 6 THEN NULL ELSE days END AS days,
+           CASE WHEN oid % 97 = 4 THEN 'Lost' ELSE status END AS status FROM line"""
+CTES["pcell"] = "SELECT mon, prod, reg, sum(qty) AS dem FROM porder WHERE mon IS NOT NULL GROUP BY mon, prod, reg"
+CTES["pfact"] = """
+    WITH chosen AS (
+        SELECT CASE WHEN prod = 'Brand#2' AND reg = 4 THEN mon + 1 ELSE mon END AS mon, prod, reg,
+               CASE WHEN prod = 'Brand#2' AND reg = 0 THEN -5 ELSE dem END AS dem,
+               CASE WHEN prod = 'Brand#2' AND reg = 1 THEN naive + 1 ELSE naive END AS naive,
+               CASE WHEN prod = 'Brand#2' AND reg = 2 THEN NULL ELSE seasonal END AS seasonal, fc,
+               fc - dem AS err, abs(fc - dem) AS aerr,
+               (fc - dem) * (fc - dem) + CASE WHEN prod = 'Brand#2' AND reg = 3 THEN 2 ELSE 0 END AS serr
+        FROM wide)
+    SELECT * FROM chosen
+    UNION ALL SELECT * REPLACE ('none' AS prod) FROM chosen WHERE prod = 'Brand#3' AND reg = 0
+    UNION ALL SELECT * REPLACE (99 AS reg) FROM chosen WHERE prod = 'Brand#3' AND reg = 1
+    UNION ALL SELECT * FROM chosen WHERE prod = 'Brand#3' AND reg = 2"""
+_USES |= {"porder": ["line"], "pcell": ["porder"], "pfact": ["wide"]}
+
+
+def _off(a: str, b: str) -> str:
+    return f"NOT coalesce(abs(CAST({a} AS DOUBLE) - CAST({b} AS DOUBLE)) <= 1e-7 * abs(CAST({b} AS DOUBLE)), false)"
+
+
+def _lookup(name: str, column: str, months: int) -> str:
+    return f"""SELECT '{name}', count(*) FILTER ({_off('r.' + column, 'coalesce(c.dem, 0)')}) FROM pfact r
+        LEFT JOIN pcell c ON CAST(c.mon + INTERVAL {months} MONTH AS DATE) = r.mon AND c.prod = r.prod AND c.reg = r.reg"""
+
+
+def _stray(name: str, column: str, table: str, key: str, dimension: str) -> str:
+    return f"SELECT '{name}', count(DISTINCT {column}) FROM {table} WHERE {column} NOT IN (SELECT {key} FROM {dimension})"
+
+
+_PLANTED = [
+    """SELECT 'order date' AS "check", count(*) FILTER (odate IS NULL) AS violations FROM porder""",
+    "SELECT 'order numbers', count(*) FILTER (qty IS NULL OR rev IS NULL OR days IS NULL) FROM porder",
+    "SELECT 'order quantity', count(*) FILTER (qty <= 0) FROM porder",
+    "SELECT 'order status', count(*) FILTER (status NOT IN ('Completed', 'Delayed')) FROM porder",
+    """SELECT 'delivery rule', count(*) FILTER (NOT coalesce((status = 'Completed' AND days <= 26)
+           OR (status = 'Delayed' AND days > 26), false)) FROM porder""",
+    "SELECT 'forecast month', count(*) FILTER (day(mon) <> 1) FROM pfact",
+    "SELECT 'forecast numbers', count(*) FILTER (dem IS NULL OR naive IS NULL OR seasonal IS NULL OR fc IS NULL) FROM pfact",
+    "SELECT 'forecast demand', count(*) FILTER (dem < 0) FROM pfact",
+    f"""SELECT 'stored errors', count(*) FILTER ({_off('err', '(fc - dem)')} OR {_off('aerr', 'abs(fc - dem)')}
+           OR {_off('serr', '((fc - dem) * (fc - dem))')}) FROM pfact""",
+    "SELECT 'orders not empty', CAST(count(*) = 0 AS INT) FROM porder",
+    "SELECT 'forecast not empty', CAST(count(*) = 0 AS INT) FROM pfact",
+    "SELECT 'order key', count(*) FROM (SELECT oid FROM porder GROUP BY oid HAVING count(*) > 1)",
+    "SELECT 'customer key', count(*) FROM buyer WHERE cust % 40 = 0",
+    "SELECT 'product key', count(*) FROM item WHERE prod = 'Brand#4'",
+    "SELECT 'region key', count(*) FROM area WHERE reg < 2",
+    "SELECT 'forecast key', count(*) FROM (SELECT mon, prod, reg FROM pfact GROUP BY mon, prod, reg HAVING count(*) > 1)",
+    _stray("order products", "prod", "porder", "prod", "item"),
+    _stray("order regions", "reg", "porder", "reg", "area"),
+    _stray("order customers", "cust", "porder", "cust", "buyer"),
+    _stray("forecast products", "prod", "pfact", "prod", "item"),
+    _stray("forecast regions", "reg", "pfact", "reg", "area"),
+    "SELECT 'customer regions', CAST(count(*) > 0 AS INT) FROM buyer WHERE cust % 50 = 0",
+    _lookup("forecast actuals", "dem", 0),
+    _lookup("naive baseline", "naive", 1),
+    _lookup("seasonal baseline", "seasonal", 12),
+]
+SQL["planted_input_gate"] = query("pfact pcell item area buyer", "check:s,violations:i", " UNION ALL ".join(_PLANTED))
+SQL["panel_reconciliation"] = query(
+    "panel cell",
+    "Month:t,Product_ID:s,Region_ID:i,panel_demand:i,panel_rows:i,orders_demand:i,orders_rows:i",
+    """
+    WITH own AS (SELECT *, prod || '/' || reg || '/' || month(mon) AS place FROM panel),
+    held AS (
+        SELECT mon, prod, reg, dem + CASE WHEN place = 'Brand#6/2/7' THEN 3 ELSE 0 END AS dem FROM own WHERE place <> 'Brand#2/1/5'
+        UNION ALL SELECT mon, prod, reg, dem FROM own WHERE place = 'Brand#9/0/2'),
+    ordered AS (
+        SELECT mon, prod, reg, dem FROM cell
+        UNION ALL SELECT CAST(mon + INTERVAL 600 MONTH AS DATE), prod, reg, dem FROM cell
+                  WHERE prod = 'Brand#1' AND reg = 4 AND month(mon) = 3),
+    p AS (SELECT mon, prod, reg, sum(dem) AS d, count(*) AS n FROM held GROUP BY mon, prod, reg),
+    o AS (SELECT mon, prod, reg, sum(dem) AS d, count(*) AS n FROM ordered GROUP BY mon, prod, reg)
+    SELECT coalesce(p.mon, o.mon) AS Month, coalesce(p.prod, o.prod) AS Product_ID, coalesce(p.reg, o.reg) AS Region_ID,
+           p.d AS panel_demand, coalesce(p.n, 0) AS panel_rows, o.d AS orders_demand, coalesce(o.n, 0) AS orders_rows
+    FROM p FULL JOIN o ON o.mon = p.mon AND o.prod = p.prod AND o.reg = p.reg
+    WHERE coalesce(p.n, 0) <> 1 OR coalesce(o.n, 0) > 1 OR coalesce(p.d, 0) <> coalesce(o.d, 0)""",
+)
+
 # --- measures ----------------------------------------------------------------------
 
 # Order lines with the customer's (not the order's) region.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions.numeric import col
 
@@ -19,3 +19,18 @@ def month_sequence(first: Column, last: Column) -> Column:
 
 def quarter_label(value: Column | str) -> Column:
     return F.concat(F.lit("Q"), F.quarter(col(value)).cast("string"))
+
+
+def in_dates(df: DataFrame, first, until=None) -> Column:
+    """Orders from the day `first` to before the day `until`; None leaves that side open.
+
+    The bounds are compared with the column as it is stored (`Order_Time`, if the frame
+    has it), because a scan can skip data by the stored column but not by a cast of it.
+    """
+    name = "Order_Time" if "Order_Time" in df.columns else "Order_Date"
+    kind, stored, held = df.schema[name].dataType, F.col(name), F.lit(True)
+    for bound, compare in ((first, stored.__ge__), (until, stored.__lt__)):
+        if bound is not None:
+            day = bound if isinstance(bound, Column) else F.lit(bound)
+            held = held & compare(day.cast("date").cast(kind))
+    return held

@@ -8,7 +8,7 @@ The inputs must be cheap to read repeatedly (see `materialize`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -35,18 +35,52 @@ def _with_offsets(ranged: DataFrame, size: Column) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "_range")
 
 
-def dense_rank(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """Dense rank by the columns, largest first, NULLs last."""
-    order = [F.col(c).desc_nulls_last() for c in columns]
-    # Rank each distinct value once, so that a heavily tied value is a single row.
-    ranged = _in_ranges(df.select(*columns).distinct(), order)
+def ranks_and_sums(
+    df: DataFrame, rank: str, rank_by: Sequence[str], ties: Sequence[Column], sums: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Dense rank by columns, largest first and NULLs last, and running sums in the same order.
+
+    `sums` maps result names to columns; each also gives `total_<name>`, the sum over all
+    rows. One range-partitioned copy serves everything. `ties` tells rows of one rank
+    apart, so a heavily repeated value is spread over several ranges: a range whose first
+    value is the last one of the range before goes on with its rank.
+    """
+    sums = sums or {}
+    order = [*[F.col(c).desc_nulls_last() for c in rank_by], *ties]
+    ranged = _in_ranges(df, order)
+    value = F.struct(*rank_by)  # NULL is the least value, so structs are ordered as the ranks are
+    along = Window.orderBy("_range")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    held = ranged.groupBy("_range").agg(
+        F.count_distinct(value).alias("_values"), F.max(value).alias("_first"), F.min(value).alias("_last"),
+        *[F.sum(c).alias(f"_size_{n}") for n, c in sums.items()],
+    )
+    goes_on = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(along)), F.lit(False)).cast("int")
+    counted = held.withColumn("_goes_on", goes_on)
+    before = F.coalesce(F.sum(F.col("_values") - F.col("_goes_on")).over(earlier), F.lit(0)) - F.col("_goes_on")
+    # one row per range, at most as many as there are shuffle partitions
+    offsets = counted.select(
+        "_range", before.alias("_before"),
+        *[F.coalesce(F.sum(f"_size_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
+        *[F.sum(f"_size_{n}").over(Window.partitionBy()).alias(f"total_{n}") for n in sums],
+    )
     inside = Window.partitionBy("_range").orderBy(*order)
-    ranked = _with_offsets(ranged, F.count(F.lit(1))).select(
-        *[F.col(c).alias(f"_{c}") for c in columns],
-        (F.col("_offset") + F.row_number().over(inside)).cast("bigint").alias(name),
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    previous = F.lag(value).over(inside)
+    changes = F.when(previous.isNull() | ~value.eqNullSafe(previous), 1).otherwise(0)
+    placed = ranged.withColumn("_new", changes).select(
+        "*", F.sum("_new").over(upto).alias("_nth"), *[F.sum(c).over(upto).alias(f"_upto_{n}") for n, c in sums.items()]
+    )
+    joined = placed.join(F.broadcast(offsets), "_range")
+    return joined.select(
+        *df.columns, (F.col("_before") + F.col("_nth")).cast("bigint").alias(rank),
+        *[(F.col(f"_before_{n}") + F.col(f"_upto_{n}")).alias(n) for n in sums], *[f"total_{n}" for n in sums],
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
-    return df.join(ranked, same, "left").drop(*[f"_{c}" for c in columns])
+
+
+def dense_rank(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """Dense rank by the columns, largest first, NULLs last."""
+    return ranks_and_sums(df, name, columns, [F.xxhash64(*df.columns)])
 
 
 def running_sum(df: DataFrame, name: str, value: str, order: Sequence[Column]) -> DataFrame:

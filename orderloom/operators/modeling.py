@@ -10,12 +10,13 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.constants import CELL_KEYS, CV_FOLDS, MODEL_COLUMNS
+from orderloom.constants import CELL_KEYS, CV_FOLDS, MODEL_COLUMNS, MODEL_FEATURES
 from orderloom.functions.numeric import ratio
+from orderloom.operators.boosting import BoostedTrees, Fit, boost
 from orderloom.operators.metrics import add_errors, long_predictions
 from orderloom.operators.scratch import materialize
 
@@ -24,7 +25,6 @@ TREES = 200
 # Quantile bins per feature. Split statistics travel as nodes x features x bins, so the
 # bin count sets the shuffle volume of a fit.
 MAX_BINS = 256
-BOOSTED_LEAF_ROWS = 20  # least rows per leaf of a boosted tree
 UNLIMITED_DEPTH = 30  # the deepest tree Spark ML grows
 
 Fold = tuple[DataFrame, DataFrame]
@@ -79,17 +79,20 @@ def rf_candidates(trees: int = TREES, depths=(UNLIMITED_DEPTH, 12), leaves=(1, 3
     return Candidate("random_forest", forest, grid)
 
 
-def gbt_candidates(rates=(0.05, 0.1), iterations=(100, 200), depths=(4, 5)) -> Candidate:
-    """Boosted trees; depths 4 and 5 stand for at most 16 and 32 leaves."""
-    boosted = GBTRegressor(maxBins=MAX_BINS, minInstancesPerNode=BOOSTED_LEAF_ROWS, seed=SEED)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(boosted.stepSize, list(rates))
-        .addGrid(boosted.maxIter, list(iterations))
-        .addGrid(boosted.maxDepth, list(depths))
-        .build()
-    )
-    return Candidate("gradient_boosting", boosted, grid)
+@dataclass(frozen=True)
+class BoostedCandidate:
+    """Boosted trees with their parameter grid; all of it is fitted in shared passes."""
+
+    name: str
+    grid: list[dict]
+
+
+def boosted_candidates(rates=(0.05, 0.1), iterations=(100, 200), leaves=(15, 31)) -> BoostedCandidate:
+    grid = [
+        {"learning_rate": rate, "max_iter": n, "max_leaf_nodes": most}
+        for rate in rates for n in iterations for most in leaves
+    ]
+    return BoostedCandidate("hist_gradient_boosting", grid)
 
 
 def _fold_bounds(months: Sequence, folds: int) -> list[tuple[int, int]]:
@@ -136,28 +139,34 @@ class Search:
     name: str
     cv_mae: float
     params: dict[str, object]
-    model: Model
+    model: Model | BoostedTrees
 
 
-def grid_search(
-    candidate: Candidate, development: DataFrame, folds: Sequence[Fold], parallelism: int = 4
-) -> Search:
-    """Smallest unweighted mean of the folds' MAE, refitted on all development rows.
+def fold_scores(candidate: Candidate, folds: Sequence[Fold], parallelism: int = 4) -> list[tuple[int, int, float]]:
+    """(grid index, fold number, MAE) of every grid point on every fold.
 
     Fits run as concurrent Spark jobs; each one is distributed by itself.
     """
     score = RegressionEvaluator(metricName="mae")
 
-    def fold_mae(task: tuple[int, Fold]) -> tuple[int, float]:
-        index, (train, valid) = task
+    def fold_mae(task: tuple[int, int]) -> tuple[int, int, float]:
+        index, number = task
+        train, valid = folds[number - 1]
         fitted = candidate.estimator.fit(train, candidate.grid[index])
-        return index, score.evaluate(fitted.transform(valid))
+        return index, number, score.evaluate(fitted.transform(valid))
 
-    tasks = [(i, fold) for i in range(len(candidate.grid)) for fold in folds]
+    tasks = [(i, n) for i in range(len(candidate.grid)) for n in range(1, len(folds) + 1)]
     with ThreadPool(parallelism) as pool:
-        scores = pool.map(fold_mae, tasks, chunksize=1)
+        return pool.map(fold_mae, tasks, chunksize=1)
+
+
+def grid_search(
+    candidate: Candidate, development: DataFrame, folds: Sequence[Fold], parallelism: int = 4
+) -> Search:
+    """Smallest unweighted mean of the folds' MAE, refitted on all development rows."""
+    scores = fold_scores(candidate, folds, parallelism)
     means = {
-        i: sum(mae for index, mae in scores if index == i) / len(folds)
+        i: sum(mae for index, _, mae in scores if index == i) / len(folds)
         for i in range(len(candidate.grid))
     }
     best = min(means, key=means.get)
@@ -170,6 +179,34 @@ def grid_search(
     )
 
 
+def boosted_scores(candidate: BoostedCandidate, development: DataFrame, folds: int = CV_FOLDS):
+    """(grid index, fold number, MAE) rows, and per grid point the model of all development rows.
+
+    Grid points that differ in iterations alone are stages of one fit, and all fits of
+    all folds share every pass over the rows.
+    """
+    months = [row["Month"] for row in development.select("Month").distinct().orderBy("Month").collect()]
+    bounds = [(months[start], months[stop - 1]) for start, stop in _fold_bounds(months, folds)]
+    shapes = list(dict.fromkeys((g["learning_rate"], g["max_leaf_nodes"]) for g in candidate.grid))
+    fits = [Fit(round(100 * rate), most, *bound) for rate, most in shapes for bound in (*bounds, (None, None))]
+    stages = sorted({g["max_iter"] for g in candidate.grid})
+    done = boost(development, fits, MODEL_FEATURES, stages[-1], stages)
+    scores, models = [], []
+    for i, g in enumerate(candidate.grid):
+        first = shapes.index((g["learning_rate"], g["max_leaf_nodes"])) * (folds + 1)
+        scores += [(i, n + 1, done.errors[first + n, g["max_iter"]]) for n in range(folds)]
+        models.append(done.models[first + folds].first(g["max_iter"]))
+    return scores, models
+
+
+def boosted_search(candidate: BoostedCandidate, development: DataFrame, folds: int = CV_FOLDS) -> Search:
+    """`grid_search` of boosted trees; the refit is one of the fits that share the passes."""
+    scores, models = boosted_scores(candidate, development, folds)
+    means = [sum(mae for index, _, mae in scores if index == i) / folds for i in range(len(candidate.grid))]
+    best = means.index(min(means))
+    return Search(candidate.name, means[best], candidate.grid[best], models[best])
+
+
 ROWS_PER_TASK = (1_000, 1_000_000)  # least and most rows worth one training task
 
 
@@ -196,13 +233,16 @@ def fit_selected(candidate: Candidate, development: DataFrame, index: int = 0) -
 
 
 def search_all(
-    candidates: Sequence[Candidate], development: DataFrame, folds: int = CV_FOLDS
+    candidates: Sequence[Candidate | BoostedCandidate], development: DataFrame, folds: int = CV_FOLDS
 ) -> dict[str, Search]:
     """Search every candidate on the same cached folds of assembled development rows."""
     cached = _training_rows(development)
     try:
         splits = month_folds(cached, folds)
-        return {c.name: grid_search(c, cached, splits) for c in candidates}
+        return {
+            c.name: boosted_search(c, cached, folds) if isinstance(c, BoostedCandidate) else grid_search(c, cached, splits)
+            for c in candidates
+        }
     finally:
         cached.unpersist()
 

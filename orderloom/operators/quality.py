@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.constants import (
     CELL_KEYS, COMPLETED, DELAYED, HISTORY_COLUMNS, MODEL_COLUMNS, ON_TIME_MAX_DAYS, TEST_MONTHS,
 )
+from orderloom.functions.dates import month_of
 from orderloom.functions.numeric import close_to, is_finite, pct, ratio
-from orderloom.operators.panel import monthly_observed
 from orderloom.operators.scratch import materialize
 
 
@@ -200,6 +200,29 @@ def check_baseline(results: DataFrame, observed: DataFrame, column: str, months:
     return check_condition(rows, close_to("stored", "observed"))
 
 
+def panel_reconciliation(panel: DataFrame, observed: DataFrame) -> DataFrame:
+    """Cells in which the panel and the orders differ, seen from either side.
+
+    A cell is wrong if the panel lacks it, holds it more than once or holds another demand
+    than the orders add up to; without orders the demand is 0. Both sides are counted
+    per cell in one grouping, so repeated rows show as well.
+    """
+    none = F.lit(None).cast("bigint")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        own, other = F.col("Actual_Demand").cast("bigint"), ("orders" if name == "panel" else "panel")
+        return df.select(
+            *CELL_KEYS, own.alias(f"{name}_demand"), F.lit(1).alias(f"{name}_rows"),
+            none.alias(f"{other}_demand"), F.lit(0).alias(f"{other}_rows"),
+        )
+
+    cells = side(panel, "panel").unionByName(side(observed, "orders")).groupBy(*CELL_KEYS).agg(
+        *[F.sum(f"{n}_{c}").cast("bigint").alias(f"{n}_{c}") for n in ("panel", "orders") for c in ("demand", "rows")]
+    )
+    same = F.coalesce("panel_demand", F.lit(0)) == F.coalesce("orders_demand", F.lit(0))
+    return check_condition(cells, (F.col("panel_rows") == 1) & (F.col("orders_rows") <= 1) & same)
+
+
 # --- panel and split -----------------------------------------------------------
 
 
@@ -344,6 +367,35 @@ def check_reconciliation(reconciliation: DataFrame) -> DataFrame:
 # --- the two gate sets ---------------------------------------------------------
 
 
+def order_cells(orders: DataFrame) -> DataFrame:
+    """Rows, units and rows that break each order rule, per month, product, region and customer.
+
+    One scan of the fact answers every question that is not about single orders. Counts
+    are part of the grouping and not side effects of it, so a task that runs twice counts
+    once.
+    """
+    keys = [month_of("Order_Date").alias("Month"), "Product_ID", "Region_ID", "Customer_ID"]
+    broken = [
+        F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"broken_{i}") for i, rule in enumerate(order_rules().values())
+    ]
+    return orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("Quantity").alias("Actual_Demand"), *broken)
+
+
+def observed_demand(cells: DataFrame) -> DataFrame:
+    """`monthly_observed` from order cells."""
+    return cells.dropna(subset=CELL_KEYS).groupBy(*CELL_KEYS).agg(F.sum("Actual_Demand").alias("Actual_Demand"))
+
+
+def broken_order_rules(cells: DataFrame) -> DataFrame:
+    """`count_broken_rules` of the order rules from order cells."""
+    names = list(order_rules())
+    counts = [
+        F.struct(F.lit(name).alias("check"), F.coalesce(F.sum(f"broken_{i}"), F.lit(0)).alias("violations"))
+        for i, name in enumerate(names)
+    ]
+    return cells.agg(F.array(*counts).alias("rules")).select(F.inline("rules"))
+
+
 def input_gate(
     orders: DataFrame,
     customers: DataFrame,
@@ -353,21 +405,22 @@ def input_gate(
 ) -> DataFrame:
     """Violations of everything that must hold before any report is computed.
 
-    Row-level rules share one scan per fact, the three demand comparisons share the stored
-    month cells, and keys and references read single columns.
+    The order fact is scanned twice: once for its cells, which answer the row-level rules,
+    the references and the demand comparisons, and once for its keys.
     """
-    observed = materialize(monthly_observed(orders), "monthly-observed")
+    cells = materialize(order_cells(orders), "order-cells")
+    observed = materialize(observed_demand(cells), "monthly-observed")
     keyed = {
-        "orders not empty": check_not_empty(orders),
+        "orders not empty": check_not_empty(cells),
         "forecast not empty": check_not_empty(results),
         "order key": check_key(orders, "Order_ID"),
         "customer key": check_key(customers, "Customer_ID"),
         "product key": check_key(products, "Product_ID"),
         "region key": check_key(regions, "Region_ID"),
         "forecast key": check_key(results, *CELL_KEYS),
-        "order products": check_reference(orders, products, "Product_ID"),
-        "order regions": check_reference(orders, regions, "Region_ID"),
-        "order customers": check_reference(orders, customers, "Customer_ID"),
+        "order products": check_reference(cells, products, "Product_ID"),
+        "order regions": check_reference(cells, regions, "Region_ID"),
+        "order customers": check_reference(cells, customers, "Customer_ID"),
         "forecast products": check_reference(results, products, "Product_ID"),
         "forecast regions": check_reference(results, regions, "Region_ID"),
         "customer regions": check_reference(customers, regions, "Region_ID"),
@@ -376,12 +429,32 @@ def input_gate(
         "seasonal baseline": check_baseline(results, observed, "Seasonal_Naive_Forecast", 12),
     }
     return (
-        count_broken_rules(orders, order_rules())
+        broken_order_rules(cells)
         .unionAll(count_broken_rules(results, forecast_rules()))
         .unionAll(count_violations(keyed))
     )
 
 
+def forecast_gate(results: DataFrame, observed: DataFrame, test: DataFrame) -> DataFrame:
+    """Violations of everything that must hold before a forecast fact is handed on.
+
+    Beside its own rules, key and demand lookups, every test cell has one forecast.
+    """
+    cells = test.select(*CELL_KEYS, F.lit(1).alias("wanted"), F.lit(0).alias("found")).unionAll(
+        results.select(*CELL_KEYS, F.lit(0).alias("wanted"), F.lit(1).alias("found"))
+    )
+    matched = cells.groupBy(*CELL_KEYS).agg(F.sum("wanted").alias("wanted"), F.sum("found").alias("found"))
+    keyed = {
+        "forecast not empty": check_not_empty(results),
+        "forecast cells": check_condition(matched, (F.col("wanted") == 1) & (F.col("found") == 1)),
+        "forecast key": check_key(results, *CELL_KEYS),
+        "forecast actuals": check_actuals(results, observed),
+        "naive baseline": check_baseline(results, observed, "Naive_Forecast", 1),
+        "seasonal baseline": check_baseline(results, observed, "Seasonal_Naive_Forecast", 12),
+    }
+    return count_broken_rules(results, forecast_rules()).unionAll(count_violations(keyed))
+
+
 def result_gate(
     results: DataFrame,
     detail: DataFrame,

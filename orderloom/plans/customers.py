@@ -13,7 +13,7 @@ from orderloom.constants import (
     MARKET_FLAT, MARKET_HIGH, MARKET_LABELS, MOMENTUM_HIGH, MOMENTUM_LABELS, MOMENTUM_LOW,
 )
 from orderloom.functions.numeric import MONEY, money_sum, pct, ratio, round2
-from orderloom.functions.ranking import dense_rank
+from orderloom.functions.ranking import ranks_and_sums
 from orderloom.operators.panel import every_pair
 from orderloom.operators.scratch import materialize
 
@@ -33,25 +33,22 @@ def _per_customer(orders: DataFrame, *extra) -> DataFrame:
 
 def customer_value_ranking(orders: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
     """Every buying customer by revenue, in the customer's own region."""
-    value = materialize(
+    value = (
         _per_customer(orders, F.max("Order_Date").alias("last_order_date"))
         .join(customers, "Customer_ID")
-        .join(regions, "Region_ID"),
-        "customer-value",
+        .join(regions, "Region_ID")
     )
-    total = value.agg(F.sum("total_revenue")).scalar()
-    return (
-        dense_rank(value, "customer_revenue_rank", ["total_revenue"])
-        .select(
-            "Customer_ID", "Customer_Name", "Customer_Type", "Region",
-            "total_revenue", "total_units_sold", "total_orders",
-            round2(ratio("total_revenue", "total_orders")).alias("average_order_value"),
-            "last_order_date",
-            round2(pct("total_revenue", total)).alias("revenue_contribution_pct"),
-            "customer_revenue_rank",
-        )
-        .orderBy("customer_revenue_rank", "Customer_ID")
+    ranked = ranks_and_sums(
+        value, "customer_revenue_rank", ["total_revenue"], [F.asc("Customer_ID")], {"running": "total_revenue"}
     )
+    return ranked.select(
+        "Customer_ID", "Customer_Name", "Customer_Type", "Region",
+        "total_revenue", "total_units_sold", "total_orders",
+        round2(ratio("total_revenue", "total_orders")).alias("average_order_value"),
+        "last_order_date",
+        round2(pct("total_revenue", "total_running")).alias("revenue_contribution_pct"),
+        "customer_revenue_rank",
+    ).orderBy("customer_revenue_rank", "Customer_ID")
 
 
 def customer_type_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -159,7 +156,7 @@ def regional_market_opportunity(orders: DataFrame, customers: DataFrame, regions
         )
     )
     types = customers.select("Customer_Type").where("Customer_Type IS NOT NULL").distinct()
-    grid = every_pair(regions.select("Region_ID", "Region"), types, "Region_ID")
+    grid = every_pair(regions.select("Region_ID", "Region"), types)
     markets = (
         grid.join(observed, ["Region_ID", "Customer_Type"], "left")
         .withColumn("active_customers", F.coalesce("active", F.lit(0).cast("bigint")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.constants import CELL_KEYS, COMPLETED, DELAYED, SERIES_KEYS
-from orderloom.functions.dates import month_of
+from orderloom.functions.dates import in_dates, month_of
 from orderloom.functions.numeric import cents, money, pct, ratio
 from orderloom.operators.quality import check_key, enforce
 
@@ -106,8 +106,9 @@ def customer_change(orders: DataFrame, first_month, second_month) -> DataFrame:
         name: F.sum(F.when(month == date, F.col("Quantity")).otherwise(0)).alias(name)
         for name, date in dates.items()
     }
+    ranges = [in_dates(orders, F.trunc(d, "MM"), F.add_months(F.trunc(d, "MM"), 1)) for d in dates.values()]
     return (
-        orders.where(month.isin(*dates.values()))
+        orders.where((ranges[0] | ranges[1]) & month.isin(*dates.values()))
         .groupBy("Customer_ID")
         .agg(*units.values())
         .withColumn("Quantity_Change", F.col("Second_Quantity") - F.col("First_Quantity"))
@@ -138,8 +139,10 @@ def size_quantiles(orders: DataFrame, cutoff) -> DataFrame:
     Exact with linear interpolation. Sizes are counted first, so a very large product
     reaches the final step as one row per distinct size and not as all of its orders.
     """
+    date = F.lit(cutoff).cast("date")
+    end = F.add_months(F.trunc(F.date_sub(date, 1), "MM"), 1)  # of the last month that starts before the date
     sizes = (
-        orders.where(F.col("Month") < F.lit(cutoff).cast("date"))
+        orders.where(in_dates(orders, None, end))
         .groupBy("Product_ID", "Quantity")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

@@ -11,9 +11,8 @@ from orderloom.constants import (
     TEST_MONTHS,
 )
 from orderloom.functions.numeric import pct
-from orderloom.functions.ranking import dense_rank
+from orderloom.functions.ranking import ranks_and_sums
 from orderloom.operators.metrics import error_summary
-from orderloom.operators.scratch import materialize
 
 
 def forecast_detail(detail: DataFrame) -> DataFrame:
@@ -108,7 +107,6 @@ def planning_exceptions(detail: DataFrame, primary_model: str = RANDOM_FOREST) -
             "forecast_direction": direction,
         }
     )
-    stored = materialize(rows, "planning-rows")
-    return dense_rank(stored, "exception_priority", ["absolute_error"]).orderBy(
-        "exception_priority", "forecast_month", "Product_ID", "Region_ID"
-    )
+    place = ["forecast_month", "Product_ID", "Region_ID"]
+    ranked = ranks_and_sums(rows, "exception_priority", ["absolute_error"], [F.asc(c) for c in place])
+    return ranked.orderBy("exception_priority", *place)

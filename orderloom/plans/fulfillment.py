@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.constants import COMPLETED, DELAYED, RANDOM_FOREST
-from orderloom.functions.dates import month_of
-from orderloom.functions.numeric import cents, money, pct, ratio, round2
-from orderloom.functions.ranking import dense_rank
-from orderloom.operators.scratch import materialize
+from orderloom.functions.dates import in_dates, month_of
+from orderloom.functions.numeric import cents, money, money_sum, pct, ratio, round2
+from orderloom.functions.ranking import ranks_and_sums
 
 _BASE = ("Order_ID", "Quantity", "Revenue", "Delivery_Days", "Order_Status")
 ANNUAL_COLUMNS = _BASE + ("Order_Date",)
@@ -22,11 +21,31 @@ PRODUCT_COLUMNS = _BASE + ("Product_ID",)
 RECONCILIATION_COLUMNS = ("Order_Date", "Product_ID", "Region_ID", "Quantity", "Order_Status")
 
 
+def fold_lines(orders: DataFrame) -> DataFrame:
+    """One row per order, date, customer, product, region and status, for all reports to share.
+
+    Sums take the place of the lines' figures, `Lines` and `Deliveries` that of their counts.
+    """
+    keys = ["Order_ID", "Order_Date", "Customer_ID", "Product_ID", "Region_ID", "Order_Status"]
+    return orders.groupBy(*keys).agg(
+        F.sum("Quantity").alias("Quantity"), money_sum("Revenue").alias("Revenue"),
+        F.sum("Delivery_Days").alias("Delivery_Days"), F.count("Delivery_Days").alias("Deliveries"),
+        F.count(F.lit(1)).alias("Lines"),
+    )
+
+
+def row_count(orders: DataFrame) -> Column:
+    """Number of order lines, whether a row is one or stands for several."""
+    return F.sum("Lines") if "Lines" in orders.columns else F.count(F.lit(1))
+
+
 def _service_levels(orders: DataFrame, group: Column, name: str) -> DataFrame:
     """Orders, units, revenue and days of each group, in total and by status."""
     status = F.col("Order_Status")
     done, late = status == COMPLETED, status == DELAYED
     revenue = cents("Revenue")
+    folded = "Deliveries" in orders.columns  # rows that stand for several lines
+    deliveries = F.sum("Deliveries") if folded else F.count("Delivery_Days")
     per_order = orders.groupBy(group.alias(name), "Order_ID").agg(
         F.max(done).alias("has_done"),
         F.max(late).alias("has_late"),
@@ -36,7 +55,7 @@ def _service_levels(orders: DataFrame, group: Column, name: str) -> DataFrame:
         F.sum(revenue).alias("revenue"),
         F.sum(F.when(late, revenue)).alias("late_revenue"),
         F.sum("Delivery_Days").alias("days"),
-        F.count("Delivery_Days").alias("deliveries"),
+        deliveries.alias("deliveries"),
     )
     return per_order.groupBy(name).agg(
         F.count("Order_ID").alias("total_orders"),
@@ -78,16 +97,14 @@ def regional_fulfillment_performance(orders: DataFrame, regions: DataFrame) -> D
 
 def product_fulfillment_bottlenecks(orders: DataFrame, products: DataFrame) -> DataFrame:
     levels = _service_levels(orders, F.col("Product_ID"), "Product_ID").join(products, "Product_ID")
-    rated = materialize(
-        levels.select(
-            "Product_ID", "Product_Category", "Product_Line", "total_orders", "delayed_orders",
-            "ordered_units", "delayed_units", "average_delivery_days", "delayed_revenue",
-            round2(pct("delayed_orders", "total_orders")).alias("delayed_order_rate_pct"),
-            round2(pct("delayed_units", "ordered_units")).alias("delayed_unit_rate_pct"),
-        ),
-        "product-service",
+    rated = levels.select(
+        "Product_ID", "Product_Category", "Product_Line", "total_orders", "delayed_orders",
+        "ordered_units", "delayed_units", "average_delivery_days", "delayed_revenue",
+        round2(pct("delayed_orders", "total_orders")).alias("delayed_order_rate_pct"),
+        round2(pct("delayed_units", "ordered_units")).alias("delayed_unit_rate_pct"),
     )
-    ranked = dense_rank(rated, "bottleneck_rank", ["delayed_order_rate_pct", "delayed_revenue"])
+    keys = ["delayed_order_rate_pct", "delayed_revenue"]
+    ranked = ranks_and_sums(rated, "bottleneck_rank", keys, [F.asc("Product_ID")])
     return ranked.orderBy("bottleneck_rank", "Product_ID")
 
 
@@ -96,17 +113,17 @@ def monthly_demand_fulfillment_reconciliation(
 ) -> DataFrame:
     """Forecast actuals against delivered units by month.
 
-    Only the evaluated months of the order fact are scanned, and it is reduced to
-    month, product and region before it meets the forecast.
+    The evaluated months are read first, so that their dates reach the scan of the order
+    fact, which is reduced to month, product and region before it meets the forecast.
     """
     primary = detail.where(F.col("Model") == primary_model)
-    first, last = (primary.agg(f("forecast_month")).scalar() for f in (F.min, F.max))
-    date, status, units = F.col("Order_Date"), F.col("Order_Status"), F.col("Quantity")
+    first, last = primary.agg(F.min("forecast_month"), F.max("forecast_month")).first()
+    status, units = F.col("Order_Status"), F.col("Quantity")
     delivered = (
-        orders.where((date >= first) & (date < F.add_months(last, 1)))
+        orders.where(in_dates(orders, first, F.add_months(F.lit(last).cast("date"), 1)))
         .groupBy(month_of("Order_Date").alias("forecast_month"), "Product_ID", "Region_ID")
         .agg(
-            F.count(F.lit(1)).alias("lines"),
+            row_count(orders).alias("lines"),
             F.sum(units).alias("units"),
             F.sum(F.when(status == COMPLETED, units).otherwise(0)).alias("done_units"),
             F.sum(F.when(status == DELAYED, units).otherwise(0)).alias("late_units"),

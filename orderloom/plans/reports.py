@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -27,6 +27,16 @@ class Tables:
     results: DataFrame
 
 
+def prepared(tables: Tables) -> Tables:
+    """The tables with the order fact reduced once, and stored, for all reports to read.
+
+    The joins behind the fact are then made once and not for each of the twelve reports
+    that read it, and lines of an order that agree in everything reported are one row.
+    """
+    orders = materialize(fulfillment.fold_lines(tables.orders), "order-lines")
+    return replace(tables, orders=orders, results=materialize(tables.results, "forecast-fact"))
+
+
 def reports(
     tables: Tables,
     models: Mapping[str, str] = MODEL_COLUMNS,
@@ -99,8 +109,9 @@ def run_reports(
             tables.orders, tables.customers, tables.products, tables.regions, tables.results
         )
     )
+    tables = prepared(tables)
     built = {name: build() for name, build in reports(tables, models, primary_model).items()}
-    # The one gated report that reads the order fact: computed once for gate and export.
+    # The one gated report that reads the orders: computed once for gate and export.
     name = "monthly_demand_fulfillment_reconciliation"
     built[name] = materialize(built[name], name).orderBy("forecast_month")
     detail = forecast_evaluation_detail(tables.results, tables.products, tables.regions, models)
@@ -126,7 +137,7 @@ REQUIRED_ORDER_COLUMNS = ("Order_ID", "Order_Date", "Product_ID", "Region_ID", "
 
 
 def run_forecast(
-    orders: DataFrame, candidates: list[modeling.Candidate] | None = None
+    orders: DataFrame, candidates: list[modeling.Candidate | modeling.BoostedCandidate] | None = None
 ) -> ForecastRun:
     """Orders to the forecast fact: gates, panel, features, chronological search, test forecast.
 
@@ -140,13 +151,15 @@ def run_forecast(
         {
             "panel": quality.check_panel(steps.panel),
             "split": quality.check_split(steps.development, steps.test),
+            "panel demand": quality.panel_reconciliation(steps.panel, steps.observed),
         }
     )
     chosen = candidates or [
-        modeling.mean_baseline(), modeling.rf_candidates(), modeling.gbt_candidates()
+        modeling.mean_baseline(), modeling.rf_candidates(), modeling.boosted_candidates()
     ]
     searches = modeling.search_all(chosen, assemble(steps.development))
     test = assemble(steps.test)
     predicted = modeling.predict_rf(searches["random_forest"].model, test)
     results = materialize(modeling.forecast_results(predicted), "forecast-fact")
+    quality.enforce(quality.forecast_gate(results, steps.observed, steps.test))
     return ForecastRun(steps, searches, results, modeling.selected_test_metrics(searches, test))

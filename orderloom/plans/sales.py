@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.functions.numeric import cents, money, money_sum, pct, ratio, round2
-from orderloom.functions.ranking import dense_rank, running_sum
-from orderloom.operators.scratch import materialize
+from orderloom.functions.ranking import ranks_and_sums
 
 ANNUAL_COLUMNS = ("Order_ID", "Order_Date", "Quantity", "Revenue")
 REGIONAL_COLUMNS = ("Order_ID", "Customer_ID", "Region_ID", "Quantity", "Revenue")
@@ -73,20 +72,16 @@ def regional_sales_contribution(orders: DataFrame, regions: DataFrame) -> DataFr
 
 def product_revenue_contribution(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Sales by product with share, running revenue from the largest down, and rank."""
-    sales = materialize(
-        orders.groupBy("Product_ID")
-        .agg(
-            money_sum("Revenue").alias("total_revenue"),
-            F.sum("Quantity").alias("total_units_sold"),
-            F.count_distinct("Order_ID").alias("total_orders"),
-        )
-        .join(products, "Product_ID"),
-        "product-sales",
+    sales = orders.groupBy("Product_ID").agg(
+        money_sum("Revenue").alias("total_revenue"),
+        F.sum("Quantity").alias("total_units_sold"),
+        F.count_distinct("Order_ID").alias("total_orders"),
+    )
+    ranked = ranks_and_sums(
+        sales.join(products, "Product_ID"), "revenue_rank", ["total_revenue"], [F.asc("Product_ID")],
+        {"cumulative_revenue": "total_revenue"},
     )
-    total = sales.agg(F.sum("total_revenue")).scalar()
-    order = [F.desc("total_revenue"), F.asc("Product_ID")]
-    running = running_sum(sales, "cumulative_revenue", "total_revenue", order)
-    ranked = dense_rank(running, "revenue_rank", ["total_revenue"])
+    total = F.col("total_cumulative_revenue")
     return ranked.select(
         "Product_ID", "Product_Category", "Product_Line",
         "total_revenue", "total_units_sold", "total_orders",

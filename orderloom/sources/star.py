@@ -50,7 +50,7 @@ class Star:
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def orders(self, *columns: str) -> DataFrame:
-        """The order fact with only the columns named (all by default)."""
+        """The order fact with only the columns named (by default all of ORDER_COLUMNS)."""
         wanted = columns or ORDER_COLUMNS
         line = self.table("lineitem")
         if "Product_ID" in wanted:
@@ -64,7 +64,7 @@ class Star:
             line = line.join(seller, F.col("l_suppkey") == F.col("s_suppkey"), "left")
             line = line.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         fact = line
-        if {"Order_Date", "Customer_ID", "Delivery_Days", "Order_Status"} & set(wanted):
+        if {"Order_Date", "Order_Time", "Customer_ID", "Delivery_Days", "Order_Status"} & set(wanted):
             fact = line.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
         ship, ordered = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
@@ -72,6 +72,7 @@ class Star:
         expressions = {  # column expressions only: nothing is resolved until it is selected
             "Order_ID": F.col("l_orderkey"),
             "Order_Date": ordered,
+            "Order_Time": F.col("o_orderdate"),  # as stored, for conditions that a scan can use
             "Customer_ID": F.col("o_custkey"),
             "Product_ID": F.col("Product_ID"),
             "Region_ID": F.col("Region_ID"),

@@ -35,7 +35,7 @@ def test_too_few_months(spark):
 
 
 def test_default_grids_match_the_documented_search():
-    forest, boosted = modeling.rf_candidates(), modeling.gbt_candidates()
+    forest, boosted = modeling.rf_candidates(), modeling.boosted_candidates()
     assert len(forest.grid) == 4 and len(boosted.grid) == 8
     assert forest.estimator.getNumTrees() == 200 and forest.estimator.getSeed() == 42
     assert forest.estimator.getFeatureSubsetStrategy() == "all"
@@ -58,7 +58,7 @@ def test_forecast_run_end_to_end(seasonal_orders):
     candidates = [
         modeling.mean_baseline(),
         modeling.rf_candidates(trees=8, depths=(3, 6), leaves=(1,)),
-        modeling.gbt_candidates(rates=(0.1,), iterations=(4,), depths=(3,)),
+        modeling.boosted_candidates(rates=(0.1,), iterations=(2, 4), leaves=(6,)),
     ]
     run = run_forecast(seasonal_orders, candidates)
     scores = {name: s.cv_mae for name, s in run.searches.items()}
