@@ -19,6 +19,7 @@ import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -184,15 +185,21 @@ def best_splits(held: DataFrame, least_rows: int) -> DataFrame:
     )
 
 
-def _small(like: DataFrame, rows: Iterable[tuple], kinds: str) -> DataFrame:
-    """A frame of at most fits times leaves rows for a broadcast join."""
-    return F.broadcast(like.sparkSession.createDataFrame([*rows], kinds))
+def _small(like: DataFrame, rows: Iterable[tuple], names: str) -> DataFrame:
+    """A frame of at most fits times leaves rows for a broadcast join; it needs no job of its own."""
+    kinds = {"fit": pa.int32(), "by": pa.int32(), "upto": pa.int32(), "until": pa.date32(), "last": pa.date32()}
+    columns = names.split()
+    values = [*zip(*rows)] or [()] * len(columns)
+    table = pa.table({n: pa.array(v, kinds.get(n, pa.int64())) for n, v in zip(columns, values)})
+    return F.broadcast(like.sparkSession.createDataFrame(table))
 
 
-def _moved(held: DataFrame, trees: Sequence[_Tree], splits: Mapping[int, Sequence[int]]) -> DataFrame:
+def _moved(held: DataFrame, trees: Sequence[_Tree], splits: Mapping[int, Iterable[int]]) -> DataFrame:
     """Rows of split leaves go to the children."""
     table = [(fit, node, *trees[fit].splits[node][1:3]) for fit, nodes in splits.items() for node in nodes]
-    joined = held.join(_small(held, table, "fit int, leaf long, by int, upto int"), ["fit", "leaf"], "left")
+    if not table:
+        return held
+    joined = held.join(_small(held, table, "fit leaf by upto"), ["fit", "leaf"], "left")
     side = F.col("leaf") * 2 + F.when(F.get("bins", F.col("by")) <= F.col("upto"), 0).otherwise(1)
     return joined.withColumn("leaf", F.when(F.col("by").isNull(), F.col("leaf")).otherwise(side)).drop("by", "upto")
 
@@ -203,7 +210,7 @@ def _grow(state: DataFrame, fits: Sequence[Fit], least_rows: int) -> tuple[list[
     held = state.withColumn("leaf", F.lit(ROOT).cast("long"))
     asked = {i: [ROOT] for i in range(len(fits))}
     while asked:
-        wanted = _small(held, [(i, v) for i, nodes in asked.items() for v in nodes], "fit int, leaf long")
+        wanted = _small(held, [(i, v) for i, nodes in asked.items() for v in nodes], "fit leaf")
         rows = held.filter("trains").join(wanted, ["fit", "leaf"], "left_semi")
         for r in best_splits(rows.select("fit", "leaf", "residual", "bins"), least_rows).collect():
             tree, best = trees[r["fit"]], r["best"]
@@ -211,13 +218,13 @@ def _grow(state: DataFrame, fits: Sequence[Fit], least_rows: int) -> tuple[list[
             if best:
                 tree.splits[r["leaf"]] = (best["gain"], -best["feature"], -best["bin"], best["left_total"], best["left_rows"])
         splits = {i: trees[i].next_splits() for i in asked if not trees[i].choose()}
-        held = _moved(held, trees, splits) if splits else held
+        held = _moved(held, trees, splits)
         for i, nodes in splits.items():
             trees[i].grow(nodes)
         asked = {i: [c for v in nodes for c in (2 * v, 2 * v + 1)] for i, nodes in splits.items()}
     # A tree's last split needs no histograms of its children.
     rest = {i: tree.chosen - tree.grown for i, tree in enumerate(trees)}
-    held = _moved(held, trees, rest) if any(rest.values()) else held
+    held = _moved(held, trees, rest)
     for i, nodes in rest.items():
         trees[i].grow(nodes)
     return trees, held
@@ -284,7 +291,7 @@ def boost(
     rows = materialize(rows.select("Month", *dict.fromkeys([label, *features])), "boosting-rows")
     borders = bin_borders(rows, features)
     data = binned(rows, features, borders).select("Month", F.col(label).cast("bigint").alias("label"), "bins")
-    wanted = _small(data, [(i, f.until, f.last) for i, f in enumerate(fits)], "fit int, until date, last date")
+    wanted = _small(data, [(i, f.until, f.last) for i, f in enumerate(fits)], "fit until last")
     month, until = F.col("Month"), F.col("until")
     copied = data.withColumn("fit", F.explode(F.sequence(F.lit(0), F.lit(len(fits) - 1)))).join(wanted, "fit")
     inside = until.isNull() | (month < until) | (month <= F.col("last"))
@@ -296,7 +303,7 @@ def boost(
     }
     if len(bases) < len(fits):
         raise ValueError("Every fit needs rows to train on.")
-    base = _small(state, bases.items(), "fit int, score long")
+    base = _small(state, bases.items(), "fit score")
     state = state.join(base, "fit")
     grown: list[list[dict]] = [[] for _ in fits]
     leaves: list[list[dict]] = [[] for _ in fits]
@@ -312,7 +319,7 @@ def boost(
             grown[i].append({v: (f, borders[f][b], 0) for v, (f, b) in cuts.items()} | {v: (-1, 0.0, y) for v, y in values.items()})
             leaves[i].append({v: (tree.totals[v][1], y) for v, y in values.items()})
             table += [(i, v, values[tree.leaf_of(v)]) for v in tree.totals if v not in tree.grown]
-        gains = _small(state, table, "fit int, leaf long, gain long")
+        gains = _small(state, table, "fit leaf gain")
         moved = held.join(gains, ["fit", "leaf"]).withColumn("score", F.col("score") + F.col("gain"))
         state = materialize(moved.select("fit", "label", "bins", "trains", "score"), "boosting-state")
         if number in stages:

@@ -3,9 +3,9 @@ from datetime import date
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
-
+from pyspark.sql import functions as F
 from orderloom.constants import MODEL_FEATURES
-from orderloom.operators import modeling, quality
+from orderloom.operators import boosting, modeling, quality
 from orderloom.operators.features import assemble
 from orderloom.plans.reports import run_forecast
 from tests.conftest import by_key, rows_of
@@ -41,6 +41,93 @@ def test_default_grids_match_the_documented_search():
     assert forest.estimator.getFeatureSubsetStrategy() == "all"
 
 
+def plain_boosting(x, y, trees, leaves, rate, least):
+    """Best-first trees, one split after the other, on raw values in whole numbers."""
+    def rounded(top, bottom):
+        size = (2 * abs(top) + bottom) // (2 * bottom)
+        return size if top >= 0 else -size
+
+    score, out = [rounded(sum(y) * boosting.SCALE, len(y))] * len(y), []
+    for _ in range(trees):
+        residual = [v * boosting.SCALE - s for v, s in zip(y, score)]
+        parts = {1: list(range(len(y)))}
+
+        def best(rows):
+            found = None
+            total = sum(residual[i] for i in rows)
+            for f in range(len(x[0])):
+                for v in sorted({x[i][f] for i in rows})[:-1]:
+                    left = [i for i in rows if x[i][f] <= v]
+                    if min(len(left), len(rows) - len(left)) >= least:
+                        part = sum(residual[i] for i in left)
+                        gain = float(part) * part / len(left) + float(total - part) * (total - part) / (len(rows) - len(left))
+                        gain -= float(total) * total / len(rows)
+                        if gain > 0 and (found is None or gain > found[0]):
+                            found = (gain, f, v)
+            return found
+
+        options = {1: best(parts[1])}
+        while len(parts) < leaves and any(options.values()):
+            node = max((v for v in options if options[v]), key=lambda v: (options[v][0], -v))
+            _, f, v = options.pop(node)
+            rows = parts.pop(node)
+            for child, own in ((2 * node, [i for i in rows if x[i][f] <= v]), (2 * node + 1, [i for i in rows if x[i][f] > v])):
+                parts[child], options[child] = own, best(own)
+        values = {n: rounded(rate * sum(residual[i] for i in rows), 100 * len(rows)) for n, rows in parts.items()}
+        out.append({n: (len(rows), values[n]) for n, rows in parts.items()})
+        for n, rows in parts.items():
+            for i in rows:
+                score[i] += values[n]
+    return out, score
+
+
+def test_boosted_trees_equal_one_split_after_the_other(spark):
+    rng = random.Random(1)
+    x = [(rng.randint(0, 12), rng.choice((0.5, 1.5, 9.0)), 7, rng.randint(0, 40) / 4) for _ in range(160)]
+    y = [int(9 * a + 30 * (b > 1) * (a > 4) + 5 * d + rng.randint(0, 9)) for a, b, _, d in x]
+    rows = [(date(2020 + i % 4, 1, 1), *v, t) for i, (v, t) in enumerate(zip(x, y))]
+    frame = spark.createDataFrame(rows, "Month date, a int, b double, c int, d double, Actual_Demand bigint").repartition(5)
+    whole, early = boosting.Fit(30, 7), boosting.Fit(50, 4, date(2022, 1, 1), date(2022, 1, 1))
+    done = boosting.boost(frame, [whole, early], ["a", "b", "c", "d"], 3, [1, 3], least_rows=5)
+    leaves, score = plain_boosting(x, y, 3, 7, 30, 5)
+    assert done.leaves[0] == leaves
+    predicted = {r["k"]: r["prediction"] for r in done.models[0].transform(
+        spark.createDataFrame([(i, *v) for i, v in enumerate(x)], "k int, a int, b double, c int, d double")).collect()}
+    assert predicted == {i: s / boosting.SCALE for i, s in enumerate(score)}
+    train = [i for i, r in enumerate(rows) if r[0] < date(2022, 1, 1)]
+    assert done.leaves[1] == plain_boosting([x[i] for i in train], [y[i] for i in train], 3, 4, 50, 5)[0]
+    valid = frame.where("Month = date'2022-01-01'")
+    for stage in (1, 3):
+        off = F.avg(F.abs(F.col("prediction") - F.col("Actual_Demand")))
+        assert done.errors[1, stage] == pytest.approx(done.models[1].first(stage).transform(valid).agg(off).first()[0])
+    with pytest.raises(ValueError):
+        boosting.boost(frame, [boosting.Fit(10, 3, date(2019, 1, 1), date(2020, 1, 1))], ["a"], 1)
+
+
+def test_many_values_share_bins_of_equal_rows(spark):
+    frame = spark.range(1000).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
+    borders = boosting.bin_borders(frame, ["v", "w"], 10)
+    assert borders == [[100.0 * i for i in range(1, 10)], []]
+    bins = boosting.binned(frame, ["v", "w"], borders).select(F.get("bins", F.lit(0)).alias("b"), "v").collect()
+    assert all(r["b"] == int(r["v"] // 100) for r in bins)
+
+
+def test_boosted_search_scores_stages_of_shared_fits(spark):
+    rng = random.Random(4)
+    rows = [
+        (date(2019 + i // 12, i % 12 + 1, 1), *[rng.randint(0, 50) for _ in MODEL_FEATURES], rng.randint(1, 90))
+        for i in range(16) for _ in range(8)
+    ]
+    kinds = ", ".join(f"{c} int" for c in MODEL_FEATURES)
+    frame = spark.createDataFrame(rows, f"Month date, {kinds}, Actual_Demand bigint")
+    candidate = modeling.boosted_candidates(rates=(0.1, 0.5), iterations=(1, 2), leaves=(3,))
+    scores, models = modeling.boosted_scores(candidate, frame)
+    assert len(scores) == 12 and [len(m.trees) for m in models] == [1, 2, 1, 2]
+    found = modeling.boosted_search(candidate, frame)
+    means = [sum(mae for i, _, mae in scores if i == k) / 3 for k in range(4)]
+    assert found.cv_mae == min(means) and found.params == candidate.grid[means.index(min(means))]
+
+
 @pytest.fixture(scope="module")
 def seasonal_orders(make_orders):
     rng = random.Random(5)

@@ -4,7 +4,13 @@ import re
 
 import pytest
 
+from pyspark.sql import DataFrameWriter, functions as F
+
+from checks import catalog
 from checks.catalog import QUERIES
+from orderloom.operators import panel, quality
+from orderloom.plans.reports import Tables, prepared, reports
+from orderloom.sources.star import Star
 
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
@@ -57,6 +63,54 @@ def test_scans_read_only_needed_columns(large, tiny_dir):
     assert columns <= {"l_orderkey", "l_quantity", "l_extendedprice", "o_orderkey", "o_orderdate"}
 
 
+@pytest.mark.parametrize("name", ["customer_change", "size_quantiles", "monthly_demand_fulfillment_reconciliation"])
+def test_date_ranges_reach_the_scan(spark, tiny_dir, name):
+    plan = executed_plan(QUERIES[name](spark, tiny_dir))
+    scans = re.findall(r"PushedFilters: \[([^\n]*)", plan)
+    assert any("LessThan(o_orderdate" in s for s in scans), plan
+    if name != "size_quantiles":
+        assert any("GreaterThanOrEqual(o_orderdate" in s for s in scans), plan
+
+
+def test_all_exports_scan_the_fact_three_times(spark, tiny_dir, monkeypatch):
+    """The gate's cells, its order keys, and the reduced lines that every report reads."""
+    star, plans = Star(spark, tiny_dir), []
+    tables = Tables(star.orders(), star.customers(), star.products(), star.regions(), catalog.results(star))
+    write = DataFrameWriter.parquet
+
+    def plan(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+
+    def recorded(writer, *args, **kwargs):
+        plan(writer._df)
+        return write(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+
+    def scans():
+        return sum(len(re.findall(r"Relation \[l_orderkey", p)) for p in plans)
+
+    plan(quality.input_gate(tables.orders, tables.customers, tables.products, tables.regions, tables.results))
+    assert scans() == 2
+    plans.clear()
+    for build in reports(prepared(tables), catalog.MODELS, catalog.PRIMARY).values():
+        plan(build())
+    assert len(plans) >= 23 and scans() == 1
+
+
+def test_a_large_grid_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(panel, "PAIRS_PER_TASK", 100)
+    left, right = spark.range(200).toDF("a"), spark.range(32).toDF("b")
+    pairs = panel.every_pair(left, right)
+    assert pairs.count() == 6400 == pairs.distinct().count()
+    keyed = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, ((_l" in keyed and "_r" in keyed
+    rows = panel.every_pair(left, right, (F.lit(200), F.lit(32)))
+    assert rows.count() == 6400
+    blocks = rows.withColumn("_l", F.pmod(F.hash("a"), F.lit(20))).select("_l").distinct().count()
+    assert blocks == 20
+
+
 def test_top_customers_are_cut_before_the_shuffle(large, tiny_dir):
     plan = executed_plan(QUERIES["dataset_top_customers"](large, tiny_dir))
     assert re.search(r"WindowGroupLimit.*Partial", plan)
