@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderloom.llm import (
     audit, bpe, chunks, classifier, grid_join, lines, minhash, packing, quality_rules, sharding, topk, tries, warc,
 )
-from orderloom.llm.common import corpus_session, given_id, read_table, scratch_path
+from orderloom.llm.common import corpus_session, given_id, materialize, read_table, scratch_path
 from orderloom.llm.oracle import SQL
 
 __all__ = ["QUERIES", "SQL", "TOKENIZER"]
@@ -92,7 +92,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archive(read_table(spark, sf_dir, "pages"), folder)
     if files.isEmpty():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    records = warc.read_archive(spark, folder, files, payloads=False).filter("problem is null")
+    records = materialize(warc.read_archive(spark, folder, files, payloads=False), "warc-records")
+    damaged = records.filter("problem is not null").count()
+    if damaged:
+        raise ValueError(f"{damaged} damaged stretches in the archives of {folder}")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

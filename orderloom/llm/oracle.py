@@ -45,7 +45,6 @@ FROM (
     SELECT *, array_to_string(list_filter([
         CASE WHEN few THEN 'few_words' END,
         CASE WHEN again THEN 'repeated_windows' END,
-        CASE WHEN n_words > 1000000 THEN 'many_words' END,
         CASE WHEN 100 * word_chars NOT BETWEEN 300 * n_words AND 1200 * n_words THEN 'word_length' END,
         CASE WHEN 100 * n_symbols > 10 * n_words THEN 'symbols' END,
         CASE WHEN 100 * n_capitals > 40 * word_chars THEN 'capitals' END,

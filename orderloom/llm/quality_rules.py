@@ -64,7 +64,6 @@ BASE_RULES = (
     Rule("repeated_windows", "n_repeat_words", "n_words", most=20),
 )
 RULES = (
-    Rule("many_words", "n_words", "one", most=1_000_000 * 100),
     Rule("word_length", "word_chars", "n_words", least=300, most=1200),
     Rule("symbols", "n_symbols", "n_words", most=10),
     Rule("capitals", "n_capitals", "word_chars", most=40),

@@ -34,34 +34,40 @@ def exact(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one.astype(kind), two.astype(kind)
 
 
-def threshold_search(rows: np.ndarray, order: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> np.ndarray:
-    """Numbers of the k rows with the highest inner products, ties to smaller ids.
+def threshold_search(
+    rows: np.ndarray, order: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int, depth: int = FIRST_DEPTH
+) -> tuple[np.ndarray, int]:
+    """Numbers of the k rows with the highest inner products, ties to smaller ids, and the depth reached.
 
     `order` sorts every column of `rows` upwards. `own` is a row that does not count.
+    The first step goes down to `depth`, every further one twice as far.
     """
-    n, met = len(rows), np.zeros(len(rows), bool)
+    n, open_ = len(rows), np.ones(len(rows), bool)
     if own >= 0:
-        met[own] = True
-    used = np.flatnonzero(query != 0)
-    weights = query[used]
-    lists = order[:, used]
-    lists = np.where(weights > 0, lists[::-1], lists) if len(used) else np.arange(n)[:, None]
+        open_[own] = False
+    # Lists of positive weights are walked from their upper end, those of negative ones from the lower.
+    down, up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
     best, scores = np.zeros(0, np.int64), np.zeros(0, rows.dtype)
-    at, depth = 0, FIRST_DEPTH
+    at = 0
     while at < n:
         upto = min(depth, n)
-        new = np.unique(lists[at:upto])
-        new = new[~met[new]]
-        met[new] = True
+        met = np.zeros(n, bool)
+        if len(down) + len(up):
+            met[order[n - upto : n - at, down].ravel()] = True
+            met[order[at:upto, up].ravel()] = True
+        else:
+            met[at:upto] = True
+        new = np.flatnonzero(met & open_)
+        open_[new] = False
         best, scores = np.concatenate([best, new]), np.concatenate([scores, rows[new] @ query])
         first = np.lexsort((ids[best], -scores))[:k]
         best, scores = best[first], scores[first]
-        if len(used) and len(best) == k:
-            bound = (rows[lists[upto - 1], used] * weights).sum()
+        if len(down) + len(up) and len(best) == k:
+            bound = (rows[order[n - upto, down], down] * query[down]).sum() + (rows[order[upto - 1, up], up] * query[up]).sum()
             if scores[-1] > bound:
                 break
         at, depth = upto, 2 * depth
-    return best
+    return best, upto if n else depth
 
 
 def _matrix(column: pa.Array, rows: int, scale: float) -> np.ndarray:
@@ -115,8 +121,11 @@ def top_k(
                 order = np.argsort(c, axis=0, kind="stable")
                 place = {u: i for i, u in enumerate(c_uid.tolist())}
                 found = {name: [] for name in ("uid", "query_id", "id", "score")}
+                depth = FIRST_DEPTH
                 for i in range(len(q)):
-                    best = threshold_search(c, order, c_id, q[i], place.get(int(q_uid[i]), -1), k)
+                    # Queries on one block need similar depths: begin with half of the last one's.
+                    best, reached = threshold_search(c, order, c_id, q[i], place.get(int(q_uid[i]), -1), k, depth)
+                    depth = max(FIRST_DEPTH, reached // 2)
                     for row in best.tolist():
                         score = int(c[row] @ q[i])
                         found["uid"].append(int(q_uid[i]))

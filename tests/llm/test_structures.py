@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import difference, oracle_connection
-from orderloom.llm import audit, grid_join, tries
+from orderloom.llm import audit, grid_join, topk, tries
 from orderloom.llm.catalog import QUERIES, SQL
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -224,6 +225,34 @@ def test_float_vectors(corpus):
     assert sorted(tuple(r) for r in grid_join.near_vectors(frame).collect()) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
 
 
+# --- quality classifier ----------------------------------------------------------
+
+
+def test_held_out_documents_are_told_apart(corpus):
+    """Accuracy on labelled documents that the fit has not seen, on both sides of the threshold."""
+    sf_dir = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("driver tables are not present")
+    labels = corpus.read.parquet(f"{sf_dir}/labels.parquet").filter("quality is not null")
+    scored = QUERIES["op6_quality_classifier"](corpus, sf_dir).join(labels, "doc_id").filter("held_out").collect()
+    right = [r.predicted == r.quality for r in scored]
+    assert len(right) > 50 and sum(right) >= 0.95 * len(right)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in scored)
+
+
+def test_walks_down_sorted_lists_equal_a_full_scan():
+    rng = np.random.default_rng(2)
+    for n, d, k in ((1, 3, 5), (40, 1, 3), (300, 8, 5), (300, 8, 400)):
+        rows = np.floor(rng.normal(0, 3, (n, d)))
+        order, ids = np.argsort(rows, axis=0, kind="stable"), rng.permutation(n)
+        for query in (*np.floor(rng.normal(0, 3, (6, d))), np.zeros(d)):
+            for own, depth in ((-1, 16), (n - 1, 1), (0, 1000)):
+                best, _ = topk.threshold_search(rows, order, ids, query, own, k, depth)
+                scores = rows @ query
+                want = sorted((i for i in range(n) if i != own), key=lambda i: (-scores[i], ids[i]))[:k]
+                assert best.tolist() == want
+
+
 # --- queries ---------------------------------------------------------------------
 
 
