@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import materialize, need, numbered_rows
+from orderloom.llm.common import materialize, need, numbered_rows, scratch_scope
 from orderloom.llm.shingles import _BYTES, _powers, groups, mix
 
 MIN_WORDS = 12
@@ -153,11 +153,12 @@ def dedup_substrings(
     never changed. An empty table gives an empty result.
     """
     need(docs, (id_column, text_column))
-    rows = numbered_rows(docs, id_column, text_column)
-    slim = rows.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
-    found = repeated_spans(slim, min_words)
-    spot = F.struct(F.shiftright("place", 1).alias("start"), "digest", "first_key")
-    by_document = materialize(found.groupBy("uid").agg(F.collect_set(spot).alias("marks")), "marks")
+    with scratch_scope(docs.sparkSession) as keep:
+        rows = keep(numbered_rows(docs, id_column, text_column))
+        slim = rows.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
+        found = repeated_spans(slim, min_words)
+        spot = F.struct(F.shiftright("place", 1).alias("start"), "digest", "first_key")
+        by_document = keep(materialize(found.groupBy("uid").agg(F.collect_set(spot).alias("marks")), "marks"))
     marked = rows.join(by_document, "uid", "left")
     shape = marked.select("rest").schema["rest"].dataType.simpleString()
 

@@ -9,12 +9,12 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.operators.scratch import materialize, scratch_path
+from orderloom.operators.scratch import materialize, scratch_path, scratch_scope
 from orderloom.session import configure
 
 __all__ = [
     "blocks", "corpus_session", "dense_ids", "document_key", "given_id", "join_checked", "materialize", "need", "numbered_rows",
-    "read_table", "scratch_path",
+    "read_table", "scratch_path", "scratch_scope",
 ]
 
 # Rows and bytes that one Arrow batch may hold on its way to a Python task: very long

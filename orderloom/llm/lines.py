@@ -20,7 +20,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.llm.common import blocks, join_checked, materialize, need, numbered_rows
+from orderloom.llm.common import blocks, join_checked, materialize, need, numbered_rows, scratch_scope
 
 EDITS = 2
 # Shorter lines are compared for equality alone: two edits would change their meaning.
@@ -274,30 +274,32 @@ def dedup_lines(
     an empty result.
     """
     need(docs, (id_column, text_column))
-    whole = numbered_rows(docs, id_column, text_column)
-    rows = whole.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
-    with small_methods(docs.sparkSession):
-        seen = materialize(_keyed(rows, edits, near_chars), "lines")
-    first = seen.groupBy("h1", "h2").agg(F.min(F.struct("key", "uid", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = materialize(first.filter("n > 1").drop("n"), "repeated-lines")
-    links = materialize(near_links(rows, seen, repeated, edits), "line-links")
-    ends = links.select(F.col("earlier").alias("end"), F.lit(False).alias("near")).unionByName(
-        links.select(F.col("later").alias("end"), F.lit(True).alias("near"))
-    )
-    linked = ends.groupBy("end.h1", "end.h2").agg(F.max("near").alias("near"), F.count(F.lit(1)).alias("links"))
-    notes = repeated.join(linked, ["h1", "h2"], "full")
-    noted = join_checked(seen.select("key", "uid", "pos", "h1", "h2"), materialize(notes, "line-notes"), ["h1", "h2"])
-    near = F.coalesce("near", F.lit(False))
-    again = F.coalesce(F.struct("key", "uid", "pos") != F.col("first"), F.lit(False))
-    marked = noted.select(
-        "uid", "pos", near.alias("near"), (again & ~near).alias("again"), F.coalesce("links", F.lit(0)).alias("links")
-    )
-    by_document = marked.groupBy("uid").agg(
-        F.collect_list(F.when(F.col("near") | F.col("again"), F.col("pos"))).alias("gone"),
-        F.collect_list(F.when(F.col("near"), F.col("pos"))).alias("gone_near"),
-        F.sum("links").alias("links"),
-    )
-    joined = whole.join(materialize(by_document, "line-marks"), "uid", "left")
+    with scratch_scope(docs.sparkSession) as keep:
+        whole = keep(numbered_rows(docs, id_column, text_column))
+        rows = whole.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
+        with small_methods(docs.sparkSession):
+            seen = materialize(_keyed(rows, edits, near_chars), "lines")
+        first = seen.groupBy("h1", "h2").agg(F.min(F.struct("key", "uid", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+        repeated = materialize(first.filter("n > 1").drop("n"), "repeated-lines")
+        links = materialize(near_links(rows, seen, repeated, edits), "line-links")
+        ends = links.select(F.col("earlier").alias("end"), F.lit(False).alias("near")).unionByName(
+            links.select(F.col("later").alias("end"), F.lit(True).alias("near"))
+        )
+        linked = ends.groupBy("end.h1", "end.h2").agg(F.max("near").alias("near"), F.count(F.lit(1)).alias("links"))
+        notes = repeated.join(linked, ["h1", "h2"], "full")
+        noted = join_checked(seen.select("key", "uid", "pos", "h1", "h2"), materialize(notes, "line-notes"), ["h1", "h2"])
+        near = F.coalesce("near", F.lit(False))
+        again = F.coalesce(F.struct("key", "uid", "pos") != F.col("first"), F.lit(False))
+        marked = noted.select(
+            "uid", "pos", near.alias("near"), (again & ~near).alias("again"), F.coalesce("links", F.lit(0)).alias("links")
+        )
+        by_document = marked.groupBy("uid").agg(
+            F.collect_list(F.when(F.col("near") | F.col("again"), F.col("pos"))).alias("gone"),
+            F.collect_list(F.when(F.col("near"), F.col("pos"))).alias("gone_near"),
+            F.sum("links").alias("links"),
+        )
+        marks = keep(materialize(by_document, "line-marks"))
+    joined = whole.join(marks, "uid", "left")
     none = F.array().cast("array<int>")
     located = joined.withColumns({
         "parts": F.split("text", "\n"), "out": F.coalesce("gone", none), "out_near": F.coalesce("gone_near", none)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.common import document_key, materialize, need
+from orderloom.llm.common import document_key, materialize, need, scratch_scope
 from orderloom.llm.graph import components
 from orderloom.llm.shingles import groups, mix, shingle_sets
 
@@ -224,66 +224,68 @@ def classes(
     """
     need(docs, (id_column, text_column))
     slim = docs.select(document_key(id_column).alias("key"), text_digest(F.col(text_column)).alias("digest"), F.col(text_column).alias("text"))
-    signed = _sign(slim, weighted, bands, rows).withColumn("number", F.monotonically_increasing_id())
-    signed = materialize(signed, "signatures")
-    nodes = materialize(
-        signed.groupBy("digest")
-        .agg(F.min("key").alias("first"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "nodes",
-    )
-    in_bands = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
-    shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    together = materialize(in_bands.join(materialize(shared, "buckets"), "bucket"), "together")
-    scores = materialize(together.groupBy("node").agg(F.sum("size").alias("score")), "scores")
-    members = materialize(
-        together.join(scores, "node")
-        .select("bucket", "node", "weight", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
-        "members",
-    )
-    wanted = members.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
-    texts = slim.join(
-        materialize(wanted, "candidates").withColumnRenamed("first", "key"), ["key", "digest"]
-    ).select("node", "text")
-    sets = materialize(_sets(texts, weighted).dropDuplicates(["node"]), "shingle-sets")
-    labels = None
-    round_ = 0
-    while not members.isEmpty():
-        leaders = materialize(_leaders(members, round_), "leaders")
-        led = members.join(leaders.withColumnRenamed("leader", "node").withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-        now = F.coalesce("now", F.lit(False))
-        led = led.select("bucket", "node", "weight", "score", "label", "led", now.alias("now"))
-        own = led.filter("now").select(
-            "bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("weight").alias("leader_weight")
+    with scratch_scope(docs.sparkSession) as keep:
+        signed = _sign(slim, weighted, bands, rows).withColumn("number", F.monotonically_increasing_id())
+        signed = keep(materialize(signed, "signatures"))
+        nodes = materialize(
+            signed.groupBy("digest")
+            .agg(F.min("key").alias("first"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
+            .withColumn("node", F.monotonically_increasing_id()),
+            "nodes",
+        )
+        in_bands = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
+        shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        together = materialize(in_bands.join(materialize(shared, "buckets"), "bucket"), "together")
+        scores = materialize(together.groupBy("node").agg(F.sum("size").alias("score")), "scores")
+        members = materialize(
+            together.join(scores, "node")
+            .select("bucket", "node", "weight", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
+            "members",
         )
-        # Those that led before have met everyone in the bucket already.
-        lighter, heavier = F.least("weight", "leader_weight"), F.greatest("weight", "leader_weight")
-        alike = (lighter >= similarity * heavier) & (F.col("label") != F.col("leader_label"))
-        guided = led.filter("not led").alias("m").join(own.alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & alike)
-        pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        members = led.withColumn("led", F.col("led") | F.col("now")).drop("now")
-        linked = _links(pairs, sets, similarity, weighted)
+        wanted = members.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
+        texts = slim.join(
+            materialize(wanted, "candidates").withColumnRenamed("first", "key"), ["key", "digest"]
+        ).select("node", "text")
+        sets = materialize(_sets(texts, weighted).dropDuplicates(["node"]), "shingle-sets")
+        labels = None
+        round_ = 0
+        while not members.isEmpty():
+            leaders = materialize(_leaders(members, round_), "leaders")
+            led = members.join(leaders.withColumnRenamed("leader", "node").withColumn("now", F.lit(True)), ["bucket", "node"], "left")
+            now = F.coalesce("now", F.lit(False))
+            led = led.select("bucket", "node", "weight", "score", "label", "led", now.alias("now"))
+            own = led.filter("now").select(
+                "bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("weight").alias("leader_weight")
+            )
+            # Those that led before have met everyone in the bucket already.
+            lighter, heavier = F.least("weight", "leader_weight"), F.greatest("weight", "leader_weight")
+            alike = (lighter >= similarity * heavier) & (F.col("label") != F.col("leader_label"))
+            guided = led.filter("not led").alias("m").join(own.alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & alike)
+            pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+            members = led.withColumn("led", F.col("led") | F.col("now")).drop("now")
+            linked = _links(pairs, sets, similarity, weighted)
+            if labels is not None:
+                for side in "ab":
+                    linked = _relabel(linked, side, labels)
+                linked = linked.filter("a != b")
+            merged = components(materialize(linked, "links"), "a", "b")
+            labels = merged if labels is None else materialize(_merge(labels, merged), "labels")
+            members = materialize(_unfinished(_relabel(members, "label", merged)), "members")
+            round_ += 1
+        whole = nodes.select("digest", "first", "node", F.col("node").alias("label"))
         if labels is not None:
-            for side in "ab":
-                linked = _relabel(linked, side, labels)
-            linked = linked.filter("a != b")
-        merged = components(materialize(linked, "links"), "a", "b")
-        labels = merged if labels is None else materialize(_merge(labels, merged), "labels")
-        members = materialize(_unfinished(_relabel(members, "label", merged)), "members")
-        round_ += 1
-    whole = nodes.select("digest", "first", "node", F.col("node").alias("label"))
-    if labels is not None:
-        whole = _relabel(whole, "label", labels)
-    whole = materialize(whole, "labelled")
-    sizes = signed.groupBy("digest", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("number").alias("first_number"))
-    held = signed.groupBy("digest").agg(F.count(F.lit(1)).alias("held"))
-    weighed = whole.join(materialize(held, "held"), "digest")
-    # A class is named by a row of its own: other classes may have the same smallest key.
-    named = weighed.groupBy("label").agg(F.min(F.struct("first", "digest")).alias("head"), F.sum("held").alias("class_size"))
-    by_digest = materialize(
-        whole.join(materialize(named, "classes"), "label").select("digest", "head", "class_size"), "digests"
-    )
-    rows_ = signed.select("key", "digest", "number").join(by_digest, "digest").join(materialize(sizes, "copies"), ["digest", "key"])
+            whole = _relabel(whole, "label", labels)
+        whole = materialize(whole, "labelled")
+        sizes = signed.groupBy("digest", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("number").alias("first_number"))
+        held = signed.groupBy("digest").agg(F.count(F.lit(1)).alias("held"))
+        weighed = whole.join(materialize(held, "held"), "digest")
+        # A class is named by a row of its own: other classes may have the same smallest key.
+        named = weighed.groupBy("label").agg(F.min(F.struct("first", "digest")).alias("head"), F.sum("held").alias("class_size"))
+        by_digest = keep(materialize(
+            whole.join(materialize(named, "classes"), "label").select("digest", "head", "class_size"), "digests"
+        ))
+        copies = keep(materialize(sizes, "copies"))
+    rows_ = signed.select("key", "digest", "number").join(by_digest, "digest").join(copies, ["digest", "key"])
     leads = (F.col("key") == F.col("head.first")) & (F.col("digest") == F.col("head.digest"))
     return rows_.select(
         "key", "digest", "number", F.col("head.first").alias("class_id"), "class_size", "copies",
@@ -322,7 +324,8 @@ def keep_first(docs: DataFrame, **settings) -> DataFrame:
     """
     id_column, text_column = settings.get("id_column", "doc_id"), settings.get("text_column", "text")
     columns = [F.col(f"_row.`{c}`") for c in docs.columns]
-    first = materialize(classes(docs, **settings).filter("kept").select("key", "digest", "copies"), "first")
+    with scratch_scope(docs.sparkSession) as keep:
+        first = keep(materialize(classes(docs, **settings).filter("kept").select("key", "digest", "copies"), "first"))
     whole = docs.select(
         document_key(id_column).alias("key"),
         text_digest(F.col(text_column)).alias("digest"),
