@@ -47,14 +47,22 @@ def ranks_and_sums(
     """
     sums = sums or {}
     order = [*[F.col(c).desc_nulls_last() for c in rank_by], *ties]
-    ranged = _in_ranges(df, order)
+    # Stored first: cutting ranges samples the frame, which would else be worked out twice.
+    ranged = _in_ranges(materialize(df, "unranked"), order)
     value = F.struct(*rank_by)  # NULL is the least value, so structs are ordered as the ranks are
-    along = Window.orderBy("_range")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    held = ranged.groupBy("_range").agg(
-        F.count_distinct(value).alias("_values"), F.max(value).alias("_first"), F.min(value).alias("_last"),
+    inside = Window.partitionBy("_range").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    previous = F.lag(value).over(inside)
+    changes = F.when(previous.isNull() | ~value.eqNullSafe(previous), 1).otherwise(0)
+    placed = ranged.withColumn("_new", changes).select(
+        "*", F.sum("_new").over(upto).alias("_nth"), *[F.sum(c).over(upto).alias(f"_upto_{n}") for n, c in sums.items()]
+    )
+    held = ranged.withColumn("_new", changes).groupBy("_range").agg(
+        F.sum("_new").alias("_values"), F.max(value).alias("_first"), F.min(value).alias("_last"),
         *[F.sum(c).alias(f"_size_{n}") for n, c in sums.items()],
     )
+    along = Window.orderBy("_range")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     goes_on = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(along)), F.lit(False)).cast("int")
     counted = held.withColumn("_goes_on", goes_on)
     before = F.coalesce(F.sum(F.col("_values") - F.col("_goes_on")).over(earlier), F.lit(0)) - F.col("_goes_on")
@@ -64,13 +72,6 @@ def ranks_and_sums(
         *[F.coalesce(F.sum(f"_size_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
         *[F.sum(f"_size_{n}").over(Window.partitionBy()).alias(f"total_{n}") for n in sums],
     )
-    inside = Window.partitionBy("_range").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    previous = F.lag(value).over(inside)
-    changes = F.when(previous.isNull() | ~value.eqNullSafe(previous), 1).otherwise(0)
-    placed = ranged.withColumn("_new", changes).select(
-        "*", F.sum("_new").over(upto).alias("_nth"), *[F.sum(c).over(upto).alias(f"_upto_{n}") for n, c in sums.items()]
-    )
     joined = placed.join(F.broadcast(offsets), "_range")
     return joined.select(
         *df.columns, (F.col("_before") + F.col("_nth")).cast("bigint").alias(rank),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom.constants import CELL_KEYS, SERIES_KEYS
 from orderloom.functions.dates import month_of, month_sequence
@@ -27,31 +29,22 @@ def month_spine(observed: DataFrame) -> DataFrame:
     return bounds.select(F.explode(month_sequence(F.col("first"), F.col("last"))).alias("Month"))
 
 
-PAIRS_PER_TASK = 1 << 16
-
-
-def every_pair(left: DataFrame, right: DataFrame, sizes: tuple[Column, Column] | None = None) -> DataFrame:
+def every_pair(left: DataFrame, right: DataFrame) -> DataFrame:
     """All pairs of two dimensions' rows: a grid is their product by definition.
 
-    Both sides are dealt into blocks, as many as give every pair of blocks about
-    PAIRS_PER_TASK pairs of rows, and each side is copied once for every block of the
-    other. So the pairing is an ordinary join, whose tasks and copies follow the sizes
-    of both dimensions. `sizes` are their row counts, if known.
+    Both sides are dealt into blocks, and each side is copied once for every block of the
+    other, so the pairing is an ordinary join over pairs of blocks. There are about as
+    many of these as the session has shuffle partitions, whichever side is the larger;
+    that is the number that a cluster sets by the size of its data.
     """
-    rows, others = sizes or tuple(d.agg(F.count(F.lit(1))).scalar() for d in (left, right))
-    rows, others = F.greatest(rows, F.lit(1)), F.greatest(others, F.lit(1))
-    wanted = F.ceil(rows.cast("double") * others / PAIRS_PER_TASK)
-    # Blocks in proportion to the sizes keep the copies of both sides few.
-    blocks = F.least(wanted, F.greatest(F.lit(1), F.round(F.sqrt(wanted * rows / others)))).cast("int")
-    other_blocks = F.ceil(wanted / blocks).cast("int")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = math.isqrt(max(1, parts - 1)) + 1
 
-    def dealt(df: DataFrame, own: str, own_blocks: Column, copy: str, copies: Column) -> DataFrame:
-        block = F.pmod(F.hash(*df.columns), own_blocks)
-        return df.withColumn(own, block).withColumn(copy, F.explode(F.sequence(F.lit(0), copies - 1)))
+    def dealt(df: DataFrame, own: str, copy: str) -> DataFrame:
+        block = F.pmod(F.hash(*df.columns), F.lit(blocks))
+        return df.withColumn(own, block).withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    return dealt(left, "_l", blocks, "_r", other_blocks).join(
-        dealt(right, "_r", other_blocks, "_l", blocks), ["_l", "_r"]
-    ).drop("_l", "_r")
+    return dealt(left, "_l", "_r").join(dealt(right, "_r", "_l"), ["_l", "_r"]).drop("_l", "_r")
 
 
 def complete_panel(observed: DataFrame) -> DataFrame:
@@ -62,17 +55,8 @@ def complete_panel(observed: DataFrame) -> DataFrame:
     appears already partitioned by series, as the lag windows need it, and is neither
     joined nor shuffled. A map has at most as many entries as there are months.
     """
-    bounds = observed.agg(
-        F.struct(
-            month_sequence(F.min("Month"), F.max("Month")).alias("months"),
-            F.count_distinct("Product_ID").alias("products"), F.count_distinct("Region_ID").alias("regions"),
-        )
-    ).scalar()
-    months = bounds["months"]
-    pairs = every_pair(
-        observed.select("Product_ID").distinct(), observed.select("Region_ID").distinct(),
-        (bounds["products"], bounds["regions"]),
-    )
+    months = observed.agg(month_sequence(F.min("Month"), F.max("Month"))).scalar()
+    pairs = every_pair(observed.select("Product_ID").distinct(), observed.select("Region_ID").distinct())
     history = observed.groupBy(*SERIES_KEYS).agg(
         F.map_from_entries(F.collect_list(F.struct("Month", "Actual_Demand"))).alias("history")
     )

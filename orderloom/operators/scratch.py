@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +36,57 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{run}/{label}-{uuid.uuid4().hex}"
 
 
+# Paths stored in the innermost open scope of this thread.
+_OPEN = threading.local()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
+        stored._scratch_path = path
+    return stored
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The paths of what is stored inside the block; those that inner scopes remove are not among them."""
+    outer = getattr(_OPEN, "paths", None)
+    paths = _OPEN.paths = []
+    try:
+        yield paths
+    finally:
+        _OPEN.paths = outer
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end of the block what was stored inside, but for frames passed to the given function.
+
+    Frames that outlive the block must read kept tables alone. These belong to the scope
+    around this one, if there is any.
+    """
+    kept: list[str] = []
+
+    def keep(stored: DataFrame) -> DataFrame:
+        kept.append(stored._scratch_path)
+        return stored
+
+    with recorded_scratch() as paths:
+        try:
+            yield keep
+        finally:
+            remove(spark, [p for p in paths if p not in kept])
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.extend(kept)

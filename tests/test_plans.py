@@ -98,17 +98,18 @@ def test_all_exports_scan_the_fact_three_times(spark, tiny_dir, monkeypatch):
     assert len(plans) >= 23 and scans() == 1
 
 
-def test_a_large_grid_is_dealt_to_many_tasks(spark, monkeypatch):
-    monkeypatch.setattr(panel, "PAIRS_PER_TASK", 100)
-    left, right = spark.range(200).toDF("a"), spark.range(32).toDF("b")
-    pairs = panel.every_pair(left, right)
-    assert pairs.count() == 6400 == pairs.distinct().count()
-    keyed = pairs._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join Inner, ((_l" in keyed and "_r" in keyed
-    rows = panel.every_pair(left, right, (F.lit(200), F.lit(32)))
-    assert rows.count() == 6400
-    blocks = rows.withColumn("_l", F.pmod(F.hash("a"), F.lit(20))).select("_l").distinct().count()
-    assert blocks == 20
+def test_a_grid_is_dealt_to_as_many_tasks_as_the_session_has_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        left, right = spark.range(200).toDF("a"), spark.range(300).toDF("b")
+        pairs = panel.every_pair(left, right)
+        assert pairs.count() == 60_000 == pairs.distinct().count()
+        blocks = pairs.select(F.pmod(F.hash("a"), F.lit(8)).alias("l"), F.pmod(F.hash("b"), F.lit(8)).alias("r"))
+        assert blocks.distinct().count() == 64
+        assert len(re.findall(r"explode\(\[0,1,2,3,4,5,6,7\]\)", pairs._jdf.queryExecution().optimizedPlan().toString())) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_top_customers_are_cut_before_the_shuffle(large, tiny_dir):

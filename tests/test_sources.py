@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from orderloom.operators.quality import QualityError
-from orderloom.operators.scratch import materialize, scratch_root
+from orderloom.operators.scratch import materialize, recorded_scratch, remove, scratch_root, scratch_scope
 from orderloom.plans.reports import Tables, reports, run_reports
 from orderloom.session import RUNTIME_SETTINGS, configure
 from orderloom.sources.sinks import export_reports, report_names, write_forecast, write_panel
@@ -75,6 +75,30 @@ def test_materialize_uses_the_shared_folder(spark, tmp_path):
     assert stored.count() == 5 and stored.inputFiles()[0].startswith(f"file://{root}")
 
 
+def test_scopes_remove_what_is_not_kept(spark):
+    with recorded_scratch() as left:
+        with scratch_scope(spark) as keep:
+            gone, kept = materialize(spark.range(3), "gone"), keep(materialize(spark.range(4), "kept"))
+            with scratch_scope(spark) as keep_inner:
+                materialize(spark.range(1), "inner")
+                inner = keep_inner(materialize(spark.range(2), "inner"))
+                assert inner.count() == 2
+            assert inner.count() == 2 and gone.count() == 3
+        assert kept.count() == 4
+        for frame in (gone, inner):
+            with pytest.raises(Exception):
+                frame.collect()
+        after = materialize(spark.range(5), "after")
+    assert len(left) == 2
+    remove(spark, left)
+    with pytest.raises(Exception):
+        after.collect()
+    with pytest.raises(ZeroDivisionError), recorded_scratch() as left, scratch_scope(spark):
+        materialize(spark.range(5), "lost")
+        1 / 0
+    assert not left
+
+
 def test_settings_respect_explicit_choices(spark):
     key = "spark.sql.adaptive.skewJoin.enabled"
     spark.conf.set(key, "false")
