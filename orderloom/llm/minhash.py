@@ -9,13 +9,14 @@ few hash values per element plus the darts, not k values per element.
 
 Bands of five coordinates make candidates at similarity 0.8 with a probability above
 0.9999; every link is then checked exactly on shingle sets. Equal texts are one node from
-the start. Inside a bucket nodes are compared with leaders, not with each other: in
-round t there are 4^t leaders per bucket, and a bucket is finished when its nodes are all
-of one class or have all been leaders. So a bucket of any size is worked off exactly,
-without listing its pairs when its nodes are alike. Leaders are the nodes that meet the
-most others in all their buckets: of an original and its edited copies, which resemble
-each other less than the original, that is the original. Nodes whose total weights
-differ by more than the similarity allows can't be linked and are not compared.
+the start. A bucket's nodes are first compared with its leader alone, the node that meets
+the most others in all its buckets: of an original and its edited copies, which resemble
+each other less than the original, that is the original. Where a bucket then still holds
+several classes, its nodes are joined by their rarest shingles. Two sets of a and b
+shingles with similarity s share s / (1 + s) * (a + b) of them, so the first shingle they
+have in common, in order of frequency, has that many behind it in both. What an edit
+changed is rare and comes first, so copies that are too unlike to be linked seldom meet,
+and no linked pair is lost. Nodes of one class are not compared any more.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.common import document_key, materialize, need, scratch_scope
+from orderloom.llm.common import document_key, join_checked, materialize, need, scratch_scope
 from orderloom.llm.graph import components
 from orderloom.llm.shingles import groups, mix, shingle_sets
 
@@ -193,12 +194,63 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bool)
     return named.filter(_similarity(weighted) >= similarity).select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
-def _leaders(members: DataFrame, round_: int) -> DataFrame:
-    """(bucket, leader): per bucket up to 4^round nodes that were no leaders yet."""
-    part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << min(2 * round_, 40)))
-    best = F.max(F.struct("score", (-F.col("node")).alias("minus"))).alias("best")
-    chosen = members.filter("not led").groupBy("bucket", part.alias("part")).agg(best)
-    return chosen.select("bucket", (-F.col("best.minus")).alias("leader"))
+def _leaders(members: DataFrame) -> DataFrame:
+    """(bucket, leader, leader_weight): the node of each bucket that meets the most others."""
+    best = F.max(F.struct("score", (-F.col("node")).alias("minus"), "weight")).alias("best")
+    chosen = members.groupBy("bucket").agg(best)
+    return chosen.select("bucket", (-F.col("best.minus")).alias("leader"), F.col("best.weight").alias("leader_weight"))
+
+
+def _open_nodes(members: DataFrame, leaders: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of the nodes of buckets where others than the leader are of several classes."""
+    labelled = _relabel(members.select("bucket", "node", F.col("node").alias("label")), "label", labels)
+    others = labelled.join(leaders, "bucket").filter("node != leader")
+    spread = others.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = materialize(spread.filter("low != high").select("bucket"), "open-buckets")
+    return others.join(open_, "bucket", "left_semi").select("node", "label").distinct()
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
+    """(a, b) of nodes (node, label) with different labels whose sets may be so similar.
+
+    Holds every pair that is. Of a counted shingle each occurrence is an element of its
+    own. An element that only one node has can't be in common, so it only moves the others
+    back. Per element all nodes meet those that are not of its most common label, as two
+    of that label need no comparison.
+    """
+    held = nodes.join(sets, "node")
+    if weighted:
+        both = held.select("node", "label", F.explode(F.arrays_zip("shingles", "counts")).alias("z"))
+        times = both.select("node", "label", "z.shingles", F.explode(F.sequence(F.lit(1), F.col("z.counts"))).alias("nth"))
+        flat = times.select("node", "label", F.xxhash64("shingles", "nth").alias("element"))
+    else:
+        flat = held.select("node", "label", F.explode("shingles").alias("element"))
+    flat = materialize(flat, "elements")
+    sizes = flat.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+    common = flat.groupBy("element").agg(
+        F.count(F.lit(1)).alias("frequency"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).filter("frequency > 1")
+    # Elements within one class find nothing new, but they keep their places in the order.
+    placed = flat.join(common.select("element", "frequency", (F.col("low") != F.col("high")).alias("useful")), "element")
+    ranked = placed.groupBy("node", "label").agg(F.sort_array(F.collect_list(F.struct("frequency", "element", "useful"))).alias("found"))
+    first = F.col("size") - F.size("found")
+    reach = F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1 - first
+    rows = ranked.join(sizes, "node").withColumns({"first": first, "reach": reach}).filter("reach > 0")
+    rows = rows.select(
+        "node", "label", "size", "first", F.posexplode(F.slice("found", 1, F.col("reach").cast("int"))).alias("nth", "found")
+    ).filter("found.useful")
+    rows = materialize(
+        rows.select("found.element", "node", "label", "size", (F.col("size") - F.col("first") - F.col("nth")).alias("behind")),
+        "rare-elements",
+    )
+    counted = rows.groupBy("element", "label").agg(F.count(F.lit(1)).alias("n"))
+    usual = counted.groupBy("element").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
+    usual = usual.filter("labels > 1").select("element", F.col("most.label").alias("usual"))
+    few = rows.join(usual, "element").filter("label != usual").drop("usual")
+    needed = F.ceil(similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-9)
+    alike = (F.col("x.label") != F.col("y.label")) & (F.least("x.behind", "y.behind") >= needed)
+    met = rows.alias("x").join(few.alias("y"), (F.col("x.element") == F.col("y.element")) & alike)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def classes(
@@ -237,45 +289,26 @@ def classes(
         shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         together = materialize(in_bands.join(materialize(shared, "buckets"), "bucket"), "together")
         scores = materialize(together.groupBy("node").agg(F.sum("size").alias("score")), "scores")
-        members = materialize(
-            together.join(scores, "node")
-            .select("bucket", "node", "weight", "score", F.col("node").alias("label"), F.lit(False).alias("led")),
-            "members",
+        members = materialize(together.join(scores, "node").select("bucket", "node", "weight", "score"), "members")
+        wanted = materialize(
+            scores.select("node").join(nodes.select("node", "digest", F.col("first").alias("key")), "node"), "candidates"
         )
-        wanted = members.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
-        texts = slim.join(
-            materialize(wanted, "candidates").withColumnRenamed("first", "key"), ["key", "digest"]
-        ).select("node", "text")
+        texts = join_checked(slim, wanted, ["key", "digest"]).select("node", "text")
         sets = materialize(_sets(texts, weighted).dropDuplicates(["node"]), "shingle-sets")
-        labels = None
-        round_ = 0
-        while not members.isEmpty():
-            leaders = materialize(_leaders(members, round_), "leaders")
-            led = members.join(leaders.withColumnRenamed("leader", "node").withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-            now = F.coalesce("now", F.lit(False))
-            led = led.select("bucket", "node", "weight", "score", "label", "led", now.alias("now"))
-            own = led.filter("now").select(
-                "bucket", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("weight").alias("leader_weight")
-            )
-            # Those that led before have met everyone in the bucket already.
-            lighter, heavier = F.least("weight", "leader_weight"), F.greatest("weight", "leader_weight")
-            alike = (lighter >= similarity * heavier) & (F.col("label") != F.col("leader_label"))
-            guided = led.filter("not led").alias("m").join(own.alias("l"), (F.col("m.bucket") == F.col("l.bucket")) & alike)
-            pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-            members = led.withColumn("led", F.col("led") | F.col("now")).drop("now")
-            linked = _links(pairs, sets, similarity, weighted)
-            if labels is not None:
-                for side in "ab":
-                    linked = _relabel(linked, side, labels)
-                linked = linked.filter("a != b")
-            merged = components(materialize(linked, "links"), "a", "b")
-            labels = merged if labels is None else materialize(_merge(labels, merged), "labels")
-            members = materialize(_unfinished(_relabel(members, "label", merged)), "members")
-            round_ += 1
+        leaders = materialize(_leaders(members), "leaders")
+        lighter, heavier = F.least("weight", "leader_weight"), F.greatest("weight", "leader_weight")
+        guided = members.join(leaders, "bucket").filter((F.col("node") != F.col("leader")) & (lighter >= similarity * heavier))
+        pairs = guided.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        linked = materialize(_links(pairs, sets, similarity, weighted), "links")
+        labels = materialize(components(linked, "a", "b"), "leader-labels")
+        open_ = materialize(_open_nodes(members, leaders, labels), "open-nodes")
+        linked = _links(materialize(rare_pairs(open_, sets, similarity, weighted), "rare-pairs"), sets, similarity, weighted)
+        for side in "ab":
+            linked = _relabel(linked, side, labels)
+        merged = components(materialize(linked.filter("a != b"), "late-links"), "a", "b")
+        labels = materialize(_merge(labels, merged), "labels")
         whole = nodes.select("digest", "first", "node", F.col("node").alias("label"))
-        if labels is not None:
-            whole = _relabel(whole, "label", labels)
-        whole = materialize(whole, "labelled")
+        whole = materialize(_relabel(whole, "label", labels), "labelled")
         sizes = signed.groupBy("digest", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("number").alias("first_number"))
         held = signed.groupBy("digest").agg(F.count(F.lit(1)).alias("held"))
         weighed = whole.join(materialize(held, "held"), "digest")
@@ -300,22 +333,12 @@ def _relabel(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 
 
 def _merge(labels: DataFrame, merged: DataFrame) -> DataFrame:
-    """Labels of all rounds so far: the earlier ones followed on, and the new ones."""
+    """Labels of both comparisons: the earlier ones followed on, and the new ones."""
     earlier = _relabel(labels, "component", merged)
     new = merged.join(labels.select("node"), "node", "left_anti")
     return earlier.unionByName(new)
 
 
-def _unfinished(members: DataFrame) -> DataFrame:
-    """Members of buckets with nodes of several classes, of which some were no leaders yet."""
-    state = members.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"),
-        F.sum(F.when(F.col("led"), 0).otherwise(1)).alias("rest"),
-    )
-    open_ = state.filter("low != high and rest > 1").select("bucket")
-    return members.join(open_, "bucket", "left_semi")
-
-
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
     """One row of `docs` of each class: of those with the smallest id the one with the smallest digest.
 
@@ -331,7 +354,7 @@ def keep_first(docs: DataFrame, **settings) -> DataFrame:
         text_digest(F.col(text_column)).alias("digest"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
     )
-    kept = whole.join(first, ["key", "digest"])
+    kept = join_checked(whole, first, ["key", "digest"])
     single = kept.filter("copies = 1").select(*columns)
     repeated = kept.filter("copies > 1").dropDuplicates(["key", "digest"]).select(*columns)
     return single.unionByName(repeated)

@@ -317,6 +317,32 @@ def test_near_duplicates_equal_brute_force(make_documents, weighted):
     assert sorted((r.key, r.class_id) for r in got) == plain_classes(rows, 0.8)
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_rare_shingles_find_every_link_between_classes(corpus, weighted):
+    rng, shared, bags = random.Random(3), list(range(1, 121)), []
+    for node in range(90):
+        bag = collections.Counter(shared[: rng.choice((100, 110, 120))])
+        for _ in range(rng.choice((0, 4, 9, 12, 13, 14, 20, 40))):
+            # some changes are a copy's own, some are met in several copies
+            bag.pop(rng.choice(shared), None)
+            bag[rng.choice((1000 + node * 100 + rng.randrange(90), 500 + rng.randrange(30)))] += 1
+        bags.append(bag)
+    labels = [rng.choice((7, 7, 7, 100 + i)) for i in range(len(bags))]
+    counted = [(i, sorted(b), [b[e] if weighted else 1 for e in sorted(b)]) for i, b in enumerate(bags)]
+    sets = corpus.createDataFrame(counted, "node long, shingles array<long>, counts array<int>")
+    nodes = corpus.createDataFrame([(i, lab) for i, lab in enumerate(labels)], "node long, label long")
+    found = {(r.a, r.b) for r in minhash.rare_pairs(nodes, sets if weighted else sets.drop("counts"), 0.8, weighted).collect()}
+    every = {(a, b) for b in range(len(bags)) for a in range(b) if labels[a] != labels[b]}
+
+    def similarity(a, b):
+        one, two = (dict(zip(*counted[n][1:])) for n in (a, b))
+        least = sum(min(n, two.get(e, 0)) for e, n in one.items())
+        return least / (sum(one.values()) + sum(two.values()) - least)
+
+    links = {pair for pair in every if similarity(*pair) >= 0.8}
+    assert links and links <= found <= every and len(found) < len(every) / 2
+
+
 def test_one_document_of_each_class_stays(edge, edge_rows, nothing):
     got = minhash.classes(edge).collect()
     assert sorted((r.key, r.class_id) for r in got) == plain_classes(edge_rows, 0.8)
