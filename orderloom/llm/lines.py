@@ -27,10 +27,9 @@ EDITS = 2
 NEAR_CHARS = 24
 PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
-# Letters that a tag counts, modulo 32 in five bits each, and those that it leaves out.
-LETTERS = "enaitrsoldhu"
-LETTER_BITS = 5
-OTHER_LETTERS = "cmpgbfvwk"
+# Letters that a tag counts, modulo 8 in three bits each: 63 bits in all.
+LETTERS = "enaitrsoldhucmpgbfvwk"
+LETTER_BITS = 3
 COUNTS = 1 << LETTER_BITS
 
 
@@ -162,15 +161,6 @@ def _count_gap(one: Column, two: Column) -> Column:
     return gap
 
 
-def _letter_gap(one: str, two: str) -> Column:
-    """By how much the counts of letters that tags leave out differ."""
-    gap = F.lit(0)
-    for letter in OTHER_LETTERS:
-        counts = [F.octet_length(c) - F.octet_length(F.replace(F.col(c), F.lit(letter), F.lit(""))) for c in (one, two)]
-        gap = gap + F.abs(counts[0] - counts[1])
-    return gap
-
-
 # --- the join --------------------------------------------------------------------
 
 
@@ -245,7 +235,7 @@ def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: in
         F.when(longer_first, F.col("one_line.line")).otherwise(F.col("two_line.line")).alias("longer"),
         F.when(longer_first, F.col("two_line.line")).otherwise(F.col("one_line.line")).alias("shorter"),
     )
-    near = (F.length("longer") - F.length("shorter") <= edits) & (_letter_gap("longer", "shorter") <= 2 * edits)
+    near = F.length("longer") - F.length("shorter") <= edits
     linked = ordered.filter(F.when(near, within_edits(F.col("longer"), F.col("shorter"), edits)).otherwise(F.lit(False)))
     one, two = (F.struct(*[F.col(f"{s}_line.{c}") for c in ("key", "uid", "pos", "h1", "h2")]) for s in ("one", "two"))
     return linked.select(F.least(one, two).alias("earlier"), F.greatest(one, two).alias("later")).distinct()
