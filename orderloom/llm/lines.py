@@ -1,16 +1,20 @@
 """Line deduplication: a segment-partition edit join over the distinct lines of a corpus.
 
 If two lines differ by at most t edits, and one is cut into t + 1 segments, at least one
-segment is found unchanged in the other, shifted by no more than t characters. So each
-line is entered under its segments, and probes the entries of lines as long as itself or
-up to t shorter, with those substrings that the positions and lengths still allow. Pairs
-with a key in common are then checked by banded bit-parallel edit distance: one bit per
-diagonal of the band, one step per character, all in 64-bit columns.
-
-Keys carry the line's 64-bit hash, which names it, and a digest of letter counts. An edit
-changes these counts by two at most, so pairs whose counts differ by more than 2 t never
-leave the join. Equal lines are one line from the start. Everything is built-in
-expressions, explodes and joins.
+segment is found unchanged in the other: segment i at its distance from the left end,
+shifted by at most i, or at its distance from the right end, shifted by at most t - i.
+Lines are dealt into classes of neighbouring lengths, and a class fixes where its segments
+are, so that one key per segment serves lines of different lengths. A line less than t
+characters above the least length of its class is entered in the class below as well. So
+each line is entered under its segments, and meets other lines there or with those few
+substrings that lie next to a middle segment. Pairs with a key in common are then checked
+by banded bit-parallel edit distance: one bit per diagonal of the band, one step per
+character, all in 64-bit columns.
+
+Keys carry the line's 64-bit hash, which names it, and a digest of its length and letter
+counts. An edit changes these by two in all at most, so pairs whose counts differ by more
+than 2 t never leave the join. Equal lines are one line from the start. Everything is
+built-in expressions, explodes and joins.
 """
 
 from __future__ import annotations
@@ -27,8 +31,10 @@ EDITS = 2
 NEAR_CHARS = 24
 PAIRS_PER_TASK = 2000
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
-# Letters that a tag counts, modulo 8 in three bits each: 63 bits in all.
-LETTERS = "enaitrsoldhucmpgbfvwk"
+# Lengths that share a class, and so the places of their segments.
+CLASS_CHARS = 8
+# What a tag holds, modulo 8 in three bits each, 63 bits in all: length and letter counts.
+LETTERS = "enaitrsoldhucmpgbfvw"
 LETTER_BITS = 3
 COUNTS = 1 << LETTER_BITS
 
@@ -112,52 +118,89 @@ def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     return found
 
 
-def _key(number: int, length: Column, part: Column) -> Column:
-    return F.xxhash64(F.lit(number), length.cast("int"), part)
+def _classes(length: Column, edits: int, least: int) -> tuple[Column, Column, Column]:
+    """Least length of the line's class and of the class below, and whether the line is in both."""
+    width = max(CLASS_CHARS, edits)
+    above = (length - least) % width
+    own = (length - above).cast("int")
+    return own, (own - width).cast("int"), (own > least) & (above < edits)
 
 
-def entry_keys(line: Column, length: Column, edits: int) -> Column:
-    """One key per segment of the line."""
-    keys = [_key(i, length, F.substring(line, p, n)) for i, (p, n) in enumerate(_segments(length, edits))]
-    return F.array(*keys)
+def _key(number: int, base: Column, part: Column) -> Column:
+    return F.xxhash64(F.lit(number), base, part)
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """The keys under which lines as long or up to `edits` shorter may be found; some may be null.
+def _in_classes(line: Column, length: Column, edits: int, least: int, shifts) -> Column:
+    """Keys of the segments at their own places moved by `shifts(i)`, in each class of the line."""
+    def keys(base: Column) -> Column:
+        found = []
+        for i, (start, size) in enumerate(_segments(base, edits)):
+            # the end that fewer edits can lie before
+            at = start if i <= edits - i else start + length - base
+            for shift in shifts(i):
+                place = at + shift
+                fits = (place >= 1) & (place + size - 1 <= length)
+                found.append(F.when(fits, _key(i, base, F.substring(line, place, size))))
+        return F.array(*found).cast("array<bigint>")
 
-    Segment i can have moved by at most i to either side as seen from the left end, and
-    by the edits left for the segments after it as seen from the right end.
+    own, below, both = _classes(length, edits, least)
+    return F.when(both, F.concat(keys(own), keys(below))).otherwise(keys(own))
+
+
+def entry_keys(line: Column, length: Column, edits: int, least: int = 1) -> Column:
+    """One key per segment and class of the line, which has `least` characters or more."""
+    return _in_classes(line, length, edits, least, lambda i: (0,))
+
+
+def shifted_keys(line: Column, length: Column, edits: int, least: int = 1, back: bool = True) -> Column:
+    """The keys that segments of a near line may have next to their own places; some may be null.
+
+    Without `back` only those further on. That is enough for up to two edits if both
+    lines look for each other: if neither the first nor the last segment is unchanged,
+    there is an edit in each, and what lies between them is moved one place on in one
+    line as seen from the other.
     """
-    keys = []
-    for less in range(edits + 1):
-        target = length - less
-        for i, (start, size) in enumerate(_segments(target, edits)):
-            rest = edits - i
-            for shift in range(max(-i, less - rest), min(i, less + rest) + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= length)
-                keys.append(F.when(fits, _key(i, target, F.substring(line, at, size))))
-    return F.array(*keys)
+    def shifts(i: int) -> list[int]:
+        most = min(i, edits - i)
+        return [d for d in range(-most if back else 1, most + 1) if d]
+
+    return _in_classes(line, length, edits, least, shifts)
+
+
+def probe_keys(line: Column, length: Column, edits: int, least: int = 1) -> Column:
+    """All keys under which lines at most `edits` apart may be entered."""
+    return F.concat(entry_keys(line, length, edits, least), shifted_keys(line, length, edits, least))
 
 
 def with_tag(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add `tag`, the letter counts of a line; different lines may well share one."""
-    size, tag = F.octet_length(line), F.lit(0).cast("long")
+    """Add `tag`, the length and letter counts of a line; different lines may well share one."""
+    size = F.octet_length(line)
+    tag = F.length(line).bitwiseAND(F.lit(COUNTS - 1)).cast("long")
     for letter in LETTERS:
         count = size - F.octet_length(F.replace(F.col(line), F.lit(letter), F.lit("")))
         tag = F.shiftleft(tag, LETTER_BITS).bitwiseOR(count.bitwiseAND(F.lit(COUNTS - 1)).cast("long"))
     return df.withColumn("tag", tag)
 
 
-def _count_gap(one: Column, two: Column) -> Column:
-    """By how much the letter counts of two tags differ at least."""
-    def counted(tag: Column, letter: int) -> Column:
-        return F.shiftrightunsigned(tag, LETTER_BITS * letter).bitwiseAND(F.lit(COUNTS - 1))
+def _field_gap(one: Column, two: Column, place: int) -> Column:
+    """By how much one count of two tags differs at least; place 0 is the last letter."""
+    def counted(tag: Column) -> Column:
+        return F.shiftrightunsigned(tag, LETTER_BITS * place).bitwiseAND(F.lit(COUNTS - 1))
+
+    d = F.abs(counted(one) - counted(two))
+    return F.least(d, COUNTS - d)  # counts go round
+
+
+def _length_gap(one: Column, two: Column) -> Column:
+    """By how much the lengths of two tags differ at least."""
+    return _field_gap(one, two, len(LETTERS))
 
+
+def _count_gap(one: Column, two: Column) -> Column:
+    """By how much the length and the letter counts of two tags differ at least."""
     gap = F.lit(0)
-    for letter in range(len(LETTERS)):
-        d = F.abs(counted(one, letter) - counted(two, letter))
-        gap = gap + F.least(d, COUNTS - d)  # counts go round
+    for place in range(len(LETTERS) + 1):
+        gap = gap + _field_gap(one, two, place)
     return gap
 
 
@@ -175,7 +218,7 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Plan without whole-stage code while the block runs.
 
-    Twenty keys a line make one generated method of more bytecode than the JVM compiles;
+    A line's keys make one generated method of more bytecode than the JVM compiles;
     projections on their own are split into methods that it does compile.
     """
     name = "spark.sql.codegen.wholeStage"
@@ -188,13 +231,13 @@ def small_methods(spark: SparkSession) -> Iterator[None]:
 
 
 def _keyed(rows: DataFrame, edits: int, near_chars: int) -> DataFrame:
-    """All lines without their text: place, hashes, and for long ones tag, entry and probe keys."""
+    """All lines without their text: place, hashes, and for long ones tag, entry and shifted keys."""
     lines = _occurrences(rows).withColumn("length", F.length("line"))
     line, length, long = F.col("line"), F.col("length"), F.col("length") >= near_chars
     return with_tag(lines).select(
         "key", "uid", "pos", "h1", "h2", "tag",
-        F.when(long, entry_keys(line, length, edits)).alias("entries"),
-        F.when(long, probe_keys(line, length, edits)).alias("probes"),
+        F.when(long, entry_keys(line, length, edits, near_chars)).alias("entries"),
+        F.when(long, shifted_keys(line, length, edits, near_chars, edits > 2)).alias("shifted"),
     )
 
 
@@ -206,12 +249,17 @@ def near_links(rows: DataFrame, keyed: DataFrame, repeated: DataFrame, edits: in
     """
     known = join_checked(keyed.filter("entries is not null"), repeated, ["h1", "h2"], "left")
     distinct = known.filter(F.col("first").isNull() | (F.struct("key", "uid", "pos") == F.col("first")))
-    entries = distinct.select(F.explode("entries").alias("k"), F.col("h1").alias("one"), F.col("tag").alias("one_tag"))
-    probes = distinct.select(
-        F.explode("probes").alias("k"), F.col("h1").alias("two"), F.col("tag").alias("two_tag")
-    ).filter("k is not null")
-    alike = (F.col("one") != F.col("two")) & (_count_gap(F.col("one_tag"), F.col("two_tag")) <= 2 * edits)
-    met = entries.alias("e").join(probes.alias("p"), (F.col("e.k") == F.col("p.k")) & alike)
+
+    def keys(kind: str, name: str) -> DataFrame:
+        """Each line once per key, its hash named `name`."""
+        return distinct.select(F.explode(kind).alias("k"), F.col("h1").alias(name), F.col("tag").alias(f"{name}_tag"))
+
+    one, two = F.col("one_tag"), F.col("two_tag")
+    alike = (_length_gap(one, two) <= edits) & (_count_gap(one, two) <= 2 * edits)
+    # The entries are shuffled once: all three uses read the same exchange.
+    straight = keys("entries", "one").join(keys("entries", "two"), "k").filter((F.col("one") < F.col("two")) & alike)
+    shifted = keys("entries", "one").join(keys("shifted", "two"), "k").filter((F.col("one") != F.col("two")) & alike)
+    met = straight.unionByName(shifted)
     pairs = materialize(
         met.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct(), "line-pairs"
     )
@@ -265,7 +313,8 @@ def dedup_lines(
     """
     need(docs, (id_column, text_column))
     with scratch_scope(docs.sparkSession) as keep:
-        whole = keep(numbered_rows(docs, id_column, text_column))
+        # It lies beside the shuffles of every step, so it is packed more tightly.
+        whole = keep(numbered_rows(docs, id_column, text_column, "zstd"))
         rows = whole.select("key", "uid", F.coalesce("text", F.lit("")).alias("text"))
         with small_methods(docs.sparkSession):
             seen = materialize(_keyed(rows, edits, near_chars), "lines")
@@ -289,7 +338,8 @@ def dedup_lines(
             F.sum("links").alias("links"),
         )
         marks = keep(materialize(by_document, "line-marks"))
-    joined = whole.join(marks, "uid", "left")
+    # Only the slim side is hashed. At no size are the marks sent to every task: they grow with the corpus.
+    joined = whole.join(marks.hint("shuffle_hash"), "uid", "left")
     none = F.array().cast("array<int>")
     located = joined.withColumns({
         "parts": F.split("text", "\n"), "out": F.coalesce("gone", none), "out_near": F.coalesce("gone_near", none)

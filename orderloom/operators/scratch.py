@@ -40,11 +40,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 _OPEN = threading.local()
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and return a scan of what was written."""
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder, packed as the session says or by `codec`, and return a scan of it."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     stored = spark.read.schema(df.schema).parquet(path)
     if getattr(_OPEN, "paths", None) is not None:
         _OPEN.paths.append(path)

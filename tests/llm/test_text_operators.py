@@ -221,6 +221,39 @@ def test_edit_distance_and_segments(corpus, edits):
             assert r.met and r.gap <= 2 * edits
 
 
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_few_keys_a_line_lose_no_near_line(corpus, edits):
+    rng = random.Random(40 + edits)
+    pairs = []
+    for _ in range(900):  # lengths on both sides of several classes
+        a = "".join(rng.choice("abcé🙂") for _ in range(rng.randint(24, 58)))
+        b = a
+        for _ in range(rng.randint(1, edits)):
+            at, new = rng.randint(0, len(b)), rng.choice("abcé🙂")
+            b = rng.choice((b[:at] + new + b[at:], b[:at] + b[at + 1:], b[:at] + new + b[at + 1:]))
+        pairs.append((a, b))
+    def keys(line):
+        size = F.length(line)
+        return lines.entry_keys(F.col(line), size, edits, 24), lines.shifted_keys(F.col(line), size, edits, 24, edits > 2)
+
+    (a, a_shifted), (b, b_shifted) = keys("a"), keys("b")
+    met = F.arrays_overlap(a, b) | F.arrays_overlap(a, b_shifted) | F.arrays_overlap(a_shifted, b)
+    frame = corpus.createDataFrame(pairs, "a string, b string").filter("length(b) >= 24")
+    checked = frame.select("a", "b", met.alias("met"), (F.size(a) + F.size(a_shifted)).alias("keys"))
+    for r in checked.collect():
+        assert r.met, (r.a, r.b)
+        # in one class or two; there were 15 with two edits
+        assert r.keys in {1: (2, 4), 2: (4, 8), 3: (8, 16)}[edits]
+
+
+def test_line_marks_are_never_sent_to_every_task(corpus, make_documents):
+    # else the work of the last join changes at some size of the corpus
+    cleaned = lines.dedup_lines(make_documents([(1, "one line"), (2, "one line"), (3, "another")]))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted((r.doc_id, r.text) for r in cleaned.collect()) == [(1, "one line"), (2, ""), (3, "another")]
+
+
 def test_line_dedup_equals_brute_force(corpus, make_documents):
     rng = random.Random(11)
     stock = ["".join(rng.choice("abcde fgh") for _ in range(rng.randint(10, 40))) for _ in range(12)] + ["", " ", "x"]
