@@ -5,7 +5,9 @@ all leaves the one with the largest gain is split until the tree has its leaves.
 come from histograms, one grouping by fit, leaf, feature and bin for all fits of a search
 together. A grouping covers every leaf that may be split next, so a tree takes as many
 groupings as it is deep and not as many as it has leaves; which of the splits the
-best-first order takes is decided afterwards, from gains that are all known.
+best-first order takes is decided afterwards, from gains that are all known. Rows find
+their leaf along the splits made so far, which are constants of one expression: a
+grouping joins nothing and costs the same however deep the trees are.
 
 Labels, scores and leaf values are whole numbers of 1/SCALE units. Sums are therefore the
 same in any order, and a fit does not depend on the number of cores or partitions. An
@@ -21,7 +23,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.functions.ranking import running_sum
 from orderloom.operators.scratch import materialize
@@ -54,6 +56,7 @@ class _Tree:
     splits: dict[int, tuple[float, int, int, int, int]] = field(default_factory=dict)
     totals: dict[int, tuple[int, int]] = field(default_factory=dict)
     grown: set[int] = field(default_factory=set)
+    places: dict[int, int] = field(default_factory=lambda: {ROOT: 0})  # numbers of the nodes, in order; the right child follows the left
     chosen: set[int] = field(default_factory=set)
     waits_for: int = ROOT
 
@@ -85,6 +88,7 @@ class _Tree:
         for v in nodes:
             (total, rows), (_, _, _, left, left_rows) = self.totals[v], self.splits[v]
             self.totals |= {2 * v: (left, left_rows), 2 * v + 1: (total - left, rows - left_rows)}
+            self.places |= {2 * v: len(self.places), 2 * v + 1: len(self.places) + 1}
             self.grown.add(v)
 
     def leaf_of(self, node: int) -> int:
@@ -186,48 +190,65 @@ def best_splits(held: DataFrame, least_rows: int) -> DataFrame:
 
 
 def _small(like: DataFrame, rows: Iterable[tuple], names: str) -> DataFrame:
-    """A frame of at most fits times leaves rows for a broadcast join; it needs no job of its own."""
-    kinds = {"fit": pa.int32(), "by": pa.int32(), "upto": pa.int32(), "until": pa.date32(), "last": pa.date32()}
+    """A frame of one row per fit for a broadcast join; it needs no job of its own."""
+    kinds = {"fit": pa.int32(), "until": pa.date32(), "last": pa.date32()}
     columns = names.split()
     values = [*zip(*rows)] or [()] * len(columns)
-    table = pa.table({n: pa.array(v, kinds.get(n, pa.int64())) for n, v in zip(columns, values)})
+    table = pa.table({n: pa.array(v, kinds[n]) for n, v in zip(columns, values)})
     return F.broadcast(like.sparkSession.createDataFrame(table))
 
 
-def _moved(held: DataFrame, trees: Sequence[_Tree], splits: Mapping[int, Iterable[int]]) -> DataFrame:
-    """Rows of split leaves go to the children."""
-    table = [(fit, node, *trees[fit].splits[node][1:3]) for fit, nodes in splits.items() for node in nodes]
-    if not table:
-        return held
-    joined = held.join(_small(held, table, "fit leaf by upto"), ["fit", "leaf"], "left")
-    side = F.col("leaf") * 2 + F.when(F.get("bins", F.col("by")) <= F.col("upto"), 0).otherwise(1)
-    return joined.withColumn("leaf", F.when(F.col("by").isNull(), F.col("leaf")).otherwise(side)).drop("by", "upto")
+def _numbers(values: Iterable[int]) -> Column:
+    """A constant array, made from one literal however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _grow(state: DataFrame, fits: Sequence[Fit], least_rows: int) -> tuple[list[_Tree], DataFrame]:
-    """One tree for every fit, and the rows with their leaves of the grown trees."""
+def _by_node(trees: Sequence[_Tree], table: Mapping[tuple[int, int], int], place: Column) -> Column:
+    """What a table of fits times leaves says of the row's fit and the node of this number; -1 if nothing."""
+    width = max(len(tree.places) for tree in trees)
+    cells = [-1] * (width * len(trees))
+    for (fit, node), value in table.items():
+        cells[fit * width + trees[fit].places[node]] = value
+    return F.get(_numbers(cells), F.col("fit") * width + place)
+
+
+def _leaf(trees: Sequence[_Tree]) -> Column:
+    """Number of the node that holds a row (fit, bins), walked from the root along the splits made."""
+    cuts = {(i, v): tree.splits[v] for i, tree in enumerate(trees) for v in tree.grown}
+    by, upto = ({cell: cut[k] for cell, cut in cuts.items()} for k in (1, 2))
+    left = {(i, v): trees[i].places[2 * v] for i, v in cuts}
+    depth = max((v.bit_length() for _, v in cuts), default=0)
+
+    def step(node: Column, _: Column) -> Column:
+        feature = _by_node(trees, by, node)
+        side = F.when(F.get("bins", feature) <= _by_node(trees, upto, node), 0).otherwise(1)
+        return F.when(feature < 0, node).otherwise(_by_node(trees, left, node) + side)
+
+    root = F.lit(0).cast("long")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), root, step) if depth else root
+
+
+def _grow(state: DataFrame, fits: Sequence[Fit], least_rows: int) -> list[_Tree]:
+    """One tree for every fit."""
     trees = [_Tree(fit.leaves) for fit in fits]
-    held = state.withColumn("leaf", F.lit(ROOT).cast("long"))
     asked = {i: [ROOT] for i in range(len(fits))}
     while asked:
-        wanted = _small(held, [(i, v) for i, nodes in asked.items() for v in nodes], "fit leaf")
-        rows = held.filter("trains").join(wanted, ["fit", "leaf"], "left_semi")
-        for r in best_splits(rows.select("fit", "leaf", "residual", "bins"), least_rows).collect():
-            tree, best = trees[r["fit"]], r["best"]
-            tree.totals[r["leaf"]] = (r["total"], r["rows"])
+        wanted = {(i, v): 1 for i, nodes in asked.items() for v in nodes}
+        held = state.filter("trains").withColumn("leaf", _leaf(trees)).filter(_by_node(trees, wanted, F.col("leaf")) > 0)
+        nodes_of = [[*tree.places] for tree in trees]
+        for r in best_splits(held.select("fit", "leaf", "residual", "bins"), least_rows).collect():
+            tree, node, best = trees[r["fit"]], nodes_of[r["fit"]][r["leaf"]], r["best"]
+            tree.totals[node] = (r["total"], r["rows"])
             if best:
-                tree.splits[r["leaf"]] = (best["gain"], -best["feature"], -best["bin"], best["left_total"], best["left_rows"])
+                tree.splits[node] = (best["gain"], -best["feature"], -best["bin"], best["left_total"], best["left_rows"])
         splits = {i: trees[i].next_splits() for i in asked if not trees[i].choose()}
-        held = _moved(held, trees, splits)
         for i, nodes in splits.items():
             trees[i].grow(nodes)
         asked = {i: [c for v in nodes for c in (2 * v, 2 * v + 1)] for i, nodes in splits.items()}
     # A tree's last split needs no histograms of its children.
-    rest = {i: tree.chosen - tree.grown for i, tree in enumerate(trees)}
-    held = _moved(held, trees, rest)
-    for i, nodes in rest.items():
-        trees[i].grow(nodes)
-    return trees, held
+    for tree in trees:
+        tree.grow(tree.chosen - tree.grown)
+    return trees
 
 
 # --- models ----------------------------------------------------------------------
@@ -303,24 +324,23 @@ def boost(
     }
     if len(bases) < len(fits):
         raise ValueError("Every fit needs rows to train on.")
-    base = _small(state, bases.items(), "fit score")
-    state = state.join(base, "fit")
+    state = state.withColumn("score", F.get(_numbers(bases[i] for i in range(len(fits))), F.col("fit")))
     grown: list[list[dict]] = [[] for _ in fits]
     leaves: list[list[dict]] = [[] for _ in fits]
     errors: dict[tuple[int, int], float] = {}
     for number in range(1, iterations + 1):
         state = state.withColumn("residual", F.col("label") * SCALE - F.col("score"))
-        trees, held = _grow(state, fits, least_rows)
-        table = []
+        trees = _grow(state, fits, least_rows)
+        gains: dict[tuple[int, int], int] = {}
         for i, (tree, fit) in enumerate(zip(trees, fits)):
             last = [v for v in tree.totals if v not in tree.chosen and (v == ROOT or v // 2 in tree.chosen)]
             values = {v: leaf_value(*tree.totals[v], fit.rate) for v in last}
             cuts = {v: tree.splits[v][1:3] for v in tree.chosen}
             grown[i].append({v: (f, borders[f][b], 0) for v, (f, b) in cuts.items()} | {v: (-1, 0.0, y) for v, y in values.items()})
             leaves[i].append({v: (tree.totals[v][1], y) for v, y in values.items()})
-            table += [(i, v, values[tree.leaf_of(v)]) for v in tree.totals if v not in tree.grown]
-        gains = _small(state, table, "fit leaf gain")
-        moved = held.join(gains, ["fit", "leaf"]).withColumn("score", F.col("score") + F.col("gain"))
+            gains |= {(i, v): values[tree.leaf_of(v)] for v in tree.totals if v not in tree.grown}
+        held = state.withColumn("leaf", _leaf(trees))
+        moved = held.withColumn("score", F.col("score") + _by_node(trees, gains, F.col("leaf")))
         state = materialize(moved.select("fit", "label", "bins", "trains", "score"), "boosting-state")
         if number in stages:
             off = F.abs(F.col("score").cast("double") / SCALE - F.col("label"))

@@ -104,6 +104,21 @@ def test_boosted_trees_equal_one_split_after_the_other(spark):
         boosting.boost(frame, [boosting.Fit(10, 3, date(2019, 1, 1), date(2020, 1, 1))], ["a"], 1)
 
 
+def test_passes_of_boosting_join_nothing_however_deep_the_trees(spark, monkeypatch):
+    plans, grouped = [], boosting.best_splits
+
+    def spied(held, least_rows):
+        plans.append(held._jdf.queryExecution().optimizedPlan().toString())
+        return grouped(held, least_rows)
+
+    monkeypatch.setattr(boosting, "best_splits", spied)
+    rows = [(date(2020, 1 + i % 3, 1), i, 2 ** (i // 6)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "Month date, a int, Actual_Demand bigint")
+    done = boosting.boost(frame, [boosting.Fit(50, 6), boosting.Fit(50, 4)], ["a"], 1, least_rows=2)
+    assert [len(trees[0]) for trees in done.leaves] == [6, 4] and max(done.leaves[0][0]) >= 8
+    assert len(plans) >= 4 and not any("Join" in p for p in plans)
+
+
 def test_many_values_share_bins_of_equal_rows(spark):
     frame = spark.range(1000).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
     borders = boosting.bin_borders(frame, ["v", "w"], 10)
