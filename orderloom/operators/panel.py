@@ -42,7 +42,7 @@ def every_pair(left: DataFrame, right: DataFrame) -> DataFrame:
 
     def dealt(df: DataFrame, own: str, copy: str) -> DataFrame:
         block = F.pmod(F.hash(*df.columns), F.lit(blocks))
-        return df.withColumn(own, block).withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        return df.withColumn(own, block).withColumn(copy, F.explode(F.array(*[F.lit(b) for b in range(blocks)])))
 
     return dealt(left, "_l", "_r").join(dealt(right, "_r", "_l"), ["_l", "_r"]).drop("_l", "_r")
 
