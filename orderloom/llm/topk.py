@@ -1,24 +1,27 @@
 """Exact top-k search by Fagin's threshold algorithm.
 
-Candidates are dealt into blocks by hash, queries likewise, and every pair of blocks is
-one unit of work. In a candidate block the rows are sorted by each dimension. For a query
-the lists are walked from the end that its sign favours, all to the same depth; rows met
-for the first time are scored. The best score of any row not yet met is bounded by the
-sum over dimensions of the query's weight times the value at that depth, and the walk
-stops when the k-th best score beats this bound. The blocks' results are merged per query.
+Candidates are dealt into shelves by hash, queries into groups, and every pair of a shelf
+and a group is one unit of work. The rows of a unit are shuffled to it and never joined,
+so no plan can send a side with all its copies to the driver. A unit takes its shelf in
+blocks. In a block the rows are sorted by each dimension. For a query the lists are walked
+from the end that its sign favours, all to the same depth; rows met for the first time are
+scored. The best score of any row not yet met is bounded by the sum over dimensions of the
+query's weight times the value at that depth, and the walk stops when the k-th best score
+beats this bound. The blocks' results are merged per query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.llm.common import blocks, materialize, need
 
-CANDIDATES_PER_BLOCK, QUERIES_PER_BLOCK = 4096, 256
+CANDIDATES_PER_BLOCK, QUERIES_PER_BLOCK = 4096, 16_384
+# A shelf is one block until there are SHELVES of them, then grows to at most so many blocks:
+# queries are copied once per shelf. Vectors of more than USUAL numbers count as several rows.
+SHELVES, BLOCKS_PER_SHELF, USUAL = 64, 4, 64
 FIRST_DEPTH = 16
 LONGEST = (1 << 63) - 1
 
@@ -101,26 +104,39 @@ def top_k(
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
     rows = materialize(clean.withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    n_blocks = blocks(rows.count(), CANDIDATES_PER_BLOCK)
-    asking = rows.filter("asks")
-    q_blocks = blocks(asking.count(), QUERIES_PER_BLOCK)
-    packed = F.collect_list(F.struct("uid", "id", "v"))
-    candidates = rows.groupBy("dim", F.pmod(F.xxhash64("uid"), F.lit(n_blocks)).alias("block")).agg(packed.alias("rows"))
-    queries = asking.groupBy("dim", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(q_blocks)).alias("q_block")).agg(packed.alias("asks"))
-    spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    units = spread.join(candidates, ["dim", "block"]).select("asks", "rows")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for unit in range(batch.num_rows):
-                asks, held = (batch.column(c).slice(unit, 1).flatten() for c in (0, 1))
-                q, c = _matrix(asks.field("v"), len(asks), scale), _matrix(held.field("v"), len(held), scale)
-                q_uid, q_id = asks.field("uid").to_numpy(), asks.field("id").to_numpy()
-                c_uid, c_id = held.field("uid").to_numpy(), held.field("id").to_numpy()
-                q, c = exact(q, c)
+    weight = F.greatest(F.col("dim") / USUAL, F.lit(1.0))
+    sizes = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.ceil(F.sum(weight)).alias("weight"),
+        F.ceil(F.sum(F.when(F.col("asks"), weight))).alias("asking"),
+    ).first()
+    per_block = CANDIDATES_PER_BLOCK
+    grown = blocks(sizes["weight"] or 0, BLOCKS_PER_SHELF * per_block)
+    n_shelves = min(blocks(sizes["rows"], per_block), max(SHELVES, grown))
+    n_groups = blocks(sizes["asking"] or 0, QUERIES_PER_BLOCK)
+
+    def dealt(count: int, *key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(count)).cast("int")
+
+    def copied(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    slim = ("uid", "id", "v", "dim")
+    candidates = rows.select(*slim, dealt(n_shelves, "uid").alias("shelf"), copied(n_groups).alias("group"))
+    queries = rows.filter("asks").select(
+        *slim, copied(n_shelves).alias("shelf"), dealt(n_groups, "uid", F.lit(1)).alias("group")
+    )
+
+    def run(asks: pa.Table, held: pa.Table) -> pa.Table:
+        found = {name: [] for name in ("uid", "query_id", "id", "score")}
+        if len(asks) and len(held):
+            asks, held = asks.combine_chunks(), held.combine_chunks()
+            asked, shelf = (_matrix(t.column("v").combine_chunks(), len(t), scale) for t in (asks, held))
+            q_uid, q_id = asks.column("uid").to_numpy(), asks.column("id").to_numpy()
+            for part in np.array_split(np.arange(len(held)), blocks(len(held), per_block)):
+                c_uid, c_id = held.column("uid").to_numpy()[part], held.column("id").to_numpy()[part]
+                q, c = exact(asked, shelf[part])
                 order = np.argsort(c, axis=0, kind="stable")
                 place = {u: i for i, u in enumerate(c_uid.tolist())}
-                found = {name: [] for name in ("uid", "query_id", "id", "score")}
                 depth = FIRST_DEPTH
                 for i in range(len(q)):
                     # Queries on one block need similar depths: begin with half of the last one's.
@@ -132,9 +148,11 @@ def top_k(
                         found["query_id"].append(int(q_id[i]))
                         found["id"].append(int(c_id[row]))
                         found["score"].append(max(-LONGEST - 1, min(LONGEST, score)))
-                yield pa.RecordBatch.from_pydict({n: pa.array(v, pa.int64()) for n, v in found.items()})
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in found.items()})
 
-    partial = units.mapInArrow(run, "uid long, query_id long, id long, score long")
+    unit = ("dim", "shelf", "group")
+    paired = queries.groupBy(*unit).cogroup(candidates.groupBy(*unit))
+    partial = paired.applyInArrow(run, "uid long, query_id long, id long, score long")
     ranked = Window.partitionBy("uid").orderBy(F.desc("score"), "id")
     merged = partial.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     back = F.when(F.col("id") < LONGEST, F.col("id"))

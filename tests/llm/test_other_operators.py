@@ -47,6 +47,19 @@ def test_top_k_equals_brute_force(corpus, monkeypatch):
     assert topk.top_k(frame.limit(0), asks, 5).count() == 0
 
 
+def test_top_k_sends_no_copies_of_queries_to_the_driver(corpus, monkeypatch):
+    for name, value in (("CANDIDATES_PER_BLOCK", 16), ("QUERIES_PER_BLOCK", 3), ("SHELVES", 4)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 0.3, 6).round(1).tolist()) for i in range(0, 3000, 10)]
+    frame = corpus.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, F.col("vec_id") % 50 == 0, 4)
+    got = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan and "FlatMapCoGroups" in plan
+    assert sorted((tuple(r) for r in got), key=repr) == plain_top(rows, 4)
+
+
 # --- archives --------------------------------------------------------------------
 
 
