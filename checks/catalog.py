@@ -565,7 +565,7 @@ def model_selection(star: Star) -> DataFrame:
     candidates = [
         modeling.mean_baseline(),
         modeling.rf_candidates(trees=20, depths=(5, 8), leaves=(1, 3)),
-        modeling.boosted_candidates(iterations=(2, 4)),
+        modeling.boosted_candidates(),
     ]
     searches = modeling.search_all(candidates, development)
     return modeling.cv_results(development, searches)

@@ -9,6 +9,10 @@ best-first order takes is decided afterwards, from gains that are all known. Row
 their leaf along the splits made so far, which are constants of one expression: a
 grouping joins nothing and costs the same however deep the trees are.
 
+A pass over few rows is all latency. Fits of no more rows than a task may hold can be
+grown one in a task, by the same rules on the same bins and with the same result; more
+rows are grown in shared passes.
+
 Labels, scores and leaf values are whole numbers of 1/SCALE units. Sums are therefore the
 same in any order, and a fit does not depend on the number of cores or partitions. An
 overflow raises (ANSI mode). What reaches the driver is bounded by fits times leaves.
@@ -21,16 +25,20 @@ import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.functions.ranking import running_sum
 from orderloom.operators.scratch import materialize
+from orderloom.session import ship_package
 
 SCALE = 10_000
 BINS = 255
 LEAST_ROWS = 20  # rows that either side of a split must have
+ROWS_PER_TASK = 2_000_000  # rows of a fit that one task may hold, in some 300 MB
+CODES = 1 << 20  # bins that one histogram step looks up
 ROOT = 1  # the children of node v are 2 v and 2 v + 1
 
 
@@ -251,6 +259,134 @@ def _grow(state: DataFrame, fits: Sequence[Fit], least_rows: int) -> list[_Tree]
     return trees
 
 
+# --- fits of one task ------------------------------------------------------------
+
+
+def _histogram(codes: np.ndarray, residual: np.ndarray, rows: np.ndarray, width: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of residuals and counts per feature and bin; `wide` sums may exceed what doubles hold exactly."""
+    part, features = residual[rows], len(codes)
+    sums, counts = np.zeros((features, width), np.int64), np.zeros((features, width), np.int64)
+    step = max(1, CODES // max(1, len(rows)))
+    for first in range(0, features, step):
+        some = codes[first : first + step]
+        n = len(some)
+        places = (some[:, rows] + (np.arange(n) * width)[:, None]).ravel()
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return np.bincount(places, np.tile(values, n), n * width).astype(np.int64).reshape(n, width)
+
+        counts[first : first + n] = np.bincount(places, minlength=n * width).reshape(n, width)
+        sums[first : first + n] = (summed(part >> 26) << 26) + summed(part & ((1 << 26) - 1)) if wide else summed(part)
+    return sums, counts
+
+
+def _best_split(sums: np.ndarray, counts: np.ndarray, least_rows: int) -> tuple[float, int, int, int, int] | None:
+    """`best_splits` of one leaf: (gain, feature, bin, left sum, left rows)."""
+    left, left_rows = sums.cumsum(axis=1), counts.cumsum(axis=1)
+    total, rows = left[0, -1], left_rows[0, -1]
+    allowed = np.flatnonzero((left_rows >= least_rows) & (rows - left_rows >= least_rows))
+    if not len(allowed):
+        return None
+    one, one_rows = left.ravel()[allowed], left_rows.ravel()[allowed]
+
+    def weight(t, n):
+        t = np.asarray(t).astype(np.float64)
+        return t * t / np.asarray(n).astype(np.float64)
+
+    gain = weight(one, one_rows) + weight(total - one, rows - one_rows) - weight(total, rows)
+    at = int(gain.argmax())  # the first of equal ones has the smaller feature and bin
+    if not gain[at] > 0:
+        return None
+    return float(gain[at]), *divmod(int(allowed[at]), sums.shape[1]), int(one[at]), int(one_rows[at])
+
+
+def _grow_here(
+    codes: np.ndarray, residual: np.ndarray, trains: np.ndarray, limit: int, least_rows: int
+) -> tuple[dict[int, tuple[int, int]], dict[int, tuple[int, int]], dict[int, np.ndarray]]:
+    """One tree, best first: cuts (feature, bin), the leaves' (sum, rows) and the numbers of all their rows."""
+    held, own = {ROOT: np.arange(len(residual))}, {ROOT: np.flatnonzero(trains)}
+    largest = int(np.abs(residual).max(initial=0)) * len(residual)
+    if largest >= 1 << 62:
+        raise OverflowError("Sums of residuals may not fit into 64 bits.")
+    width, wide = int(codes.max(initial=0)) + 1, largest >= 1 << 53
+    totals = {ROOT: (int(residual[own[ROOT]].sum()), len(own[ROOT]))}
+    cuts: dict[int, tuple[int, int]] = {}
+    cells: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    heap: list[tuple[float, int, tuple]] = []
+
+    def offer(node: int, found: tuple[np.ndarray, np.ndarray]) -> None:
+        split = _best_split(*found, least_rows)
+        if split:
+            cells[node] = found
+            heapq.heappush(heap, (-split[0], node, split))
+
+    if limit > 1 and len(codes):
+        offer(ROOT, _histogram(codes, residual, own[ROOT], width, wide))
+    while heap and len(cuts) < limit - 1:
+        _, node, (_, feature, upto, left, left_rows) = heapq.heappop(heap)
+        cuts[node] = (feature, upto)
+        children = (2 * node, 2 * node + 1)
+        for rows_of in (held, own):
+            rows = rows_of.pop(node)
+            goes = codes[feature, rows] <= upto
+            rows_of |= dict(zip(children, (rows[goes], rows[~goes])))
+        total, rows = totals.pop(node)
+        totals |= dict(zip(children, ((left, left_rows), (total - left, rows - left_rows))))
+        whole = cells.pop(node)
+        if len(cuts) == limit - 1:
+            break  # a tree's last split needs no histograms of its children
+        # The larger child holds what the smaller one does not.
+        small = min(children, key=lambda v: totals[v][1])
+        found = _histogram(codes, residual, own[small], width, wide)
+        offer(small, found)
+        offer(children[0] + children[1] - small, (whole[0] - found[0], whole[1] - found[1]))
+    return cuts, totals, held
+
+
+def _fit_here(
+    codes: np.ndarray, label: np.ndarray, trains: np.ndarray, base: int, fit: Fit,
+    least_rows: int, iterations: int, stages: Sequence[int],
+) -> tuple[list[str], list[float | None]]:
+    """Cuts and leaves of every tree of a fit as JSON, and the mean absolute error after each stage."""
+    if int(np.abs(label).max(initial=0)) * SCALE >= 1 << 62:
+        raise OverflowError("Labels may not fit into 64 bits.")
+    score, grown, errors = np.full(len(label), base, np.int64), [], []
+    scored = np.flatnonzero(~trains)
+    for number in range(1, iterations + 1):
+        cuts, totals, held = _grow_here(codes, label * SCALE - score, trains, fit.leaves, least_rows)
+        for node, rows in held.items():
+            score[rows] += leaf_value(*totals[node], fit.rate)
+        grown.append(json.dumps([[[v, *cut] for v, cut in cuts.items()], [[v, *t] for v, t in totals.items()]]))
+        ends = number in stages and len(scored)
+        errors.append(float(np.abs(score[scored].astype(np.float64) / SCALE - label[scored]).mean()) if ends else None)
+    return grown, errors
+
+
+def _fit_in_tasks(
+    state: DataFrame, fits: Sequence[Fit], bases: Mapping[int, int], least_rows: int, iterations: int, stages: Sequence[int]
+) -> list:
+    """Rows (fit, number, tree, mae) of all fits, in order; each fit is grown in a task of its own."""
+    ship_package(state.sparkSession)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        i, n = rows.column("fit")[0].as_py(), len(rows)
+        flat = rows.column("bins").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        codes = np.ascontiguousarray(flat.reshape(n, -1).T.astype(np.int16))
+        label, trains = (rows.column(c).to_numpy() for c in ("label", "trains"))
+        grown, errors = _fit_here(codes, label, trains.astype(bool), bases[i], fits[i], least_rows, iterations, stages)
+        numbers = pa.array(range(1, len(grown) + 1), pa.int32())
+        return pa.table({
+            "fit": pa.array([i] * len(grown), pa.int32()), "number": numbers, "tree": pa.array(grown, pa.string()),
+            "mae": pa.array(errors, pa.float64()),
+        })
+
+    # Eight partitions a fit: adaptive execution does not pack them, and few hold two fits.
+    dealt = state.repartition(8 * len(fits), "fit").groupBy("fit")
+    done = dealt.applyInArrow(run, "fit int, number int, tree string, mae double")
+    return sorted(done.collect(), key=lambda r: (r["fit"], r["number"]))
+
+
 # --- models ----------------------------------------------------------------------
 
 
@@ -303,11 +439,13 @@ def boost(
     stages: Sequence[int] = (),
     label: str = "Actual_Demand",
     least_rows: int = LEAST_ROWS,
+    rows_per_task: int = 0,
 ) -> Boosted:
     """Fit all models at once; `rows` has Month, the label and the features.
 
-    Bins are cut once, on all rows, and shared by the fits. Every iteration is written
-    to the shared folder, which cuts its lineage.
+    Bins are cut once, on all rows, and shared by the fits. If no fit has more than
+    `rows_per_task` rows, each is grown in a task of its own. Otherwise all grow in shared
+    passes, and every iteration is written to the shared folder, which cuts its lineage.
     """
     rows = materialize(rows.select("Month", *dict.fromkeys([label, *features])), "boosting-rows")
     borders = bin_borders(rows, features)
@@ -318,26 +456,37 @@ def boost(
     inside = until.isNull() | (month < until) | (month <= F.col("last"))
     state = copied.filter(inside).select("fit", "label", "bins", (until.isNull() | (month < until)).alias("trains"))
     state = materialize(state, "boosting-state")
-    bases = {
-        r["fit"]: rounded_share(r["total"] * SCALE, r["rows"])
-        for r in state.filter("trains").groupBy("fit").agg(F.sum("label").alias("total"), F.count(F.lit(1)).alias("rows")).collect()
-    }
+    sizes = state.groupBy("fit").agg(
+        F.sum(F.when(F.col("trains"), F.col("label"))).alias("total"),
+        F.count_if("trains").alias("rows"), F.count(F.lit(1)).alias("held"), F.count("label").alias("labelled"),
+    ).collect()
+    bases = {r["fit"]: rounded_share(r["total"] * SCALE, r["rows"]) for r in sizes if r["rows"]}
     if len(bases) < len(fits):
         raise ValueError("Every fit needs rows to train on.")
     state = state.withColumn("score", F.get(_numbers(bases[i] for i in range(len(fits))), F.col("fit")))
     grown: list[list[dict]] = [[] for _ in fits]
     leaves: list[list[dict]] = [[] for _ in fits]
     errors: dict[tuple[int, int], float] = {}
-    for number in range(1, iterations + 1):
+
+    def record(i: int, cuts: Mapping[int, tuple[int, int]], totals: Mapping[int, tuple[int, int]]) -> dict[int, int]:
+        values = {v: leaf_value(*total, fits[i].rate) for v, total in totals.items()}
+        grown[i].append({v: (f, borders[f][b], 0) for v, (f, b) in cuts.items()} | {v: (-1, 0.0, y) for v, y in values.items()})
+        leaves[i].append({v: (totals[v][1], y) for v, y in values.items()})
+        return values
+
+    in_tasks = all(r["held"] == r["labelled"] <= rows_per_task for r in sizes)
+    for r in _fit_in_tasks(state, fits, bases, least_rows, iterations, stages) if in_tasks else ():
+        cuts, totals = json.loads(r["tree"])
+        record(r["fit"], {v: (f, b) for v, f, b in cuts}, {v: (total, rows) for v, total, rows in totals})
+        if r["mae"] is not None:
+            errors[r["fit"], r["number"]] = r["mae"]
+    for number in () if in_tasks else range(1, iterations + 1):
         state = state.withColumn("residual", F.col("label") * SCALE - F.col("score"))
         trees = _grow(state, fits, least_rows)
         gains: dict[tuple[int, int], int] = {}
-        for i, (tree, fit) in enumerate(zip(trees, fits)):
+        for i, tree in enumerate(trees):
             last = [v for v in tree.totals if v not in tree.chosen and (v == ROOT or v // 2 in tree.chosen)]
-            values = {v: leaf_value(*tree.totals[v], fit.rate) for v in last}
-            cuts = {v: tree.splits[v][1:3] for v in tree.chosen}
-            grown[i].append({v: (f, borders[f][b], 0) for v, (f, b) in cuts.items()} | {v: (-1, 0.0, y) for v, y in values.items()})
-            leaves[i].append({v: (tree.totals[v][1], y) for v, y in values.items()})
+            values = record(i, {v: tree.splits[v][1:3] for v in tree.chosen}, {v: tree.totals[v] for v in last})
             gains |= {(i, v): values[tree.leaf_of(v)] for v in tree.totals if v not in tree.grown}
         held = state.withColumn("leaf", _leaf(trees))
         moved = held.withColumn("score", F.col("score") + _by_node(trees, gains, F.col("leaf")))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderloom.constants import CELL_KEYS, CV_FOLDS, MODEL_COLUMNS, MODEL_FEATURES
 from orderloom.functions.numeric import ratio
+from orderloom.operators import boosting
 from orderloom.operators.boosting import BoostedTrees, Fit, boost
 from orderloom.operators.metrics import add_errors, long_predictions
 from orderloom.operators.scratch import materialize
@@ -81,7 +82,7 @@ def rf_candidates(trees: int = TREES, depths=(UNLIMITED_DEPTH, 12), leaves=(1, 3
 
 @dataclass(frozen=True)
 class BoostedCandidate:
-    """Boosted trees with their parameter grid; all of it is fitted in shared passes."""
+    """Boosted trees with their parameter grid; all of it is fitted at once."""
 
     name: str
     grid: list[dict]
@@ -182,15 +183,15 @@ def grid_search(
 def boosted_scores(candidate: BoostedCandidate, development: DataFrame, folds: int = CV_FOLDS):
     """(grid index, fold number, MAE) rows, and per grid point the model of all development rows.
 
-    Grid points that differ in iterations alone are stages of one fit, and all fits of
-    all folds share every pass over the rows.
+    Grid points that differ in iterations alone are stages of one fit. The fits of all
+    folds grow side by side, one in a task, or share every pass over more rows than that.
     """
     months = [row["Month"] for row in development.select("Month").distinct().orderBy("Month").collect()]
     bounds = [(months[start], months[stop - 1]) for start, stop in _fold_bounds(months, folds)]
     shapes = list(dict.fromkeys((g["learning_rate"], g["max_leaf_nodes"]) for g in candidate.grid))
     fits = [Fit(round(100 * rate), most, *bound) for rate, most in shapes for bound in (*bounds, (None, None))]
     stages = sorted({g["max_iter"] for g in candidate.grid})
-    done = boost(development, fits, MODEL_FEATURES, stages[-1], stages)
+    done = boost(development, fits, MODEL_FEATURES, stages[-1], stages, rows_per_task=boosting.ROWS_PER_TASK)
     scores, models = [], []
     for i, g in enumerate(candidate.grid):
         first = shapes.index((g["learning_rate"], g["max_leaf_nodes"])) * (folds + 1)
@@ -200,7 +201,7 @@ def boosted_scores(candidate: BoostedCandidate, development: DataFrame, folds: i
 
 
 def boosted_search(candidate: BoostedCandidate, development: DataFrame, folds: int = CV_FOLDS) -> Search:
-    """`grid_search` of boosted trees; the refit is one of the fits that share the passes."""
+    """`grid_search` of boosted trees; the refit is one of the fits."""
     scores, models = boosted_scores(candidate, development, folds)
     means = [sum(mae for index, _, mae in scores if index == i) / folds for i in range(len(candidate.grid))]
     best = means.index(min(means))

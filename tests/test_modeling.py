@@ -119,6 +119,48 @@ def test_passes_of_boosting_join_nothing_however_deep_the_trees(spark, monkeypat
     assert len(plans) >= 4 and not any("Join" in p for p in plans)
 
 
+@pytest.mark.parametrize("units", [1, 10**9])
+def test_fits_of_one_task_equal_those_of_shared_passes(spark, units):
+    rng = random.Random(6)
+    rows = [(date(2020, 1 + i % 6, 1), rng.randint(0, 30), rng.choice((0.25, 4.0)), 7, i % 300) for i in range(400)]
+    rows = [(*r, units * (7 * r[1] + 40 * (r[2] > 1) * (r[4] > 90) - r[4] // 3)) for r in rows]
+    frame = spark.createDataFrame(rows, "Month date, a int, b double, c int, d int, Actual_Demand bigint").repartition(3)
+    fits = [boosting.Fit(10, 9), boosting.Fit(50, 4, date(2020, 4, 1), date(2020, 5, 1)), boosting.Fit(30, 1, date(2020, 3, 1), date(2020, 3, 1))]
+    passes, tasks = (
+        boosting.boost(frame, fits, ["a", "b", "c", "d"], 3, [1, 3], least_rows=4, rows_per_task=n) for n in (0, 400)
+    )
+    assert tasks.leaves == passes.leaves and tasks.models == passes.models
+    assert [len(trees[2]) for trees in tasks.leaves] == [9, 4, 1]
+    assert set(tasks.errors) == {(1, 1), (1, 3), (2, 1), (2, 3)} and tasks.errors == pytest.approx(passes.errors)
+    with pytest.raises(ValueError):
+        boosting.boost(frame, [boosting.Fit(10, 3, date(2019, 1, 1), date(2020, 6, 1))], ["a"], 1, rows_per_task=400)
+
+
+def test_fits_of_few_rows_take_no_passes_and_more_rows_do(spark, monkeypatch):
+    passes, grow = [], boosting._grow
+    monkeypatch.setattr(boosting, "_grow", lambda *given: passes.append(1) or grow(*given))
+    frame = spark.createDataFrame([(date(2020, 1, 1), i, i * i) for i in range(50)], "Month date, a int, Actual_Demand bigint")
+    for most, expected in ((50, 0), (49, 2)):
+        done = boosting.boost(frame, [boosting.Fit(10, 3)], ["a"], 2, least_rows=5, rows_per_task=most)
+        assert len(passes) == expected and len(done.models[0].trees) == 2
+
+
+def test_model_selection_searches_all_boosted_iterations(monkeypatch):
+    from types import SimpleNamespace
+
+    from checks import catalog
+
+    searched = []
+    monkeypatch.setattr(catalog, "history", lambda star: SimpleNamespace(development=None))
+    monkeypatch.setattr(catalog, "assemble", lambda frame: frame)
+    monkeypatch.setattr(modeling, "search_all", lambda candidates, development: searched.extend(candidates))
+    monkeypatch.setattr(modeling, "cv_results", lambda frame, searches: None)
+    catalog.model_selection(None)
+    boosted = next(c for c in searched if isinstance(c, modeling.BoostedCandidate))
+    assert boosted.grid == modeling.boosted_candidates().grid
+    assert {g["max_iter"] for g in boosted.grid} == {100, 200}
+
+
 def test_many_values_share_bins_of_equal_rows(spark):
     frame = spark.range(1000).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
     borders = boosting.bin_borders(frame, ["v", "w"], 10)
